@@ -1,0 +1 @@
+"""Left empty on purpose: the work rebuilt here is batch only, so there is no stream to process."""
