@@ -287,7 +287,7 @@ ORACLES: dict[str, str] = {
         FROM part""",
     "migrate_report": f"""
         SELECT name AS table_name, 'success' AS status, row_count AS rows FROM ({ALL_COUNTS})
-        UNION ALL SELECT 'absent', 'failed', 0""",
+        UNION ALL SELECT 'supplier', 'failed', 0""",
     "restore_report": f"""
         SELECT name AS table_name, 'success' AS status, row_count AS rows, 'PASSED' AS validation
         FROM ({ALL_COUNTS})

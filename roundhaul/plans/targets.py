@@ -7,6 +7,7 @@ from dataclasses import replace
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, LongType
 
 from roundhaul.contracts import Contract
 from roundhaul.functions.convert import export_form
@@ -73,7 +74,8 @@ class JdbcTarget:
         )
 
     def read(self, contract: Contract) -> DataFrame:
-        split_by = contract.key[0] if len(contract.key) == 1 else None
+        numeric = [c.name for c in contract.columns if isinstance(c.type, (IntegerType, LongType))]
+        split_by = contract.key[0] if len(contract.key) == 1 and contract.key[0] in numeric else None
         restored = replace(contract, name=contract.name + self.suffix)
         return jdbc.read_table(
             self.spark, self.connection, self.schema, restored, split_by=split_by, partitions=self.partitions

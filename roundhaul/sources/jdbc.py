@@ -61,7 +61,7 @@ def contract_from_metadata(
     return Contract(name, tuple(columns), tuple(key)).partitioned_by(*partition_by)
 
 
-def split_options(low: int, high: int, column: str, partitions: int) -> dict[str, object]:
+def range_splits(low: int, high: int, column: str, partitions: int) -> dict[str, object]:
     """Options for reading a numeric key range in parallel; the bounds only place the splits."""
     return {
         "partitionColumn": column,
@@ -71,6 +71,12 @@ def split_options(low: int, high: int, column: str, partitions: int) -> dict[str
     }
 
 
+def hash_splits(columns: Iterable[str], partitions: int) -> list[str]:
+    """Conditions that deal the rows out by a hash the database takes over ``columns``."""
+    hashed = f"ABS(CAST(BINARY_CHECKSUM({', '.join(quoted(c) for c in columns)}) AS BIGINT))"
+    return [f"{hashed} % {partitions} = {part}" for part in range(partitions)]
+
+
 def read_table(
     spark: SparkSession,
     connection: Connection,
@@ -78,20 +84,26 @@ def read_table(
     contract: Contract,
     *,
     split_by: str | None = None,
-    partitions: int = 1,
+    partitions: int = 8,
 ) -> DataFrame:
     """A whole table, converted to its contract, read over ``partitions`` connections.
 
     ``split_by`` must be a numeric column that is spread evenly, normally the identity key;
-    rows outside the sampled bounds still belong to the first or last split.
+    rows outside the bounds still belong to the first or last split. Without it the rows
+    are dealt out by a hash of the key, so that no task reads the whole table.
     """
     table = quoted(schema, contract.name)
-    options: dict[str, object] = {}
-    if split_by and partitions > 1:
-        wanted = f"SELECT MIN({quoted(split_by)}) AS low, MAX({quoted(split_by)}) AS high FROM {table}"
-        bounds = _read(spark, connection, query=wanted).first()
-        if bounds["low"] is not None:
-            options = split_options(int(bounds["low"]), int(bounds["high"]), split_by, partitions)
+    if split_by is None:
+        settings = {"fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true"}
+        properties = {k: v for k, v in connection.items() if k != "url"} | settings
+        conditions = hash_splits(contract.key or contract.names, partitions)
+        rows = spark.read.jdbc(connection["url"], table, predicates=conditions, properties=properties)
+        return conform(rows, contract)
+    wanted = f"SELECT MIN({quoted(split_by)}) AS low, MAX({quoted(split_by)}) AS high FROM {table}"
+    bounds = _read(spark, connection, query=wanted).first()
+    options = {}
+    if bounds["low"] is not None:
+        options = range_splits(int(bounds["low"]), int(bounds["high"]), split_by, partitions)
     return conform(_read(spark, connection, dbtable=table, **options), contract)
 
 
