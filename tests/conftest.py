@@ -16,6 +16,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
         },
     )

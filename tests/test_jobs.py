@@ -1,0 +1,161 @@
+import pytest
+
+from roundhaul.contracts import Contract, sales
+from roundhaul.functions.convert import conform, export_form
+from roundhaul.operators import audit, stats, validate
+from roundhaul.plans import jobs
+from roundhaul.plans.targets import WarehouseTarget
+from roundhaul.session import fresh_folder
+from roundhaul.sources import NotMigrated, Warehouse
+from tests import sales_data
+
+
+@pytest.fixture(scope="module")
+def sources(spark):
+    made = sales_data.tables(spark)
+    return [jobs.Source(c, lambda name=c.name: made[name]) for c in sales.SALES]
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sources):
+    warehouse = Warehouse(spark, fresh_folder(spark, "sales"))
+    outcomes = jobs.migrate(warehouse, sources)
+    assert [(o.table, o.status, o.rows) for o in outcomes] == [(t, "success", n) for t, n in sales_data.ROWS.items()]
+    assert jobs.total_rows(outcomes) == 18_500
+    return warehouse
+
+
+def test_sales_tables_are_laid_out_and_counted(spark, stored):
+    counts = {r["table_name"]: r["row_count"] for r in stored.inventory().collect()}
+    assert counts == sales_data.ROWS
+    days = spark.read.parquet(f"{stored.folder('transactions')}/load=1")
+    assert days.select("transaction_date_day").distinct().count() == 8
+    shelves = spark.read.parquet(f"{stored.folder('inventory_snapshots')}/load=1")
+    assert shelves.select("snapshot_date_day", "warehouse_id").distinct().count() == 30
+
+
+def test_second_migration_does_not_add_rows(stored, sources):
+    again = jobs.migrate(stored, sources[:2])
+    assert [o.rows for o in again] == [1000, 500]
+    assert stored.read(sales.CUSTOMERS).count() == 1000
+    assert stored.loads("customers") == [1, 2]
+
+
+def test_full_cycle(spark, sources):
+    stored, database = (Warehouse(spark, fresh_folder(spark, name)) for name in ("a", "b"))
+    rows = jobs.full_cycle(stored, sources, WarehouseTarget(database))
+    assert [tuple(r.values()) for r in rows] == [(t, n, n, n, "PASSED") for t, n in sales_data.ROWS.items()]
+    assert database.tables() == sorted(f"{name}_backload" for name in sales_data.ROWS)
+
+
+def test_constraints_hold_after_migration(stored):
+    for contract in sales.SALES:
+        rows = stored.read(contract)
+        assert not [r for r in audit.audit_not_null(rows, contract.required).collect() if r["violations"]]
+        for key in (contract.key, *contract.unique):
+            assert audit.audit_unique(rows, key).isEmpty()
+        for fk in contract.foreign_keys:
+            parent = stored.read(next(c for c in sales.SALES if c.name == fk.parent))
+            assert audit.audit_foreign_key(rows, fk.columns, parent, fk.parent_columns).isEmpty()
+
+
+def test_statistics_of_the_transactions(stored):
+    row = stats.load_statistics(stored.read(sales.TRANSACTIONS), "customer_id", "transaction_date").first()
+    assert (row["total_rows"], row["unique_entities"]) == (10_000, 1000)
+    assert row["max_date"] > row["min_date"]
+
+
+def test_restore_of_chosen_tables(spark, stored):
+    target = WarehouseTarget(Warehouse(spark, fresh_folder(spark, "chosen")))
+    never = Contract.declare("returns", {"id": "bigint"})
+    outcomes = jobs.restore(
+        stored,
+        [*sales.SALES, never],
+        target,
+        only=["transactions", "returns"],
+        statistics={"transactions": jobs.Statistics("customer_id", "transaction_date")},
+    )
+    assert [(o.table, o.status, o.rows, o.validation) for o in outcomes] == [
+        ("transactions", "success", 10_000, "PASSED"),
+        ("returns", "no_data", 0, None),
+    ]
+    with pytest.raises(LookupError, match="no contract"):
+        jobs.restore(stored, sales.SALES, target, only=["nothing"])
+
+
+def test_restore_before_migration_is_an_error(spark, folder):
+    empty = Warehouse(spark, folder)
+    with pytest.raises(NotMigrated):
+        jobs.restore(empty, sales.SALES, WarehouseTarget(empty))
+
+
+def test_one_bad_table_does_not_stop_the_others(spark, folder, sources):
+    bad = Contract.declare("bad", {"id": "int"})
+    overflow = jobs.Source(bad, lambda: spark.range(2**31, 2**31 + 1))
+    drifted = jobs.Source(Contract.declare("drifted", {"x": "int"}), lambda: spark.range(1))
+    outcomes = jobs.migrate(Warehouse(spark, folder), [overflow, sources[0], drifted])
+    assert [(o.table, o.status) for o in outcomes] == [("bad", "failed"), ("customers", "success"), ("drifted", "failed")]
+    assert "does not fit int" in outcomes[0].error
+    assert "missing columns ['x']" in outcomes[2].error
+    assert jobs.total_rows(outcomes) == 1000
+
+
+class Lossy(WarehouseTarget):
+    """A target that repeats rows the first few times, as a retried database task would."""
+
+    def __init__(self, warehouse, times):
+        super().__init__(warehouse)
+        self.times = times
+
+    def write(self, df, contract, create):
+        self.times -= 1
+        super().write(df.unionAll(df.limit(1)) if self.times >= 0 else df, contract, create)
+
+
+@pytest.mark.parametrize(("times", "status", "validation", "rows"), [(1, "success", "PASSED", 1000), (9, "warning", "FAILED", 1001)])
+def test_wrong_contents_are_sent_again_then_reported(spark, stored, times, status, validation, rows):
+    target = Lossy(Warehouse(spark, fresh_folder(spark, "lossy")), times)
+    outcome = jobs.restore(stored, [sales.CUSTOMERS], target)[0]
+    assert (outcome.status, outcome.validation, outcome.rows) == (status, validation, rows)
+
+
+class Unreadable(WarehouseTarget):
+    def read(self, contract):
+        raise ConnectionError("target went away")
+
+
+def test_check_that_cannot_run_is_an_error_status(spark, stored):
+    target = Unreadable(Warehouse(spark, fresh_folder(spark, "unreadable")))
+    outcome = jobs.restore(stored, [sales.CUSTOMERS], target)[0]
+    assert outcome.status in ("failed", "warning")
+    assert "target went away" in outcome.error
+
+
+def test_restore_as_of_an_earlier_load(spark, folder):
+    numbers = Contract.declare("numbers", {"id": "bigint"})
+    stored = Warehouse(spark, folder)
+    for upper in (5, 8):
+        jobs.migrate(stored, [jobs.Source(numbers, lambda upper=upper: spark.range(upper))])
+    target = WarehouseTarget(Warehouse(spark, fresh_folder(spark, "asof")))
+    assert jobs.restore(stored, [numbers], target, as_of=1)[0].rows == 5
+    assert jobs.restore(stored, [numbers], target)[0].rows == 8
+
+
+def test_reports_are_kept(spark, folder):
+    stored = Warehouse(spark, folder)
+    numbers = Contract.declare("numbers", {"id": "bigint"})
+    for _ in range(2):
+        jobs.keep_report(stored, jobs.migrate(stored, [jobs.Source(numbers, lambda: spark.range(3))]))
+    newest = stats.latest(jobs.past_reports(stored), "finished_at", "table_name", n=1).first()
+    assert (newest["job"], newest["table_name"], newest["status"], newest["rows"]) == ("migrate", "numbers", "success", 3)
+    assert jobs.past_reports(stored).count() == 2
+
+
+def test_restored_floats_have_no_nan(spark, folder):
+    floats = Contract.declare("floats", {"id": "bigint", "v": "float"})
+    source = spark.createDataFrame([(1, float("nan")), (2, 1.0)], floats.schema)
+    stored = Warehouse(spark, folder)
+    stored.write(conform(source, floats), floats)
+    target = WarehouseTarget(Warehouse(spark, fresh_folder(spark, "floats")))
+    assert jobs.restore(stored, [floats], target)[0].validation == "PASSED"
+    assert validate.differing_rows(export_form(source), target.read(floats)).isEmpty()
