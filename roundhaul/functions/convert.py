@@ -18,9 +18,8 @@ def strict_cast(column: Column, to: T.DataType, name: str) -> Column:
 
     Does not rely on ANSI mode: with it off a plain cast would turn such a value into NULL.
     """
-    fitted = column.try_cast(to)
-    lost = column.isNotNull() & fitted.isNull()
-    return F.when(lost, F.raise_error(F.lit(f"{name}: value does not fit {to.simpleString()}"))).otherwise(fitted)
+    refusal = F.raise_error(F.lit(f"{name}: value does not fit {to.simpleString()}"))
+    return F.coalesce(column.try_cast(to), F.when(column.isNotNull(), refusal))
 
 
 def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFrame:

@@ -30,9 +30,11 @@ def audit_foreign_key(
 ) -> DataFrame:
     """Child keys without a parent, with their number of rows; a key with a NULL refers to nothing.
 
-    Both sides are reduced to one row per key before the join, which keeps a frequent key
-    from being shuffled row by row; the join then reuses that partitioning.
+    Both sides are stacked and counted by key, so a frequent key is reduced before the
+    shuffle. An anti join would not be: Spark moves it below the aggregation of the child.
     """
-    present = child.dropna(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("orphans"))
-    keys = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]).distinct()
-    return present.join(keys, list(columns), "left_anti")
+    from_child = child.dropna(subset=list(columns)).select(*columns, F.lit(1).alias("_child"))
+    keys = [F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]
+    both = from_child.unionByName(parent.select(*keys, F.lit(0).alias("_child")))
+    per_key = both.groupBy(*columns).agg(F.sum("_child").alias("orphans"), F.min("_child").alias("_child"))
+    return per_key.where("_child = 1").drop("_child")

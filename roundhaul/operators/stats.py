@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,9 +79,11 @@ def orders_by_place(region: DataFrame, nation: DataFrame, customer: DataFrame, o
     )
 
 
-def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
+def profile_columns(df: DataFrame, required: Collection[str] = (), exact: bool = True) -> DataFrame:
     """One row per column: position, type, null count, distinct count, smallest and largest.
 
+    ``nullable`` is 0 for the ``required`` columns, as declared; Parquet itself does not say.
+
     Exact: each column is grouped by value on its own, so map-side aggregation collapses
     frequent values, and all figures follow from the value counts. A single aggregate with
     several distinct counts would copy every row once per column instead. Approximate: one
@@ -89,7 +91,7 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     """
     fields = list(enumerate(df.schema.fields, start=1))
     if not exact:
-        return _profile_in_one_pass(df, fields)
+        return _profile_in_one_pass(df, fields, required)
     parts = []
     for position, field in fields:
         values = df.groupBy(F.col(field.name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
@@ -100,7 +102,7 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
                 F.count("v").alias("distinct_count"),
                 F.min(orderable).cast("string").alias("min_value"),
                 F.max(orderable).cast("string").alias("max_value"),
-            ).select(*_label(position, field), "null_count", "distinct_count", "min_value", "max_value")
+            ).select(*_label(position, field, required), "null_count", "distinct_count", "min_value", "max_value")
         )
     return reduce(DataFrame.unionAll, parts)
 
@@ -109,22 +111,25 @@ def _orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, T.BinaryType)
 
 
-def _label(position: int, field: T.StructField) -> list:
+def _label(position: int, field: T.StructField, required: Collection[str]) -> list[Column]:
     return [
         F.lit(field.name).alias("column_name"),
         F.lit(field.dataType.simpleString()).alias("column_type"),
         F.lit(position).alias("position"),
+        F.lit(0 if field.name in required else 1).alias("nullable"),
     ]
 
 
-def _profile_in_one_pass(df: DataFrame, fields: list[tuple[int, T.StructField]]) -> DataFrame:
+def _profile_in_one_pass(
+    df: DataFrame, fields: list[tuple[int, T.StructField]], required: Collection[str]
+) -> DataFrame:
     figures = []
     for position, field in fields:
         value = F.col(field.name)
         orderable = value if _orderable(field.dataType) else F.lit(None).cast("string")
         figures.append(
             F.struct(
-                *_label(position, field),
+                *_label(position, field, required),
                 F.count_if(value.isNull()).alias("null_count"),
                 F.approx_count_distinct(value).alias("distinct_count"),
                 F.min(orderable).cast("string").alias("min_value"),

@@ -98,6 +98,7 @@ ORACLES: dict[str, str] = {
     "profile_columns": f"WITH c AS ({CONFORMED_CUSTOMER}) "
     + " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, '{kind}' AS column_type, CAST({position} AS INTEGER) AS position, "
+        f"CAST({int(name not in ('c_custkey', 'c_name'))} AS INTEGER) AS nullable, "
         f"count(*) - count({name}) AS null_count, count(DISTINCT {name}) AS distinct_count, "
         f"CAST(min({name}) AS VARCHAR) AS min_value, CAST(max({name}) AS VARCHAR) AS max_value FROM c"
         for position, (name, kind) in enumerate(CUSTOMER_TYPES.items(), start=1)

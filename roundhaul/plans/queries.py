@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,7 +160,8 @@ def inventory_join(spark, sf_dir):
 def table_inventory(spark, sf_dir):
     paths = {name: f"{sf_dir.rstrip('/')}/{name}.parquet" for name in TABLES}
     counted = count_by_table(spark, "sales", paths, r"/([^/]+)\.parquet(?:/|$)")
-    widths = [(name, len(table(spark, sf_dir, name).columns)) for name in TABLES]
+    with ThreadPoolExecutor(8) as pool:  # each schema is one footer, read by the driver
+        widths = list(pool.map(lambda name: (name, len(table(spark, sf_dir, name).columns)), TABLES))
     return counted.join(spark.createDataFrame(widths, "table_name string, column_count int"), "table_name")
 
 
@@ -178,7 +180,7 @@ def latest_loads(spark, sf_dir):
 
 
 def profile_columns(spark, sf_dir):
-    return stats.profile_columns(convert.conform(table(spark, sf_dir, "customer"), CUSTOMER))
+    return stats.profile_columns(convert.conform(table(spark, sf_dir, "customer"), CUSTOMER), CUSTOMER.required)
 
 
 # Conversions

@@ -8,21 +8,35 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "roundhaul", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings this engine expects.
+ADVISORY_BYTES = 128 * 1024**2
+MOST_PARTITIONS = 20_000
 
-    Shuffle width and split size are left to the cluster unless given: adaptive execution
-    coalesces or splits shuffle partitions towards the advisory size at run time.
+
+def shuffle_partitions(data_bytes: int) -> int:
+    """How many partitions a shuffle of that much data starts with.
+
+    Adaptive execution merges small partitions but cannot split those of an aggregation, so
+    the start must be wide enough. Beyond the upper limit, the number of blocks (maps times
+    partitions) costs more than larger partitions that spill.
     """
+    return min(max(200, -(-data_bytes // ADVISORY_BYTES)), MOST_PARTITIONS)
+
+
+def build_session(
+    app_name: str = "roundhaul", master: str | None = None, data_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """A session with the settings this engine expects, sized for ``data_bytes`` of input."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(ADVISORY_BYTES))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if data_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(data_bytes)))
     if master:
         builder = builder.master(master)
     for key, value in settings.items():

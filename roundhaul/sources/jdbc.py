@@ -11,8 +11,10 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from roundhaul.contracts import Column, Contract, SqlType
+from roundhaul.contracts.sqltypes import STORED
 from roundhaul.functions.convert import conform, export_form
 
 FETCH_ROWS = 10_000
@@ -77,6 +79,16 @@ def hash_splits(columns: Iterable[str], partitions: int) -> list[str]:
     return [f"{hashed} % {partitions} = {part}" for part in range(partitions)]
 
 
+def read_as_text(contract: Contract) -> dict[str, str]:
+    """Columns the driver should hand over as text: times of day and types not in the type map.
+
+    Left alone, a time of day would arrive as a timestamp on the first of January 1970.
+    """
+    kept = [c for c in contract.columns if c.declared and c.type == StringType()]
+    names = [c.name for c in kept if c.declared.name == "time" or c.declared.name not in STORED]
+    return {"customSchema": ", ".join(f"`{name}` STRING" for name in names)} if names else {}
+
+
 def read_table(
     spark: SparkSession,
     connection: Connection,
@@ -93,17 +105,18 @@ def read_table(
     are dealt out by a hash of the key, so that no task reads the whole table.
     """
     table = quoted(schema, contract.name)
+    as_text = read_as_text(contract)
     if split_by is None:
-        settings = {"fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true"}
+        settings = {"fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true"} | as_text
         properties = {k: v for k, v in connection.items() if k != "url"} | settings
         conditions = hash_splits(contract.key or contract.names, partitions)
         rows = spark.read.jdbc(connection["url"], table, predicates=conditions, properties=properties)
         return conform(rows, contract)
     wanted = f"SELECT MIN({quoted(split_by)}) AS low, MAX({quoted(split_by)}) AS high FROM {table}"
     bounds = _read(spark, connection, query=wanted).first()
-    options = {}
+    options: dict[str, object] = dict(as_text)
     if bounds["low"] is not None:
-        options = range_splits(int(bounds["low"]), int(bounds["high"]), split_by, partitions)
+        options |= range_splits(int(bounds["low"]), int(bounds["high"]), split_by, partitions)
     return conform(_read(spark, connection, dbtable=table, **options), contract)
 
 

@@ -9,7 +9,7 @@ earlier loads stay readable.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -50,11 +50,13 @@ def count_by_table(spark: SparkSession, namespace: str, paths: Mapping[str, str]
 
     ``owner`` is a pattern whose first group takes the table name out of a file's path.
     Grouping by the file a row came from keeps the plan the same size for any number of
-    tables; with no column to decode, Parquet answers from its footers.
+    tables; with no column to decode, Parquet answers from its footers. The pattern is
+    matched once per file, not per row.
     """
-    files = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*paths.values())
-    table_name = F.regexp_extract("_metadata.file_path", owner, 1)
-    counted = files.groupBy(table_name.alias("table_name")).agg(F.count(F.lit(1)).alias("rows"))
+    rows = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*paths.values())
+    per_file = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    table_name = F.regexp_extract("file", owner, 1).alias("table_name")
+    counted = per_file.groupBy(table_name).agg(F.sum("n").alias("rows"))
     names = spark.createDataFrame([(namespace, table) for table in paths], "namespace string, table_name string")
     return names.join(counted, "table_name", "left").select(
         "namespace", "table_name", F.coalesce("rows", F.lit(0)).alias("row_count")
@@ -140,6 +142,11 @@ class Warehouse:
             rows = rows.where((F.col(level.key) >= first) & (F.col(level.key) <= last))
         return contract.from_stored(rows)
 
+    def publish(self, contracts: Iterable[Contract]) -> None:
+        """Make the current loads available to SQL under their table names."""
+        for contract in contracts:
+            self.read(contract).createOrReplaceTempView(contract.name)
+
     def inventory(self) -> DataFrame:
         """Namespace, table and row count of every table that has been loaded."""
         paths = {table: self._path(table, None) for table in self.tables()}

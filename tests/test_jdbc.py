@@ -1,6 +1,6 @@
 """What is sent to a database; no database runs here."""
 
-from roundhaul.contracts import sales
+from roundhaul.contracts import Contract, sales
 from roundhaul.sources import jdbc
 
 
@@ -48,3 +48,9 @@ def test_contract_from_column_metadata(spark):
     assert contract.required == ["id"]
     assert contract.column("at").restored() == "DATETIME2(3)"
     assert contract.partitions[0].key == "at_day"
+
+
+def test_times_and_unknown_types_are_read_as_text():
+    contract = Contract.declare("t", {"id": "bigint", "at": "time(7)", "name": "varchar(9)", "place": "geography"})
+    assert jdbc.read_as_text(contract) == {"customSchema": "`at` STRING, `place` STRING"}
+    assert jdbc.read_as_text(sales.CUSTOMERS) == {}

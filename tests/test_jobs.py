@@ -159,3 +159,10 @@ def test_restored_floats_have_no_nan(spark, folder):
     target = WarehouseTarget(Warehouse(spark, fresh_folder(spark, "floats")))
     assert jobs.restore(stored, [floats], target)[0].validation == "PASSED"
     assert validate.differing_rows(export_form(source), target.read(floats)).isEmpty()
+
+
+def test_migrated_tables_answer_sql(spark, stored):
+    stored.publish(sales.SALES)
+    counts = " UNION ALL ".join(f"SELECT COUNT(*) AS row_count FROM {name}" for name in sales_data.ROWS)
+    total = spark.sql(f"SELECT 'Total Rows' AS Metric, SUM(row_count) AS Value FROM ({counts}) t").first()
+    assert tuple(total) == ("Total Rows", 18_500)

@@ -24,13 +24,13 @@ def test_load_statistics_of_nothing(spark):
 def test_profile(spark):
     rows = spark.createDataFrame([(1, "b", None, bytearray(b"x")), (1, None, 2.5, None), (3, "a", 2.5, None)], "i int, s string, d double, r binary")
     expected = [
-        ("i", "int", 1, 0, 2, "1", "3"),
-        ("s", "string", 2, 1, 2, "a", "b"),
-        ("d", "double", 3, 1, 1, "2.5", "2.5"),
-        ("r", "binary", 4, 2, 1, None, None),
+        ("i", "int", 1, 0, 0, 2, "1", "3"),
+        ("s", "string", 2, 1, 1, 2, "a", "b"),
+        ("d", "double", 3, 1, 1, 1, "2.5", "2.5"),
+        ("r", "binary", 4, 1, 2, 1, None, None),
     ]
-    assert [tuple(r) for r in stats.profile_columns(rows).orderBy("position").collect()] == expected
-    assert [tuple(r) for r in stats.profile_columns(rows, exact=False).orderBy("position").collect()] == expected
+    assert [tuple(r) for r in stats.profile_columns(rows, ["i"]).orderBy("position").collect()] == expected
+    assert [tuple(r) for r in stats.profile_columns(rows, ["i"], exact=False).orderBy("position").collect()] == expected
 
 
 def test_profile_reads_each_column_on_its_own(spark, sf_dir):

@@ -16,7 +16,7 @@ def test_no_cross_joins_and_no_python(spark, sf_dir, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["row_count_match", "statistics_match", "float_tolerance", "content_match", "content_diff", "differing_rows", "keyed_diff"],
+    ["row_count_match", "statistics_match", "float_tolerance", "content_match", "content_diff", "differing_rows", "keyed_diff", "audit_foreign_key"],
 )
 def test_comparisons_do_not_join(spark, sf_dir, name):
     text = registered.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
