@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from roundhaul.contracts import Contract
 
 
+FLOATS = (T.FloatType, T.DoubleType)
+
+
 class ShapeMismatch(ValueError):
     """The incoming columns are not the columns of the contract."""
 
@@ -25,7 +28,8 @@ def strict_cast(column: Column, to: T.DataType, name: str) -> Column:
 def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFrame:
     """Give every column its contract type and every row the contract's column order.
 
-    A value that does not fit stops the job, or becomes NULL when ``tolerant``.
+    A value that does not fit stops the job, or becomes NULL when ``tolerant``. NaN counts
+    as missing where the contract has no place for it.
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     missing = [n for n in contract.names if n not in present]
@@ -35,6 +39,9 @@ def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFr
     columns = []
     for wanted in contract.columns:
         value = F.col(wanted.name)
+        floating = isinstance(present[wanted.name], FLOATS)
+        if floating and not isinstance(wanted.type, FLOATS):
+            value = nan_to_null(value)
         if present[wanted.name] != wanted.type:
             value = value.try_cast(wanted.type) if tolerant else strict_cast(value, wanted.type, wanted.name)
         columns.append(value.alias(wanted.name))
@@ -101,7 +108,7 @@ def export_form(
     columns = []
     for field in df.schema.fields:
         value = F.col(field.name)
-        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        if isinstance(field.dataType, FLOATS):
             value = nan_to_null(value)
         elif timestamps_as_text and isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             value = timestamp_ms_text(value)

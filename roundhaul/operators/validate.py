@@ -8,6 +8,7 @@ copy on one side with every copy on the other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ TOLERANCE = 1e-9
 
 # Two hashes with different starts make a fingerprint of 128 bits: among 10^12 different
 # rows, the chance that any two share one is about 10^-15.
-_STARTS = (0, 1)
-_PRINTS = [f"_print{start}" for start in _STARTS]
+_PRINTS = ("_print0", "_print1")
+# One hash is enough to compare two given sets of rows. It is added up in three parts, each
+# so short that 10^12 rows cannot overflow its sum.
+_PARTS = (("_part0", 0, 22), ("_part1", 22, 21), ("_part2", 43, 21))
 
 
 def _status(passed: Column) -> Column:
@@ -35,23 +38,31 @@ def _stack(source: DataFrame, target: DataFrame) -> DataFrame:
     return from_source.unionByName(target.withColumn("_in_source", F.lit(False)))
 
 
-def _fingerprint(columns: Sequence[str]) -> list[Column]:
-    """128 bits that identify the values of a row.
+def _hash(columns: Sequence[str], start: int) -> Column:
+    """64 bits that depend on every value of a row.
 
     Spark's hash skips NULL, so which columns are NULL is hashed too; otherwise a value
     that moves from one column into an empty neighbour would go unnoticed.
     """
-    nulls = [F.col(name).isNull() for name in columns]
-    values = [F.col(name) for name in columns]
-    return [
-        F.xxhash64(F.lit(start), *nulls, *values).alias(name) for start, name in zip(_STARTS, _PRINTS, strict=True)
-    ]
+    return F.xxhash64(F.lit(start), *[F.col(c).isNull() for c in columns], *[F.col(c) for c in columns])
+
+
+def _fingerprint(columns: Sequence[str]) -> list[Column]:
+    return [_hash(columns, start).alias(name) for start, name in enumerate(_PRINTS)]
+
+
+def _net_sums() -> list[Column]:
+    """Per part of ``_hash``: its sum over the source minus its sum over the target."""
+    sums = []
+    for name, low, width in _PARTS:
+        part = F.shiftrightunsigned("_hash", low).bitwiseAND(F.lit(2**width - 1))
+        signed = F.when(F.col("_in_source"), part).otherwise(-part)
+        sums.append(F.coalesce(F.sum(signed), F.lit(0)).alias(name))
+    return sums
 
 
-def _net_sum(name: str) -> Column:
-    """Sum of a fingerprint half over the source minus its sum over the target."""
-    wide = F.col(name).cast("decimal(20,0)")
-    return F.coalesce(F.sum(F.when(F.col("_in_source"), wide).otherwise(-wide)), F.lit(0))
+def _sums_differ() -> Column:
+    return reduce(lambda a, b: a | b, [F.col(name) != 0 for name, _, _ in _PARTS])
 
 
 def _surplus() -> Column:
@@ -147,7 +158,7 @@ def float_tolerance(
     per_key = _stack(source.select(*kept), target.select(*kept)).groupBy(*key).agg(*ends)
     gaps = []
     for i, name in enumerate(columns):
-        low_s, high_s, low_t, high_t = (F.col(f"{end}") for end in (f"s{i}_min", f"s{i}_max", f"t{i}_min", f"t{i}_max"))
+        low_s, high_s, low_t, high_t = (F.col(f"{side}{i}_{end}") for side in "st" for end in ("min", "max"))
         equal = (low_s == high_t) & (high_s == low_t)
         widest = F.greatest(F.abs(high_s - low_t), F.abs(high_t - low_s))
         paired = low_s.isNotNull() & low_t.isNotNull()
@@ -158,21 +169,19 @@ def float_tolerance(
 
 
 def content_match(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Whether both sides hold the same rows equally often, by count and fingerprint sums.
+    """Whether both sides hold the same rows equally often, by count and hash sums.
 
     The sums do not depend on row order but do count repeated rows. One pass over each
     side, no shuffle of the data.
     """
     same_columns(source, target)
-    printed = _stack(source, target).select("_in_source", *_fingerprint(source.columns))
-    found = printed.agg(
+    hashed = _stack(source, target).select("_in_source", _hash(source.columns, 0).alias("_hash"))
+    found = hashed.agg(
         F.count_if("_in_source").alias("source_rows"),
         F.count_if(~F.col("_in_source")).alias("target_rows"),
-        *[_net_sum(name).alias(name) for name in _PRINTS],
+        *_net_sums(),
     )
-    equal = F.col("source_rows") == F.col("target_rows")
-    for name in _PRINTS:
-        equal &= F.col(name) == 0
+    equal = (F.col("source_rows") == F.col("target_rows")) & ~_sums_differ()
     return found.select("source_rows", "target_rows", _status(equal))
 
 
@@ -220,14 +229,12 @@ def keyed_diff(source: DataFrame, target: DataFrame, key: Sequence[str]) -> Data
     """
     same_columns(source, target)
     values = [name for name in source.columns if name not in key]
-    printed = _stack(source, target).select(*key, "_in_source", *_fingerprint(values))
-    per_key = printed.groupBy(*key).agg(
+    hashed = _stack(source, target).select(*key, "_in_source", _hash(values, 0).alias("_hash"))
+    per_key = hashed.groupBy(*key).agg(
         F.count_if("_in_source").alias("_source"),
         F.count_if(~F.col("_in_source")).alias("_target"),
-        *[_net_sum(name).alias(name) for name in _PRINTS],
+        *_net_sums(),
     )
-    differs = F.col("_source") != F.col("_target")
-    for name in _PRINTS:
-        differs |= F.col(name) != 0
+    differs = (F.col("_source") != F.col("_target")) | _sums_differ()
     change = F.when(F.col("_source") == 0, "added").when(F.col("_target") == 0, "removed").otherwise("changed")
     return per_key.where(differs).select(*key, change.alias("change"))

@@ -28,10 +28,11 @@ _REPORT = (
 
 @dataclass(frozen=True)
 class Source:
-    """A table to migrate: its contract and how to read it."""
+    """A table to migrate: its contract, how to read it, and whether its directories are worth a shuffle."""
 
     contract: Contract
     read: Callable[[], DataFrame]
+    gather: bool = True
 
 
 @dataclass(frozen=True)
@@ -100,7 +101,8 @@ def migrate(warehouse: Warehouse, sources: Sequence[Source], parallel: int = 4)
 
     def one(source: Source) -> Outcome:
         def work() -> Outcome:
-            load = warehouse.write(conform(source.read(), source.contract), source.contract)
+            rows = conform(source.read(), source.contract)
+            load = warehouse.write(rows, source.contract, source.gather)
             return Outcome("migrate", source.contract.name, "success", load.rows)
 
         return _timed("migrate", source.contract.name, work)

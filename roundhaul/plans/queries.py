@@ -103,6 +103,7 @@ EVENTS = Contract.declare(
     key=["event_id"],
     partition_by=["ts", "event_type"],
 )
+# Order statuses are few, so orders are written to their directories without a shuffle.
 MOVED = (CUSTOMER, PART, ORDERS, LINEITEM, EVENTS)
 
 
@@ -367,16 +368,16 @@ def day_range_scan(spark, sf_dir):
 def read_as_of(spark, sf_dir):
     orders = convert.conform(table(spark, sf_dir, "orders"), ORDERS)
     stored = warehouse(spark, "asof")
-    first = stored.write(orders, ORDERS)
-    stored.write(orders.where(F.col("o_orderstatus") == "F"), ORDERS)
+    first = stored.write(orders, ORDERS, gather=False)
+    stored.write(orders.where(F.col("o_orderstatus") == "F"), ORDERS, gather=False)
     return stored.read(ORDERS, as_of=first.id)
 
 
 def replaced_load(spark, sf_dir):
     orders = convert.conform(table(spark, sf_dir, "orders"), ORDERS)
     stored = warehouse(spark, "replace")
-    stored.write(orders, ORDERS)
-    stored.write(orders.where(F.col("o_orderstatus") == "F"), ORDERS)
+    stored.write(orders, ORDERS, gather=False)
+    stored.write(orders.where(F.col("o_orderstatus") == "F"), ORDERS, gather=False)
     return stored.read(ORDERS)
 
 
@@ -454,7 +455,9 @@ def evolve_append(spark, sf_dir):
 
 
 def _sources(spark, sf_dir):
-    return [jobs.Source(c, lambda name=c.name: table(spark, sf_dir, name)) for c in MOVED]
+    return [
+        jobs.Source(c, lambda name=c.name: table(spark, sf_dir, name), gather=c is not ORDERS) for c in MOVED
+    ]
 
 
 def migrate_report(spark, sf_dir):

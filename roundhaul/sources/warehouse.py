@@ -89,20 +89,21 @@ class Warehouse:
         if not self.tables():
             raise NotMigrated(f"nothing has been migrated to {self.root}/{self.namespace} yet")
 
-    def write(self, df: DataFrame, contract: Contract) -> Load:
+    def write(self, df: DataFrame, contract: Contract, gather: bool = True) -> Load:
         """Create or replace a table and tell how many rows went into it.
 
-        Rows of a partitioned table are rebalanced on their directory keys, so each task
-        writes few directories; adaptive execution splits a key that holds too much. An
-        unpartitioned table is written without a shuffle. Rows are counted after the
-        rebalance, in the stage that writes, where a retried task is counted once.
+        With ``gather``, rows of a partitioned table are rebalanced on their directory keys,
+        so each task writes few directories; adaptive execution splits a key that holds too
+        much. Without it every task writes all the keys it meets, which saves the shuffle
+        where the keys have only a few values. An unpartitioned table is never shuffled.
+        Rows are counted in the stage that writes, where a retried task is counted once.
         """
         attempted = self._load_ids(f"{self.folder(contract.name)}/load=*")
         load_id = max(attempted, default=0) + 1
         path = f"{self.folder(contract.name)}/load={load_id}"
         keys = [p.key for p in contract.partitions]
         rows = contract.to_stored(df)
-        if keys:
+        if keys and gather:
             rows = rows.hint("rebalance", *keys)
         counted = Observation()
         writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
@@ -142,6 +143,21 @@ class Warehouse:
             rows = rows.where((F.col(level.key) >= first) & (F.col(level.key) <= last))
         return contract.from_stored(rows)
 
+    def drop_loads(self, table: str, keep: int = 1) -> list[int]:
+        """Delete all but the newest ``keep`` finished loads, and unfinished ones older than those.
+
+        Nothing may be reading or writing the deleted loads.
+        """
+        if keep < 1:
+            raise ValueError("at least the current load must be kept")
+        finished = self.loads(table)
+        oldest_kept = finished[-keep:][0] if finished else 0
+        dropped = [n for n in self._load_ids(f"{self.folder(table)}/load=*") if n < oldest_kept]
+        for load_id in dropped:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder(table)}/load={load_id}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return dropped
+
     def publish(self, contracts: Iterable[Contract]) -> None:
         """Make the current loads available to SQL under their table names."""
         for contract in contracts:

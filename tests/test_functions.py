@@ -36,6 +36,14 @@ def test_value_that_does_not_fit_stops_the_load_in_any_mode(spark, ansi):
     assert rejected == {"id": 0, "flag": 0, "amount": 1}
 
 
+def test_missing_numbers_become_null(spark):
+    rows = spark.createDataFrame([(1, float("nan"), float("nan"))], "id int, amount double, ratio double")
+    wanted = Contract.declare("t", {"id": "bigint", "amount": "money", "ratio": "float"})
+    row = convert.conform(rows, wanted).first()
+    assert row["amount"] is None
+    assert row["ratio"] != row["ratio"]
+
+
 def test_conform_refuses_other_columns(spark):
     with pytest.raises(convert.ShapeMismatch, match=r"missing columns \['tiny', 'flag', 'amount'\], unexpected columns \['x'\]"):
         convert.conform(spark.createDataFrame([(1, 2)], "id int, x int"), T)

@@ -98,6 +98,28 @@ def test_reload_replaces_and_earlier_load_stays_readable(spark, folder):
     assert stored.read(ITEMS, as_of=0).count() == 0
 
 
+def test_drop_loads(spark, folder):
+    stored = Warehouse(spark, folder)
+    for n in range(1, 5):
+        stored.write(items(spark, (n, "a")), ITEMS)
+    with pytest.raises(ValueError, match="current load"):
+        stored.drop_loads("items", keep=0)
+    assert stored.drop_loads("items", keep=2) == [1, 2]
+    assert stored.loads("items") == [3, 4]
+    assert [r["id"] for r in stored.read(ITEMS).collect()] == [4]
+    assert [r["id"] for r in stored.read(ITEMS, as_of=3).collect()] == [3]
+    assert stored.drop_loads("nothing") == []
+
+
+def test_few_keys_need_no_shuffle(spark, folder):
+    stored = Warehouse(spark, folder)
+    rows = spark.range(0, 100, 1, 4).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("kind"))
+    load = stored.write(rows, ITEMS, gather=False)
+    assert load.rows == 100
+    assert len(spark.read.parquet(load.path).inputFiles()) == 8
+    assert differing_rows(rows, stored.read(ITEMS)).collect() == []
+
+
 def test_unfinished_load_is_not_read(spark, folder):
     stored = Warehouse(spark, folder)
     stored.write(items(spark, (1, "a")), ITEMS)
