@@ -102,6 +102,8 @@ class Contract:
         for name in names:
             if name not in types:
                 raise ValueError(f"{self.name} has no column {name} to partition by")
+            if isinstance(types[name], T.BinaryType):
+                raise ValueError(f"{name} is binary and cannot name a directory")
             by_day = isinstance(types[name], (T.DateType, T.TimestampType, T.TimestampNTZType))
             levels.append(Partition(name, by_day))
         taken = {c.name for c in self.columns}

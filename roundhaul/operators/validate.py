@@ -23,9 +23,10 @@ TOLERANCE = 1e-9
 # Two hashes with different starts make a fingerprint of 128 bits: among 10^12 different
 # rows, the chance that any two share one is about 10^-15.
 _PRINTS = ("_print0", "_print1")
-# One hash is enough to compare two given sets of rows. It is added up in three parts, each
-# so short that 10^12 rows cannot overflow its sum.
-_PARTS = (("_part0", 0, 22), ("_part1", 22, 21), ("_part2", 43, 21))
+# One hash is enough to compare two given sets of rows. It is added up in parts of 16 bits,
+# so short that 10^14 rows cannot overflow a sum.
+_PART_BITS = 16
+_PARTS = tuple(f"_part{i}" for i in range(64 // _PART_BITS))
 
 
 def _status(passed: Column) -> Column:
@@ -54,15 +55,15 @@ def _fingerprint(columns: Sequence[str]) -> list[Column]:
 def _net_sums() -> list[Column]:
     """Per part of ``_hash``: its sum over the source minus its sum over the target."""
     sums = []
-    for name, low, width in _PARTS:
-        part = F.shiftrightunsigned("_hash", low).bitwiseAND(F.lit(2**width - 1))
+    for position, name in enumerate(_PARTS):
+        part = F.shiftrightunsigned("_hash", position * _PART_BITS).bitwiseAND(F.lit(2**_PART_BITS - 1))
         signed = F.when(F.col("_in_source"), part).otherwise(-part)
         sums.append(F.coalesce(F.sum(signed), F.lit(0)).alias(name))
     return sums
 
 
 def _sums_differ() -> Column:
-    return reduce(lambda a, b: a | b, [F.col(name) != 0 for name, _, _ in _PARTS])
+    return reduce(lambda a, b: a | b, [F.col(name) != 0 for name in _PARTS])
 
 
 def _surplus() -> Column:

@@ -293,6 +293,11 @@ ORACLES: dict[str, str] = {
         SELECT name AS table_name, 'success' AS status, row_count AS rows, 'PASSED' AS validation
         FROM ({ALL_COUNTS})
         UNION ALL SELECT 'never_migrated', 'no_data', 0, NULL""",
+    "restore_roundtrip": """
+        SELECT event_id, ts, user_id, event_type,
+               CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+               hex(encode(props)) AS props
+        FROM events""",
     "full_cycle": f"""
         SELECT name AS table_name, row_count AS source_rows, row_count AS migrated_rows,
                row_count AS restored_rows, 'PASSED' AS status

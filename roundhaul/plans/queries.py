@@ -482,6 +482,16 @@ def restore_report(spark, sf_dir):
     return jobs.report(spark, outcomes).select("table_name", "status", "rows", "validation")
 
 
+def restore_roundtrip(spark, sf_dir):
+    """Events with their properties as bytes, migrated, restored and read back from the target."""
+    events = _events_with_nan(spark, sf_dir).withColumn("props", F.encode("props", "UTF-8"))
+    contract = Contract.of("events", events, key=["event_id"], partition_by=["ts"])
+    stored, target = warehouse(spark, "events"), WarehouseTarget(warehouse(spark, "events-target"))
+    jobs.migrate(stored, [jobs.Source(contract, lambda: events)])
+    jobs.restore(stored, [contract], target)
+    return target.read(contract).withColumn("props", F.hex("props"))
+
+
 def full_cycle(spark, sf_dir):
     stored, database = warehouse(spark, "cycle"), warehouse(spark, "cycle-target")
     rows = jobs.full_cycle(stored, _sources(spark, sf_dir), WarehouseTarget(database))
@@ -539,6 +549,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         evolve_append,
         migrate_report,
         restore_report,
+        restore_roundtrip,
         full_cycle,
     )
 }

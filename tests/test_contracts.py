@@ -88,7 +88,9 @@ def test_sales_contracts():
 
 
 def test_partition_columns_must_exist_and_not_clash():
-    plain = Contract.declare("t", {"d": "date", "d_day": "int"})
+    plain = Contract.declare("t", {"d": "date", "d_day": "int", "raw": "varbinary(8)"})
+    with pytest.raises(ValueError, match="raw is binary"):
+        plain.partitioned_by("raw")
     with pytest.raises(ValueError, match="no column x"):
         plain.partitioned_by("x")
     with pytest.raises(ValueError, match="already has a column"):

@@ -50,7 +50,7 @@ def values():
     )
 
 
-@pytest.mark.parametrize("levels", [(), ("label",), ("moment", "tiny"), ("instant",), ("day", "flag")])
+@pytest.mark.parametrize("levels", [(), ("label",), ("moment", "tiny"), ("instant",), ("day", "flag"), ("amount",), ("ratio", "wide")])
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=st.lists(values(), min_size=1, max_size=25))
 def test_round_trip_keeps_every_value(spark, levels, data):
