@@ -35,7 +35,7 @@ STATUSES = ["COMPLETED", "SHIPPED", "PROCESSING", "PENDING", "CANCELLED"]
 COLOURS = ["Red", "Blue", "Green", "Black", "White"]
 
 # The moment that counts as "now" in derived dates, so that results can be repeated.
-NOW = dt.datetime(2024, 6, 1, 12, 0, 0)
+NOW = "2024-06-01 12:00:00"
 
 CUSTOMER = Contract.declare(
     "customer",

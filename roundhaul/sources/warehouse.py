@@ -95,7 +95,8 @@ class Warehouse:
         With ``gather``, rows of a partitioned table are rebalanced on their directory keys,
         so each task writes few directories; adaptive execution splits a key that holds too
         much. Without it every task writes all the keys it meets, which saves the shuffle
-        where the keys have only a few values. An unpartitioned table is never shuffled.
+        where the keys have only a few values; so does a session without adaptive execution,
+        where a frequent key would end up in one task. An unpartitioned table is never shuffled.
         Rows are counted in the stage that writes, where a retried task is counted once.
         """
         attempted = self._load_ids(f"{self.folder(contract.name)}/load=*")
@@ -103,7 +104,7 @@ class Warehouse:
         path = f"{self.folder(contract.name)}/load={load_id}"
         keys = [p.key for p in contract.partitions]
         rows = contract.to_stored(df)
-        if keys and gather:
+        if keys and gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
             rows = rows.hint("rebalance", *keys)
         counted = Observation()
         writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
@@ -132,10 +133,11 @@ class Warehouse:
         """Rows with ``start <= column < end``, opening only the directories of those days.
 
         Spark does not conclude the day from the timestamp, so the bounds on the directory
-        key are stated as well.
+        key are stated as well. Bounds go in as text, because a datetime literal would pass
+        through the session's time zone.
         """
         kind = contract.column(column).type
-        low, high = (F.lit(bound).cast(kind) for bound in (start, end))
+        low, high = (F.lit(str(bound)).cast(kind) for bound in (start, end))
         rows = self._stored(contract, as_of).where((F.col(column) >= low) & (F.col(column) < high))
         level = next((p for p in contract.partitions if p.column == column and p.by_day), None)
         if level is not None:

@@ -1,0 +1,35 @@
+import pytest
+
+from roundhaul.__main__ import arguments, connection, run
+from roundhaul.contracts import sales
+from roundhaul.functions.convert import conform
+from roundhaul.plans import jobs
+from roundhaul.sources import Warehouse
+from tests import sales_data
+
+
+def test_arguments(monkeypatch):
+    monkeypatch.setenv("ROUNDHAUL_PASSWORD", "secret")
+    options = arguments(["migrate", "--warehouse", "/w", "--url", "jdbc:x", "--user", "me"])
+    assert options.tables == list(sales_data.ROWS)
+    assert connection(options) == {"url": "jdbc:x", "user": "me", "password": "secret"}
+    for wrong in (["migrate", "--warehouse", "/w"], ["restore", "--warehouse", "/w"], ["inventory"]):
+        with pytest.raises(SystemExit):
+            arguments(wrong)
+    with pytest.raises(SystemExit):
+        arguments(["restore", "--warehouse", "/w", "--url", "jdbc:x", "--tables", "nothing"])
+
+
+def test_restore_and_inventory(spark, folder, capsys):
+    restore = ["restore", "--warehouse", f"{folder}/a", "--target-warehouse", f"{folder}/b", "--tables", "customers", "products"]
+    assert run(spark, arguments(restore)) == 1
+    assert "nothing has been migrated" in capsys.readouterr().err
+    stored = Warehouse(spark, f"{folder}/a")
+    stored.write(conform(sales_data.tables(spark)["customers"], sales.CUSTOMERS), sales.CUSTOMERS)
+    assert run(spark, arguments(restore)) == 0
+    out = capsys.readouterr().out
+    assert "customers: success, 1000 rows" in out and "products: no_data, 0 rows" in out
+    assert out.endswith("total: 1000 rows\n")
+    assert jobs.past_reports(stored).count() == 2
+    assert run(spark, arguments(["inventory", "--warehouse", f"{folder}/b"])) == 0
+    assert Warehouse(spark, f"{folder}/b").inventory().first()["table_name"] == "customers_backload"

@@ -1,6 +1,9 @@
 """What is sent to a database; no database runs here."""
 
+import pytest
+
 from roundhaul.contracts import Contract, sales
+from roundhaul.plans.targets import JdbcTarget
 from roundhaul.sources import jdbc
 
 
@@ -54,3 +57,22 @@ def test_times_and_unknown_types_are_read_as_text():
     contract = Contract.declare("t", {"id": "bigint", "at": "time(7)", "name": "varchar(9)", "place": "geography"})
     assert jdbc.read_as_text(contract) == {"customSchema": "`at` STRING, `place` STRING"}
     assert jdbc.read_as_text(sales.CUSTOMERS) == {}
+
+
+NOWHERE = {"url": "jdbc:nowhere:x", "user": "u", "password": "p"}
+
+
+@pytest.mark.parametrize(
+    "use",
+    [
+        lambda spark: jdbc.read_table(spark, NOWHERE, "sales", sales.CUSTOMERS, split_by="customer_id"),
+        lambda spark: jdbc.read_table(spark, NOWHERE, "sales", sales.CUSTOMERS),
+        lambda spark: jdbc.column_metadata(spark, NOWHERE, "sales", "customers"),
+        lambda spark: JdbcTarget(spark, NOWHERE).read(sales.CUSTOMERS),
+        lambda spark: JdbcTarget(spark, NOWHERE).write(spark.createDataFrame([], sales.CUSTOMERS.schema), sales.CUSTOMERS, True),
+        lambda spark: JdbcTarget(spark, NOWHERE).write(spark.createDataFrame([], sales.CUSTOMERS.schema), sales.CUSTOMERS, False),
+    ],
+)
+def test_every_call_gets_as_far_as_looking_for_the_driver(spark, use):
+    with pytest.raises(Exception, match="No suitable driver"):
+        use(spark)

@@ -171,7 +171,13 @@ def test_range_read_opens_only_the_days_asked_for(spark, folder):
     text = plan(found)
     assert "PartitionFilters: [isnotnull(at_day" in text
     assert "PushedFilters: [IsNotNull(at), GreaterThanOrEqual(at" in text
-    assert len(found.inputFiles()) > 0
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        again = stored.read_range(EVENTS, "at", "2024-02-29 12:00:00", "2024-03-01 06:00:00")
+        assert differing_rows(found, again).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_a_day_that_holds_too_much_is_written_by_several_tasks(spark, folder):
@@ -206,3 +212,15 @@ def test_read_directory(spark, folder):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
+
+
+def test_without_adaptive_execution_no_key_is_gathered_in_one_task(spark, folder):
+    stored = Warehouse(spark, folder)
+    rows = spark.range(0, 100, 1, 4).select("id", F.lit("a").alias("kind"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        load = stored.write(rows, ITEMS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert load.rows == 100
+    assert len(spark.read.parquet(load.path).inputFiles()) == 4
