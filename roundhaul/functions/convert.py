@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundhaul.contracts import Contract
+from roundhaul.session import local_table
 
 
 FLOATS = (T.FloatType, T.DoubleType)
@@ -53,7 +54,7 @@ def rejected_values(df: DataFrame, contract: Contract) -> DataFrame:
     present = {f.name: f.dataType for f in df.schema.fields}
     changing = [c for c in contract.columns if present.get(c.name, c.type) != c.type]
     if not changing:
-        return df.sparkSession.createDataFrame([], "column_name string, rejected bigint")
+        return local_table(df.sparkSession, [], "column_name string, rejected bigint")
     counts = df.agg(
         *[
             F.count_if(F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.type).isNull()).alias(c.name)

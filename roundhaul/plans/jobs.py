@@ -15,6 +15,7 @@ from roundhaul.contracts import Contract
 from roundhaul.functions.convert import conform, export_form
 from roundhaul.operators.validate import FAILED, PASSED, content_match, statistics_match
 from roundhaul.plans.targets import Target
+from roundhaul.session import local_table
 from roundhaul.sources.warehouse import NotMigrated, Warehouse
 
 log = logging.getLogger(__name__)
@@ -60,7 +61,7 @@ def report(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
     rows = [
         (o.job, o.table, o.status, o.rows, o.validation, o.seconds, o.error, o.finished_at) for o in outcomes
     ]
-    return spark.createDataFrame(rows, _REPORT)
+    return local_table(spark, rows, _REPORT)
 
 
 def keep_report(warehouse: Warehouse, outcomes: Sequence[Outcome]) -> None:

@@ -18,7 +18,7 @@ from roundhaul.functions import convert, derive
 from roundhaul.operators import audit, evolve, stats, validate
 from roundhaul.plans import jobs
 from roundhaul.plans.targets import WarehouseTarget
-from roundhaul.session import fresh_folder
+from roundhaul.session import fresh_folder, local_table
 from roundhaul.sources.warehouse import Warehouse, count_by_table, read_directory
 
 TABLES = (
@@ -163,7 +163,7 @@ def table_inventory(spark, sf_dir):
     counted = count_by_table(spark, "sales", paths, r"/([^/]+)\.parquet(?:/|$)")
     with ThreadPoolExecutor(8) as pool:  # each schema is one footer, read by the driver
         widths = list(pool.map(lambda name: (name, len(table(spark, sf_dir, name).columns)), TABLES))
-    return counted.join(spark.createDataFrame(widths, "table_name string, column_count int"), "table_name")
+    return counted.join(local_table(spark, widths, "table_name string, column_count int"), "table_name")
 
 
 def param_filter(spark, sf_dir):
@@ -495,7 +495,8 @@ def restore_roundtrip(spark, sf_dir):
 def full_cycle(spark, sf_dir):
     stored, database = warehouse(spark, "cycle"), warehouse(spark, "cycle-target")
     rows = jobs.full_cycle(stored, _sources(spark, sf_dir), WarehouseTarget(database))
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         [tuple(row.values()) for row in rows],
         "table_name string, source_rows bigint, migrated_rows bigint, restored_rows bigint, status string",
     )

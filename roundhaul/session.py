@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 ADVISORY_BYTES = 128 * 1024**2
@@ -61,3 +65,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A folder under the shared one that no earlier run has used."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A few rows the driver already holds, such as one per table, as a DataFrame.
+
+    Handed over as Arrow they become a local relation of known size; from a list, Spark
+    would start Python workers on the executors to read them.
+    """
+    kinds = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    held = [dict(zip(kinds.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(held, schema=to_arrow_schema(kinds)), kinds)

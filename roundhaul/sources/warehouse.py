@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundhaul.contracts import Contract
+from roundhaul.session import local_table
 
 
 class NotMigrated(RuntimeError):
@@ -40,7 +41,7 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
 def read_directory(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """All Parquet files of a directory as one table; no directory or no file gives no rows."""
     if not _glob(spark, f"{path.rstrip('/')}/*.parquet"):
-        return spark.createDataFrame([], contract.schema)
+        return local_table(spark, [], contract.schema)
     files = spark.read.schema(contract.schema).option("pathGlobFilter", "*.parquet").parquet(path)
     return files.select(*contract.names)
 
@@ -57,7 +58,7 @@ def count_by_table(spark: SparkSession, namespace: str, paths: Mapping[str, str]
     per_file = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
     table_name = F.regexp_extract("file", owner, 1).alias("table_name")
     counted = per_file.groupBy(table_name).agg(F.sum("n").alias("rows"))
-    names = spark.createDataFrame([(namespace, table) for table in paths], "namespace string, table_name string")
+    names = local_table(spark, [(namespace, table) for table in paths], "namespace string, table_name string")
     return names.join(counted, "table_name", "left").select(
         "namespace", "table_name", F.coalesce("rows", F.lit(0)).alias("row_count")
     )
@@ -121,7 +122,7 @@ class Warehouse:
     def _stored(self, contract: Contract, as_of: int | None) -> DataFrame:
         path = self._path(contract.name, as_of)
         if path is None:
-            return self.spark.createDataFrame([], contract.stored_schema)
+            return local_table(self.spark, [], contract.stored_schema)
         reader = self.spark.read.schema(contract.stored_schema).option("basePath", path)
         return reader.option("pathGlobFilter", "*.parquet").parquet(path)
 
@@ -169,5 +170,5 @@ class Warehouse:
         """Namespace, table and row count of every table that has been loaded."""
         paths = {table: self._path(table, None) for table in self.tables()}
         if not paths:
-            return self.spark.createDataFrame([], "namespace string, table_name string, row_count bigint")
+            return local_table(self.spark, [], "namespace string, table_name string, row_count bigint")
         return count_by_table(self.spark, self.namespace, paths, r"/([^/]+)/data/load=")
