@@ -17,6 +17,11 @@ _HIDDEN_BY_SPARK = ("", "__HIVE_DEFAULT_PARTITION__")
 _MARK = "~"
 
 
+def named(name: str) -> Col:
+    """The column of exactly this name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 @dataclass(frozen=True)
 class Column:
     name: str
@@ -141,7 +146,7 @@ class Contract:
 
         Instants count in UTC whatever the session's zone.
         """
-        value = F.col(name) if value is None else value
+        value = named(name) if value is None else value
         if isinstance(self.column(name).type, T.TimestampType):
             return F.date_from_unix_date(F.floor(F.unix_seconds(value) / 86400).cast("int"))
         return F.to_date(value)
@@ -155,7 +160,7 @@ class Contract:
         marked = self._text_keys()
         columns = []
         for name in self.names:
-            value = F.col(name)
+            value = named(name)
             if name in marked:
                 clashes = value.isin(*_HIDDEN_BY_SPARK) | value.startswith(_MARK)
                 value = F.when(clashes, F.concat(F.lit(_MARK), value)).otherwise(value).alias(name)
@@ -168,7 +173,7 @@ class Contract:
         marked = self._text_keys()
         columns = []
         for name in self.names:
-            value = F.col(name)
+            value = named(name)
             if name in marked:
                 unmarked = F.substring(value, len(_MARK) + 1, 2**31 - 1)
                 value = F.when(value.startswith(_MARK), unmarked).otherwise(value).alias(name)

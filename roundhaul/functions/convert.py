@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundhaul.contracts import Contract
+from roundhaul.contracts import Contract, named
 from roundhaul.session import local_table
 
 
@@ -39,7 +39,7 @@ def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFr
         raise ShapeMismatch(f"{contract.name}: missing columns {missing}, unexpected columns {extra}")
     columns = []
     for wanted in contract.columns:
-        value = F.col(wanted.name)
+        value = named(wanted.name)
         floating = isinstance(present[wanted.name], FLOATS)
         if floating and not isinstance(wanted.type, FLOATS):
             value = nan_to_null(value)
@@ -57,11 +57,11 @@ def rejected_values(df: DataFrame, contract: Contract) -> DataFrame:
         return local_table(df.sparkSession, [], "column_name string, rejected bigint")
     counts = df.agg(
         *[
-            F.count_if(F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.type).isNull()).alias(c.name)
+            F.count_if(named(c.name).isNotNull() & named(c.name).try_cast(c.type).isNull()).alias(c.name)
             for c in changing
         ]
     )
-    return counts.unpivot([], [c.name for c in changing], "column_name", "rejected")
+    return counts.unpivot([], [named(c.name) for c in changing], "column_name", "rejected")
 
 
 def exact_decimal(column: Column, precision: int, scale: int) -> Column:
@@ -108,7 +108,7 @@ def export_form(
     """
     columns = []
     for field in df.schema.fields:
-        value = F.col(field.name)
+        value = named(field.name)
         if isinstance(field.dataType, FLOATS):
             value = nan_to_null(value)
         elif timestamps_as_text and isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):

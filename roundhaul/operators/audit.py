@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roundhaul.contracts import named
+
 
 def audit_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs in each column that must have none; one pass over those columns."""
     nulls = [
-        F.struct(F.lit(name).alias("column_name"), F.count_if(F.col(name).isNull()).alias("violations"))
+        F.struct(F.lit(name).alias("column_name"), F.count_if(named(name).isNull()).alias("violations"))
         for name in columns
     ]
     return df.agg(F.array(*nulls).alias("nulls")).select(F.inline("nulls"))
@@ -22,7 +25,7 @@ def audit_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
     A key with a NULL in it counts like any other, as the source database has it.
     """
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return df.groupBy(*[named(k) for k in key]).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
 def audit_foreign_key(
@@ -33,8 +36,10 @@ def audit_foreign_key(
     Both sides are stacked and counted by key, so a frequent key is reduced before the
     shuffle. An anti join would not be: Spark moves it below the aggregation of the child.
     """
-    from_child = child.dropna(subset=list(columns)).select(*columns, F.lit(1).alias("_child"))
-    keys = [F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]
+    own = [named(c) for c in columns]
+    keys = [named(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]
+    refers = reduce(lambda a, b: a & b, [key.isNotNull() for key in own])
+    from_child = child.where(refers).select(*own, F.lit(1).alias("_child"))
     both = from_child.unionByName(parent.select(*keys, F.lit(0).alias("_child")))
-    per_key = both.groupBy(*columns).agg(F.sum("_child").alias("orphans"), F.min("_child").alias("_child"))
+    per_key = both.groupBy(*own).agg(F.sum("_child").alias("orphans"), F.min("_child").alias("_child"))
     return per_key.where("_child = 1").drop("_child")

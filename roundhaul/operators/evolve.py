@@ -5,10 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundhaul.contracts import Column, Contract
+from roundhaul.contracts import Column, Contract, named
 from roundhaul.functions.convert import strict_cast
 
 
@@ -60,7 +59,7 @@ def evolve_append(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     wider = {name: after for name, _, after in drift.changed}
     widened = existing.select(
         *[
-            strict_cast(F.col(c.name), wider[c.name], c.name).alias(c.name) if c.name in wider else F.col(c.name)
+            strict_cast(named(c.name), wider[c.name], c.name).alias(c.name) if c.name in wider else named(c.name)
             for c in old.columns
         ]
     )

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roundhaul.contracts import named
+
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -37,24 +39,24 @@ def load_statistics(df: DataFrame, entity: str, moment: str) -> DataFrame:
     """Rows, distinct entities and first and last moment, in one pass over two columns."""
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(F.col(entity)).alias("unique_entities"),
-        F.min(moment).alias("min_date"),
-        F.max(moment).alias("max_date"),
+        F.count_distinct(named(entity)).alias("unique_entities"),
+        F.min(named(moment)).alias("min_date"),
+        F.max(named(moment)).alias("max_date"),
     )
 
 
 def equal_to(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """Rows where every named column equals its value."""
-    return df.where(reduce(lambda a, b: a & b, [F.col(name) == value for name, value in values.items()]))
+    return df.where(reduce(lambda a, b: a & b, [named(name) == value for name, value in values.items()]))
 
 
 def one_of(df: DataFrame, column: str, values: list[object]) -> DataFrame:
-    return df.where(F.col(column).isin(values))
+    return df.where(named(column).isin(values))
 
 
 def latest(df: DataFrame, *newest_first: str, n: int = 10) -> DataFrame:
     """The ``n`` newest rows; each task keeps only its own best ``n`` before they are merged."""
-    return df.orderBy(*[F.desc(name) for name in newest_first]).limit(n)
+    return df.orderBy(*[named(name).desc() for name in newest_first]).limit(n)
 
 
 def orders_by_place(region: DataFrame, nation: DataFrame, customer: DataFrame, orders: DataFrame) -> DataFrame:
@@ -94,7 +96,7 @@ def profile_columns(df: DataFrame, required: Collection[str] = (), exact: bool =
         return _profile_in_one_pass(df, fields, required)
     parts = []
     for position, field in fields:
-        values = df.groupBy(F.col(field.name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        values = df.groupBy(named(field.name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
         orderable = F.col("v") if _orderable(field.dataType) else F.lit(None).cast("string")
         parts.append(
             values.agg(
@@ -125,7 +127,7 @@ def _profile_in_one_pass(
 ) -> DataFrame:
     figures = []
     for position, field in fields:
-        value = F.col(field.name)
+        value = named(field.name)
         orderable = value if _orderable(field.dataType) else F.lit(None).cast("string")
         figures.append(
             F.struct(

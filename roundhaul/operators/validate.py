@@ -12,9 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from roundhaul.contracts import Contract
+from roundhaul.contracts import Contract, named
+from roundhaul.functions.convert import FLOATS
+from roundhaul.session import local_table
 
 PASSED, FAILED = "PASSED", "FAILED"
 # Fixed value: the largest difference between two floats that still passes.
@@ -45,7 +46,7 @@ def _hash(columns: Sequence[str], start: int) -> Column:
     Spark's hash skips NULL, so which columns are NULL is hashed too; otherwise a value
     that moves from one column into an empty neighbour would go unnoticed.
     """
-    return F.xxhash64(F.lit(start), *[F.col(c).isNull() for c in columns], *[F.col(c) for c in columns])
+    return F.xxhash64(F.lit(start), *[named(c).isNull() for c in columns], *[named(c) for c in columns])
 
 
 def _fingerprint(columns: Sequence[str]) -> list[Column]:
@@ -83,13 +84,17 @@ def row_count_match(source: DataFrame, target: DataFrame) -> DataFrame:
 def statistics_match(source: DataFrame, target: DataFrame, entity: str, moment: str) -> DataFrame:
     """Load statistics of both sides, one row per statistic, compared as text."""
     counted = (
-        _stack(source.select(entity, moment), target.select(entity, moment))
-        .groupBy("_in_source", entity)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(moment).alias("first"), F.max(moment).alias("last"))
+        _stack(source.select(named(entity), named(moment)), target.select(named(entity), named(moment)))
+        .groupBy("_in_source", named(entity).alias("entity"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(named(moment)).alias("first"),
+            F.max(named(moment)).alias("last"),
+        )
     )
     figures = {
         "total_rows": lambda side: F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0)),
-        "unique_entities": lambda side: F.count(F.when(side, F.col(entity))),
+        "unique_entities": lambda side: F.count(F.when(side, F.col("entity"))),
         "min_date": lambda side: F.min(F.when(side, F.col("first"))),
         "max_date": lambda side: F.max(F.when(side, F.col("last"))),
     }
@@ -148,15 +153,17 @@ def float_tolerance(
     included, differ by 0; NaN against a number gives NaN and fails.
     """
     if columns is None:
-        floating = [f.name for f in source.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+        floating = [f.name for f in source.schema.fields if isinstance(f.dataType, FLOATS)]
         columns = [name for name in floating if name in target.columns and name not in key]
-    kept = [*key, *columns]
+    if not columns:
+        return local_table(source.sparkSession, [], "column_name string, max_diff double, within_tolerance boolean")
+    kept = [named(name) for name in (*key, *columns)]
     ends = []
     for i, name in enumerate(columns):
         for side, here in (("s", F.col("_in_source")), ("t", ~F.col("_in_source"))):
-            value = F.when(here, F.col(name).cast("double"))
+            value = F.when(here, named(name).cast("double"))
             ends += [F.min(value).alias(f"{side}{i}_min"), F.max(value).alias(f"{side}{i}_max")]
-    per_key = _stack(source.select(*kept), target.select(*kept)).groupBy(*key).agg(*ends)
+    per_key = _stack(source.select(*kept), target.select(*kept)).groupBy(*kept[: len(key)]).agg(*ends)
     gaps = []
     for i, name in enumerate(columns):
         low_s, high_s, low_t, high_t = (F.col(f"{side}{i}_{end}") for side in "st" for end in ("min", "max"))
@@ -213,7 +220,7 @@ def differing_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     Compares every value rather than a fingerprint.
     """
     same_columns(source, target)
-    names = source.columns
+    names = [named(name) for name in source.columns]
     surplus = _stack(source, target).groupBy(*names).agg(_surplus().alias("_surplus")).where("_surplus <> 0")
     return surplus.select(
         *names,
@@ -230,12 +237,13 @@ def keyed_diff(source: DataFrame, target: DataFrame, key: Sequence[str]) -> Data
     """
     same_columns(source, target)
     values = [name for name in source.columns if name not in key]
-    hashed = _stack(source, target).select(*key, "_in_source", _hash(values, 0).alias("_hash"))
-    per_key = hashed.groupBy(*key).agg(
+    keys = [named(name) for name in key]
+    hashed = _stack(source, target).select(*keys, "_in_source", _hash(values, 0).alias("_hash"))
+    per_key = hashed.groupBy(*keys).agg(
         F.count_if("_in_source").alias("_source"),
         F.count_if(~F.col("_in_source")).alias("_target"),
         *_net_sums(),
     )
     differs = (F.col("_source") != F.col("_target")) | _sums_differ()
     change = F.when(F.col("_source") == 0, "added").when(F.col("_target") == 0, "removed").otherwise("changed")
-    return per_key.where(differs).select(*key, change.alias("change"))
+    return per_key.where(differs).select(*keys, change.alias("change"))

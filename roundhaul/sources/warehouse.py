@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundhaul.contracts import Contract
+from roundhaul.contracts import Contract, named
 from roundhaul.session import local_table
 
 
@@ -43,7 +43,7 @@ def read_directory(spark: SparkSession, path: str, contract: Contract) -> DataFr
     if not _glob(spark, f"{path.rstrip('/')}/*.parquet"):
         return local_table(spark, [], contract.schema)
     files = spark.read.schema(contract.schema).option("pathGlobFilter", "*.parquet").parquet(path)
-    return files.select(*contract.names)
+    return files.select(*[named(name) for name in contract.names])
 
 
 def count_by_table(spark: SparkSession, namespace: str, paths: Mapping[str, str], owner: str) -> DataFrame:
@@ -106,7 +106,7 @@ class Warehouse:
         keys = [p.key for p in contract.partitions]
         rows = contract.to_stored(df)
         if keys and gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
-            rows = rows.hint("rebalance", *keys)
+            rows = rows.hint("rebalance", *[named(key) for key in keys])
         counted = Observation()
         writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
         writer = writer.option("compression", "snappy")
@@ -139,11 +139,11 @@ class Warehouse:
         """
         kind = contract.column(column).type
         low, high = (F.lit(str(bound)).cast(kind) for bound in (start, end))
-        rows = self._stored(contract, as_of).where((F.col(column) >= low) & (F.col(column) < high))
+        rows = self._stored(contract, as_of).where((named(column) >= low) & (named(column) < high))
         level = next((p for p in contract.partitions if p.column == column and p.by_day), None)
         if level is not None:
             first, last = (contract.day_of(column, bound) for bound in (low, high))
-            rows = rows.where((F.col(level.key) >= first) & (F.col(level.key) <= last))
+            rows = rows.where((named(level.key) >= first) & (named(level.key) <= last))
         return contract.from_stored(rows)
 
     def drop_loads(self, table: str, keep: int = 1) -> list[int]:

@@ -1,0 +1,55 @@
+"""Column names as databases allow them: blanks, dots, quotes, brackets."""
+
+import datetime as dt
+
+from roundhaul.contracts import Contract
+from roundhaul.functions import convert
+from roundhaul.operators import audit, evolve, stats, validate
+from roundhaul.plans import jobs
+from roundhaul.plans.targets import WarehouseTarget
+from roundhaul.session import fresh_folder
+from roundhaul.sources import Warehouse
+
+ODD = Contract.declare(
+    "odd",
+    {
+        "Order.ID": "bigint not null",
+        "Unit Price (net)": "money",
+        "a`b": "float",
+        "placed.at": "datetime2(6)",
+        "[kind]": "nvarchar(20)",
+    },
+    key=["Order.ID"],
+    partition_by=["placed.at", "[kind]"],
+)
+
+
+def test_odd_names(spark):
+    moment = dt.datetime(2024, 2, 29, 12)
+    made = [(i, "1.5", float(i), moment + dt.timedelta(days=i), "x") for i in range(5)]
+    rows = spark.createDataFrame(made, ["Order.ID", "Unit Price (net)", "a`b", "placed.at", "[kind]"])
+    typed = convert.conform(rows, ODD)
+    stored, other = (Warehouse(spark, fresh_folder(spark, name)) for name in ("odd", "odd-target"))
+    found = jobs.full_cycle(stored, [jobs.Source(ODD, lambda: rows)], WarehouseTarget(other))
+    assert [tuple(r.values()) for r in found] == [("odd", 5, 5, 5, "PASSED")]
+    checked = {"odd": jobs.Statistics("Order.ID", "placed.at")}
+    assert jobs.restore(stored, [ODD], WarehouseTarget(other), statistics=checked)[0].validation == "PASSED"
+    assert stored.read_range(ODD, "placed.at", "2024-03-01", "2024-03-03").count() == 2
+
+    back = stored.read(ODD)
+    assert back.columns == ODD.names
+    assert validate.differing_rows(typed, back).isEmpty()
+    assert validate.keyed_diff(typed, back, ODD.key).isEmpty()
+    assert validate.content_diff(typed, back).first()["status"] == "PASSED"
+    assert validate.float_tolerance(typed, back, ODD.key).first()["column_name"] == "a`b"
+    assert validate.float_tolerance(typed.drop("a`b"), back.drop("a`b"), ODD.key).isEmpty()
+    assert stats.load_statistics(back, "Order.ID", "placed.at").first()["unique_entities"] == 5
+    assert stats.profile_columns(back).count() == stats.profile_columns(back, exact=False).count() == 5
+    assert stats.equal_to(back, {"Order.ID": 1, "[kind]": "x"}).count() == 1
+    assert stats.one_of(back, "Order.ID", [1, 2]).count() == 2
+    assert stats.latest(back, "placed.at", n=1).first()["Order.ID"] == 4
+    assert audit.audit_unique(back, ODD.key).isEmpty()
+    assert audit.audit_foreign_key(back, ODD.key, typed, ODD.key).isEmpty()
+    assert audit.audit_not_null(back, ODD.required).first()["violations"] == 0
+    assert {r["column_name"] for r in convert.rejected_values(rows, ODD).collect()} == {"Unit Price (net)", "placed.at"}
+    assert evolve.evolve_append(back, typed).count() == 10
