@@ -58,10 +58,9 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
-    moved = sum(
-        pq.read_metadata(f"{sf_dir}/{name}.parquet").num_rows
-        for name in ("customer", "part", "orders", "lineitem", "events")
-    )
+    names = ("customer", "part", "orders", "lineitem", "events")
+    rows = {name: pq.read_metadata(f"{sf_dir}/{name}.parquet").num_rows for name in names}
+    moved = sum(rows.values())
     result = {
         "metric": "headline queries, total time",
         "value": round(sum(seconds.values()), 3),
@@ -69,6 +68,9 @@ def main() -> None:
         "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "rows_per_sec": {
+            "write_and_read": round(rows["lineitem"] / seconds["write_read_roundtrip"]),
+            "order_pricing": round(rows["lineitem"] / seconds["order_pricing"]),
+            "content_diff": round(2 * rows["orders"] / seconds["content_diff"]),
             "migrate": round(moved / seconds["migrate_report"]),
             "full_cycle": round(moved / seconds["full_cycle"]),
         },

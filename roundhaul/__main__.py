@@ -87,7 +87,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> int:
             return 1
     jobs.keep_report(warehouse, outcomes)
     for o in outcomes:
-        print(f"{o.table}: {o.status}, {o.rows} rows, {o.seconds:.2f} s {o.validation or ''} {o.error or ''}".rstrip())
+        details = " ".join(part for part in (o.validation, o.error, o.note) if part)
+        print(f"{o.table}: {o.status}, {o.rows} rows, {o.seconds:.2f} s {details}".rstrip())
     print(f"total: {jobs.total_rows(outcomes)} rows")
     return 0 if all(o.status in ("success", "no_data") for o in outcomes) else 1
 

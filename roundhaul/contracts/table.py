@@ -129,6 +129,13 @@ class Contract:
     def required(self) -> list[str]:
         return [c.name for c in self.columns if not c.nullable]
 
+    @property
+    def shortened(self) -> list[str]:
+        """Timestamps declared with more digits than the microseconds Spark keeps."""
+        kinds = (T.TimestampType, T.TimestampNTZType)
+        timed = [c for c in self.columns if c.declared and isinstance(c.type, kinds)]
+        return [c.name for c in timed if c.declared.name != "datetime" and c.declared.fraction_digits > 6]
+
     @property
     def stored_schema(self) -> T.StructType:
         """The schema with directory keys included, so that Spark never guesses their types."""

@@ -74,7 +74,11 @@ def range_splits(low: int, high: int, column: str, partitions: int) -> dict[str,
 
 
 def hash_splits(columns: Iterable[str], partitions: int) -> list[str]:
-    """Conditions that deal the rows out by a hash the database takes over ``columns``."""
+    """Conditions that deal the rows out by a hash the database takes over ``columns``.
+
+    Each condition makes the database look at the whole table, so a range of an indexed key
+    is the better split where there is one.
+    """
     hashed = f"ABS(CAST(BINARY_CHECKSUM({', '.join(quoted(c) for c in columns)}) AS BIGINT))"
     return [f"{hashed} % {partitions} = {part}" for part in range(partitions)]
 

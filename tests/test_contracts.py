@@ -87,6 +87,13 @@ def test_sales_contracts():
     assert all(f.nullable for f in sales.PRODUCTS.schema.fields)
 
 
+def test_shortened_timestamps():
+    assert sales.CUSTOMERS.shortened == ["registration_date"]
+    assert sales.INVENTORY_SNAPSHOTS.shortened == []
+    declared = {"a": "datetime", "b": "datetime2", "c": "datetime2(6)", "d": "datetimeoffset", "e": "time(7)"}
+    assert Contract.declare("t", declared).shortened == ["b", "d"]
+
+
 def test_partition_columns_must_exist_and_not_clash():
     plain = Contract.declare("t", {"d": "date", "d_day": "int", "raw": "varbinary(8)"})
     with pytest.raises(ValueError, match="raw is binary"):

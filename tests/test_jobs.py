@@ -22,6 +22,7 @@ def stored(spark, sources):
     outcomes = jobs.migrate(warehouse, sources)
     assert [(o.table, o.status, o.rows) for o in outcomes] == [(t, "success", n) for t, n in sales_data.ROWS.items()]
     assert jobs.total_rows(outcomes) == 18_500
+    assert outcomes[0].note == "kept to the microsecond: registration_date"
     return warehouse
 
 
