@@ -21,7 +21,8 @@ def test_arguments(monkeypatch):
 
 
 def test_restore_and_inventory(spark, folder, capsys):
-    restore = ["restore", "--warehouse", f"{folder}/a", "--target-warehouse", f"{folder}/b", "--tables", "customers", "products"]
+    restore = ["restore", "--warehouse", f"{folder}/a", "--target-warehouse", f"{folder}/b"]
+    restore += ["--tables", "customers", "products"]
     assert run(spark, arguments(restore)) == 1
     assert "nothing has been migrated" in capsys.readouterr().err
     stored = Warehouse(spark, f"{folder}/a")

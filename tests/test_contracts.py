@@ -83,7 +83,8 @@ def test_sales_contracts():
         "order_details": [],
         "inventory_snapshots": ["snapshot_date_day", "warehouse_id"],
     }
-    assert sales.PRODUCTS.required == ["product_id", "sku", "product_name", "category", "unit_price", "cost", "is_available"]
+    required = ["product_id", "sku", "product_name", "category", "unit_price", "cost", "is_available"]
+    assert sales.PRODUCTS.required == required
     assert all(f.nullable for f in sales.PRODUCTS.schema.fields)
 
 

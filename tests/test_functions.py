@@ -16,7 +16,8 @@ def values(df, column):
 
 
 def test_conform_orders_and_types(spark):
-    rows = spark.createDataFrame([("12.5", 255, 1, 1), (None, None, None, 2)], "amount string, tiny int, flag int, id int")
+    given = [("12.5", 255, 1, 1), (None, None, None, 2)]
+    rows = spark.createDataFrame(given, "amount string, tiny int, flag int, id int")
     out = convert.conform(rows, T)
     assert out.schema == T.schema
     assert [tuple(r) for r in out.collect()] == [(1, 255, True, Decimal("12.5000")), (2, None, None, None)]
@@ -45,7 +46,8 @@ def test_missing_numbers_become_null(spark):
 
 
 def test_conform_refuses_other_columns(spark):
-    with pytest.raises(convert.ShapeMismatch, match=r"missing columns \['tiny', 'flag', 'amount'\], unexpected columns \['x'\]"):
+    wrong = r"missing columns \['tiny', 'flag', 'amount'\], unexpected columns \['x'\]"
+    with pytest.raises(convert.ShapeMismatch, match=wrong):
         convert.conform(spark.createDataFrame([(1, 2)], "id int, x int"), T)
 
 
@@ -89,7 +91,8 @@ def test_exact_decimal(spark):
 
 
 def test_amounts_are_rounded_once_per_step(spark):
-    one = spark.createDataFrame([(3, Decimal("33.3333"), Decimal("12.34"), Decimal("0.0825"))], "q int, p decimal(19,4), d decimal(5,2), t decimal(5,4)")
+    given = [(3, Decimal("33.3333"), Decimal("12.34"), Decimal("0.0825"))]
+    one = spark.createDataFrame(given, "q int, p decimal(19,4), d decimal(5,2), t decimal(5,4)")
     subtotal, tax, total = derive.order_amounts(F.col("q"), F.col("p"), F.col("d"), F.col("t"))
     row = one.select(subtotal.alias("s"), tax.alias("t"), total.alias("o")).first()
     exact = Decimal(3) * Decimal("33.3333") * (1 - Decimal("0.1234"))
@@ -110,7 +113,8 @@ def test_seed_totals(spark):
 
 def test_codes_keep_the_last_digits(spark):
     rows = spark.createDataFrame([(7,), (12345,), (123456,), (None,)], "n bigint")
-    assert values(rows.select(derive.padded_code("C", F.col("n"), 5).alias("c")), "c") == ["C00007", "C12345", "C23456", None]
+    codes = rows.select(derive.padded_code("C", F.col("n"), 5).alias("c"))
+    assert values(codes, "c") == ["C00007", "C12345", "C23456", None]
 
 
 def test_small_derivations(spark):

@@ -15,7 +15,8 @@ def test_create_table_statement():
     assert "[warranty_months] TINYINT NULL" in text
     assert "[gift_wrap] BIT NULL" in text
     assert "[extended_warranty_price] MONEY NULL" in text
-    assert "[product_variant] VARCHAR(MAX) NULL" in jdbc.create_table_sql("s", "t", sales.ORDER_DETAILS, wide_text=False)
+    narrow = jdbc.create_table_sql("s", "t", sales.ORDER_DETAILS, wide_text=False)
+    assert "[product_variant] VARCHAR(MAX) NULL" in narrow
 
 
 def test_names_are_quoted():
@@ -23,7 +24,8 @@ def test_names_are_quoted():
 
 
 def test_splits():
-    assert jdbc.range_splits(1, 100, "id", 4) == {"partitionColumn": "id", "lowerBound": 1, "upperBound": 100, "numPartitions": 4}
+    expected = {"partitionColumn": "id", "lowerBound": 1, "upperBound": 100, "numPartitions": 4}
+    assert jdbc.range_splits(1, 100, "id", 4) == expected
     assert jdbc.range_splits(5, 5, "id", 4)["upperBound"] == 6
     assert jdbc.hash_splits(["a", "b"], 2) == [
         "ABS(CAST(BINARY_CHECKSUM([a], [b]) AS BIGINT)) % 2 = 0",
@@ -62,6 +64,10 @@ def test_times_and_unknown_types_are_read_as_text():
 NOWHERE = {"url": "jdbc:nowhere:x", "user": "u", "password": "p"}
 
 
+def no_customers(spark):
+    return spark.createDataFrame([], sales.CUSTOMERS.schema)
+
+
 @pytest.mark.parametrize(
     "use",
     [
@@ -69,8 +75,8 @@ NOWHERE = {"url": "jdbc:nowhere:x", "user": "u", "password": "p"}
         lambda spark: jdbc.read_table(spark, NOWHERE, "sales", sales.CUSTOMERS),
         lambda spark: jdbc.column_metadata(spark, NOWHERE, "sales", "customers"),
         lambda spark: JdbcTarget(spark, NOWHERE).read(sales.CUSTOMERS),
-        lambda spark: JdbcTarget(spark, NOWHERE).write(spark.createDataFrame([], sales.CUSTOMERS.schema), sales.CUSTOMERS, True),
-        lambda spark: JdbcTarget(spark, NOWHERE).write(spark.createDataFrame([], sales.CUSTOMERS.schema), sales.CUSTOMERS, False),
+        lambda spark: JdbcTarget(spark, NOWHERE).write(no_customers(spark), sales.CUSTOMERS, True),
+        lambda spark: JdbcTarget(spark, NOWHERE).write(no_customers(spark), sales.CUSTOMERS, False),
     ],
 )
 def test_every_call_gets_as_far_as_looking_for_the_driver(spark, use):

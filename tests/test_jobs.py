@@ -93,7 +93,8 @@ def test_restore_before_migration_is_an_error(spark, folder):
 def test_full_cycle_in_which_nothing_can_be_migrated(spark, folder):
     drifted = jobs.Source(Contract.declare("drifted", {"x": "int"}), lambda: spark.range(1))
     empty = Warehouse(spark, folder)
-    assert [tuple(r.values()) for r in jobs.full_cycle(empty, [drifted], WarehouseTarget(empty))] == [("drifted", None, 0, 0, "ERROR")]
+    rows = jobs.full_cycle(empty, [drifted], WarehouseTarget(empty))
+    assert [tuple(r.values()) for r in rows] == [("drifted", None, 0, 0, "ERROR")]
 
 
 def test_one_bad_table_does_not_stop_the_others(spark, folder, sources):
@@ -101,7 +102,8 @@ def test_one_bad_table_does_not_stop_the_others(spark, folder, sources):
     overflow = jobs.Source(bad, lambda: spark.range(2**31, 2**31 + 1))
     drifted = jobs.Source(Contract.declare("drifted", {"x": "int"}), lambda: spark.range(1))
     outcomes = jobs.migrate(Warehouse(spark, folder), [overflow, sources[0], drifted])
-    assert [(o.table, o.status) for o in outcomes] == [("bad", "failed"), ("customers", "success"), ("drifted", "failed")]
+    statuses = [("bad", "failed"), ("customers", "success"), ("drifted", "failed")]
+    assert [(o.table, o.status) for o in outcomes] == statuses
     assert "does not fit int" in outcomes[0].error
     assert "missing columns ['x']" in outcomes[2].error
     assert jobs.total_rows(outcomes) == 1000
@@ -119,7 +121,10 @@ class Lossy(WarehouseTarget):
         super().write(df.unionAll(df.limit(1)) if self.times >= 0 else df, contract, create)
 
 
-@pytest.mark.parametrize(("times", "status", "validation", "rows"), [(1, "success", "PASSED", 1000), (9, "warning", "FAILED", 1001)])
+@pytest.mark.parametrize(
+    ("times", "status", "validation", "rows"),
+    [(1, "success", "PASSED", 1000), (9, "warning", "FAILED", 1001)],
+)
 def test_wrong_contents_are_sent_again_then_reported(spark, stored, times, status, validation, rows):
     target = Lossy(Warehouse(spark, fresh_folder(spark, "lossy")), times)
     outcome = jobs.restore(stored, [sales.CUSTOMERS], target)[0]
@@ -154,7 +159,8 @@ def test_reports_are_kept(spark, folder):
     for _ in range(2):
         jobs.keep_report(stored, jobs.migrate(stored, [jobs.Source(numbers, lambda: spark.range(3))]))
     newest = stats.latest(jobs.past_reports(stored), "finished_at", "table_name", n=1).first()
-    assert (newest["job"], newest["table_name"], newest["status"], newest["rows"]) == ("migrate", "numbers", "success", 3)
+    found = (newest["job"], newest["table_name"], newest["status"], newest["rows"])
+    assert found == ("migrate", "numbers", "success", 3)
     assert jobs.past_reports(stored).count() == 2
 
 

@@ -18,11 +18,12 @@ def plan(df):
 
 def test_load_statistics_of_nothing(spark):
     empty = spark.createDataFrame([], "k int, at date")
-    assert dicts(stats.load_statistics(empty, "k", "at")) == [{"total_rows": 0, "unique_entities": 0, "min_date": None, "max_date": None}]
+    assert tuple(stats.load_statistics(empty, "k", "at").first()) == (0, 0, None, None)
 
 
 def test_profile(spark):
-    rows = spark.createDataFrame([(1, "b", None, bytearray(b"x")), (1, None, 2.5, None), (3, "a", 2.5, None)], "i int, s string, d double, r binary")
+    given = [(1, "b", None, bytearray(b"x")), (1, None, 2.5, None), (3, "a", 2.5, None)]
+    rows = spark.createDataFrame(given, "i int, s string, d double, r binary")
     expected = [
         ("i", "int", 1, 0, 0, 2, "1", "3"),
         ("s", "string", 2, 1, 1, 2, "a", "b"),
@@ -72,7 +73,7 @@ def test_empty_sides_match(spark):
     assert dicts(validate.content_match(*none)) == [{"source_rows": 0, "target_rows": 0, "status": "PASSED"}]
     assert dicts(validate.content_diff(*none)) == [{"only_in_source": 0, "only_in_target": 0, "status": "PASSED"}]
     assert dicts(validate.row_count_match(*none))[0]["status"] == "PASSED"
-    assert dicts(validate.float_tolerance(*none, ["k"])) == [{"column_name": "v", "max_diff": 0.0, "within_tolerance": True}]
+    assert tuple(validate.float_tolerance(*none, ["k"]).first()) == ("v", 0.0, True)
 
 
 def test_contents_need_the_same_columns(spark):
@@ -132,7 +133,8 @@ def test_float_tolerance(spark, source, target, diff, passed):
 
 def test_float_tolerance_equals_the_join_over_all_pairs(spark):
     def side(seed):
-        return spark.range(400).select((F.col("id") % 40).alias("k"), F.when(F.rand(seed) > 0.1, F.rand(seed + 1)).alias("v"))
+        value = F.when(F.rand(seed) > 0.1, F.rand(seed + 1))
+        return spark.range(400).select((F.col("id") % 40).alias("k"), value.alias("v"))
 
     source, target = side(1).persist(), side(5).persist()
     joined = source.alias("s").join(target.alias("t"), "k").agg(F.max(F.abs(F.col("s.v") - F.col("t.v")))).first()[0]
@@ -152,7 +154,7 @@ def test_one_key_may_hold_a_third_of_all_rows(spark):
 
 def test_audits(spark):
     child = spark.createDataFrame([(1, 1), (1, 1), (1, None), (None, 2), (3, 3), (None, 2)], "a int, b int")
-    assert dicts(audit.audit_not_null(child, ["a", "b"])) == [{"column_name": "a", "violations": 2}, {"column_name": "b", "violations": 1}]
+    assert {tuple(r) for r in audit.audit_not_null(child, ["a", "b"]).collect()} == {("a", 2), ("b", 1)}
     copies = {(r["a"], r["b"]): r["copies"] for r in audit.audit_unique(child, ["a", "b"]).collect()}
     assert copies == {(1, 1): 2, (None, 2): 2}
     parent = spark.createDataFrame([(1, 1), (1, 1), (2, 2)], "x int, y int")

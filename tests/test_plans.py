@@ -17,7 +17,16 @@ def test_no_cross_joins_and_no_python(spark, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["row_count_match", "statistics_match", "float_tolerance", "content_match", "content_diff", "differing_rows", "keyed_diff", "audit_foreign_key"],
+    [
+        "row_count_match",
+        "statistics_match",
+        "float_tolerance",
+        "content_match",
+        "content_diff",
+        "differing_rows",
+        "keyed_diff",
+        "audit_foreign_key",
+    ],
 )
 def test_comparisons_do_not_join(spark, name):
     text = registered.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
