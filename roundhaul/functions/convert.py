@@ -43,7 +43,9 @@ def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFr
         floating = isinstance(present[wanted.name], FLOATS)
         if floating and not isinstance(wanted.type, FLOATS):
             value = nan_to_null(value)
-        if present[wanted.name] != wanted.type:
+        if wanted.declared and wanted.declared.name == "time":
+            value = time_text(value)
+        elif present[wanted.name] != wanted.type:
             value = value.try_cast(wanted.type) if tolerant else strict_cast(value, wanted.type, wanted.name)
         columns.append(value.alias(wanted.name))
     return df.select(*columns)
@@ -69,6 +71,12 @@ def exact_decimal(column: Column, precision: int, scale: int) -> Column:
     return column.try_cast(T.DecimalType(precision, scale))
 
 
+def time_text(column: Column) -> Column:
+    """A time of day as text without trailing zeros, so that declared precision does not matter."""
+    text = column.cast("string")
+    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+
+
 def bit_to_boolean(column: Column) -> Column:
     """0 and 1 to false and true; NULL stays NULL."""
     return column.cast("boolean")

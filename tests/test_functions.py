@@ -37,6 +37,13 @@ def test_value_that_does_not_fit_stops_the_load_in_any_mode(spark, ansi):
     assert rejected == {"id": 0, "flag": 0, "amount": 1}
 
 
+def test_times_of_day_have_one_text(spark):
+    given = ["12:34:56.1200000", "12:34:50.0000000", "10:00:00", "10:00:00.5", None]
+    wanted = Contract.declare("t", {"at": "time(7)"})
+    found = convert.conform(spark.createDataFrame([(v,) for v in given], "at string"), wanted)
+    assert values(found, "at") == ["12:34:56.12", "12:34:50", "10:00:00", "10:00:00.5", None]
+
+
 def test_missing_numbers_become_null(spark):
     rows = spark.createDataFrame([(1, float("nan"), float("nan"))], "id int, amount double, ratio double")
     wanted = Contract.declare("t", {"id": "bigint", "amount": "money", "ratio": "float"})
