@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roundhaul.llm.blocks import block_pairs, by_block, forest, groups
 from roundhaul.llm.common import Scratch, mix64, reachable
 from roundhaul.llm.components import components
 
@@ -58,18 +59,6 @@ def unit_rows(cells: list[bytes]) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def forest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of `size` rows the least row that links reach."""
-    least = np.arange(size)
-    while True:
-        before = least.copy()
-        np.minimum.at(least, a, least[b])
-        np.minimum.at(least, b, least[a])
-        least = least[least]
-        if (least == before).all():
-            return least
-
-
 def block_links(ids: np.ndarray, copies: np.ndarray, sides: np.ndarray, units: np.ndarray, seen: np.ndarray, table: int, same: bool, threshold: float):
     """(id, linked copies, smallest id reached) of the rows of one block pair that have links."""
     order = np.argsort(ids)
@@ -85,26 +74,6 @@ def block_links(ids: np.ndarray, copies: np.ndarray, sides: np.ndarray, units: n
     return ids[rows], links[rows].astype(np.int64), ids[forest(len(ids), a, b)[rows]]
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """The rows of each key; the batches come sorted by it."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy()
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        if held and held[0].column(key)[0].as_py() != keys[0]:
-            yield pa.Table.from_batches(held)
-            held = []
-        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-            held.append(batch.slice(start, end - start))
-            if end < len(keys):
-                yield pa.Table.from_batches(held)
-                held = []
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def near_duplicates(
     vectors: DataFrame,
     scratch: Scratch,
@@ -175,15 +144,7 @@ def near_duplicates(
     full = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = buckets.join(full, "bucket")
     parts = F.ceil(F.col("n") / F.lit(block_rows)).cast("int")
-    own = F.pmod(F.xxhash64("id"), parts).cast("int")
-    members = members.select("bucket", "table", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-    members = members.select(
-        "id",
-        "table",
-        "own",
-        (F.col("own") != F.col("other")).alias("apart"),
-        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("block"),
-    )
+    members = block_pairs(members.withColumn("parts", parts), "table")
     blocks = members.join(points.select("id", "vector", "seen", "copies"), "id")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,8 +165,7 @@ def near_duplicates(
             if len(found[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["id", "n", "reached"])
 
-    blocks = blocks.repartition("block").sortWithinPartitions("block")
-    found = scratch.write(blocks.mapInArrow(linked, "id long, n long, reached long"), "found")
+    found = scratch.write(by_block(blocks).mapInArrow(linked, "id long, n long, reached long"), "found")
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     reached = components(found.select(F.col("id").alias("a"), F.col("reached").alias("b")), scratch)
     known = (

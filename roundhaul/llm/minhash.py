@@ -5,11 +5,11 @@ pair of half keys, one from either collection, is a key of one table. So `halves
 2 * `halves` half keys, a square root of the minhashes that independent tables would take.
 
 Documents with equal sets are one class, hashed once. In each bucket the smallest class is a
-hub and every other one is compared with it alone; once those links are joined into components,
-a bucket that still holds several components has its classes of different components compared
-as well (if their sizes allow the similarity), so no link between different texts that a bucket shows is
-lost, and no bucket lists the pairs within a group of copies. A link counts only if the
-full sets confirm it.
+hub and every other one is compared with it alone. Once those links are joined into components,
+the classes of buckets that still hold several components are compared with all that share a
+half key of the first collection, which every pair of a bucket does: in blocks of bounded size,
+inside tasks, without listing pairs. So no link between different texts that a bucket shows is
+lost. A link counts only if the full sets confirm it.
 
 Words are what stands between the six ASCII white-space characters, A-Z lower-cased. A text
 with fewer words than a shingle has its whole sequence as its one shingle; NULL texts and those
@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roundhaul.llm.blocks import block_pairs, by_block, forest, groups
 from roundhaul.llm.chunks import joined
 from roundhaul.llm.common import Scratch, binary_array, list_array, mix64, reachable, text_blocks
 from roundhaul.llm.components import components
@@ -38,6 +39,8 @@ PERCENT = 80
 #: Half keys in each collection, and minhashes in each half key: a pair at 80 % shares a key with 99.8 %.
 HALVES, BAND = 10, 3
 SEED = 71_993
+#: Rows and shingles of a block, on average; two blocks are compared in a task at a time.
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 500_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -103,6 +106,36 @@ def _similar(a: Column, b: Column, percent: int) -> Column:
     return 100 * common >= percent * (F.size(a) + F.size(b) - common)
 
 
+def block_links(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows of different components, as far as they join different rows (each row, the least it reaches)."""
+    ids, sides, parts = (group.column(name).to_numpy() for name in ("id", "own", "component"))
+    lists = group.column("shingles").combine_chunks()
+    borders = lists.offsets.to_numpy()
+    values = lists.values.to_numpy()[borders[0] : borders[-1]]
+    sizes = np.diff(borders)
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    keys, which, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1  # only shingles of several rows count
+    column, owner = shared[which[times[which] > 1]], owner[times[which] > 1]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(ids), len(ids)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        dense = np.zeros((len(ids), 4096), np.float32)
+        dense[owner[a:b], column[a:b] - start] = 1
+        common += dense @ dense.T
+    near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common.astype(np.float64))
+    near &= parts[:, None] != parts[None, :]
+    if group.column("apart")[0].as_py():
+        near &= sides[:, None] != sides[None, :]
+    order = np.argsort(ids)
+    a, b = np.nonzero(np.triu(near[np.ix_(order, order)], 1))
+    ids, reached = ids[order], forest(len(ids), a, b)
+    moved = reached != np.arange(len(ids))
+    return ids[moved], ids[reached[moved]]
+
+
 def near_duplicates(
     docs: DataFrame,
     scratch: Scratch,
@@ -189,16 +222,31 @@ def near_duplicates(
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     open_buckets = placed.join(mixed.where("least <> most").select("bucket"), "bucket")
-    open_rows = open_buckets.join(classes.select("id", "n_shingles"), "id")
-    one = open_rows.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-    two = open_rows.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
-    apart = one.join(two, "bucket").where(
-        (F.col("a") > F.col("b"))
-        & (F.col("ca") != F.col("cb"))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    waiting = open_buckets.select("id", "component").distinct()
+    opened = scratch.write(waiting.join(classes.select("id", "n_shingles", "halves"), "id"), "open")
+    place = F.explode(F.sequence(F.lit(0), F.lit(halves - 1)))
+    half = F.expr("substring(halves, 8 * place + 1, 8)")
+    sides = opened.withColumn("place", place).select(
+        F.xxhash64("place", half).alias("bucket"), "id", "n_shingles", "component"
+    )
+    sizes = sides.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.sum("n_shingles").alias("held"),
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
     )
-    rest = apart.select("a", "b").distinct().join(starred, ["a", "b"], "left_anti")
-    more = scratch.write(verified(rest), "more-links")
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("held") / BLOCK_SHINGLES)).cast("int")
+    sizes = sizes.where("least <> most").select("bucket", parts.alias("parts"))
+    pairs = block_pairs(sides.select("bucket", "id").join(sizes, "bucket"))
+    compared = pairs.join(opened.select("id", "component").join(spells, "id"), "id")
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, "block"):
+            found = block_links(group, percent)
+            if len(found[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
+
+    more = scratch.write(by_block(compared).mapInArrow(linked, "a long, b long"), "more-links")
     found = components(links.unionByName(more), scratch, "all") if more.count() else joined_up
 
     # Documents of one class, and rows of one doc_id, belong together.
