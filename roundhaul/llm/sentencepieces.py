@@ -86,3 +86,25 @@ def decoded(spark: SparkSession, ids: Column | str, model: str) -> Column:
 def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with the ids of each text in a new column (an existing one of that name is replaced)."""
     return docs.withColumn(ids, encoded(docs.sparkSession, F.col(text), model))
+
+
+def round_trip(docs: DataFrame, model: str) -> DataFrame:
+    """doc_id, ids and decoded (the text of the ids) for each row of (doc_id, text), in one pass.
+
+    Rows leave in small batches, so a task holds the ids of a few megabytes of text at a time.
+    """
+    reachable(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in text_blocks(batch.column(1)):
+                values, borders = pieces(model).encode(texts)
+                spans = zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)
+                read = [pieces(model).library.decode(values[a:b].tolist()) for a, b in spans]
+                columns = [batch.column(0).slice(done, len(texts)), list_array(values, borders, pa.int32()), pa.array(read, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+                done += len(texts)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
