@@ -64,7 +64,7 @@ def shingle_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         for i in range(words):
             factor = mix64(np.array([2 * i + 1], np.uint64)) | np.uint64(1)
-            shingles[: len(hashes) - i] += hashes[i:] * factor
+            shingles[: max(len(hashes) - i, 0)] += hashes[i:] * factor
     first = np.cumsum(counts) - counts
     left = np.repeat(first + counts, counts) - np.arange(len(hashes))  # words up to the text's end
     short = np.flatnonzero((counts > 0) & (counts < words))
