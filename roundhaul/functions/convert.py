@@ -17,13 +17,29 @@ class ShapeMismatch(ValueError):
     """The incoming columns are not the columns of the contract."""
 
 
-def strict_cast(column: Column, to: T.DataType, name: str) -> Column:
+def _keeps(source: T.DataType | None, to: T.DataType) -> bool:
+    """Whether a cast between these types must give back the value when it is undone."""
+    exact = isinstance(source, T.NumericType) and isinstance(to, (T.IntegralType, T.DecimalType))
+    return exact or (isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(to, T.DateType))
+
+
+def strict_cast(column: Column, to: T.DataType, name: str, source: T.DataType | None = None) -> Column:
     """Cast, and stop the job on a value that does not fit.
 
+    From a number to a whole number or a decimal, and from an instant to a day, a value that
+    the cast would change does not fit either (beyond a relative 1e-12 of a float).
+
     Does not rely on ANSI mode: with it off a plain cast would turn such a value into NULL.
     """
     refusal = F.raise_error(F.lit(f"{name}: value does not fit {to.simpleString()}"))
-    return F.coalesce(column.try_cast(to), F.when(column.isNotNull(), refusal))
+    value = column.try_cast(to)
+    if _keeps(source, to):
+        back, slack = value.try_cast(source), F.lit(0)
+        if isinstance(source, FLOATS):  # the last binary digits of a sum such as 5.1000000000000005 are no loss
+            slack = F.abs(column) * 1e-12
+        same = F.abs(back - column) <= slack if isinstance(source, T.NumericType) else back == column
+        value = F.when(same, value)
+    return F.coalesce(value, F.when(column.isNotNull(), refusal))
 
 
 def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFrame:
@@ -46,7 +62,7 @@ def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFr
         if wanted.declared and wanted.declared.name == "time":
             value = time_text(value)
         elif present[wanted.name] != wanted.type:
-            value = value.try_cast(wanted.type) if tolerant else strict_cast(value, wanted.type, wanted.name)
+            value = value.try_cast(wanted.type) if tolerant else strict_cast(value, wanted.type, wanted.name, present[wanted.name])
         columns.append(value.alias(wanted.name))
     return df.select(*columns)
 

@@ -16,7 +16,7 @@ from roundhaul.functions.convert import conform, export_form
 from roundhaul.operators.validate import FAILED, PASSED, content_match, statistics_match
 from roundhaul.plans.targets import Target
 from roundhaul.session import local_table
-from roundhaul.sources.warehouse import NotMigrated, Warehouse
+from roundhaul.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
 
@@ -184,22 +184,30 @@ def full_cycle(
 ) -> list[dict[str, object]]:
     """Migrate, restore, and compare what the restore delivered with the original source.
 
-    Each table goes through on its own, so none waits for the slowest of a stage.
+    PASSED means that both steps went through, moved as many rows as the source has, and
+    delivered its contents. The load that was just written is the one restored; after a failed
+    migration nothing is. Each table goes through on its own, so none waits for the slowest of a stage.
     """
 
     def one(source: Source) -> dict[str, object]:
         contract = source.contract
         migrated = migrate(warehouse, [source], 1)[0]
-        try:
-            restored = restore(warehouse, [contract], target, validate=False, parallel=1)[0]
-        except NotMigrated:
-            restored = Outcome("restore", contract.name, "no_data")
+        restored = Outcome("restore", contract.name, "no_data")
+        if migrated.status == "success":
+            written = warehouse.loads(contract.name)[-1]
+            restored = restore(warehouse, [contract], target, validate=False, as_of=written, parallel=1)[0]
         row = {"table_name": contract.name, "source_rows": None, "migrated_rows": migrated.rows}
         row |= {"restored_rows": restored.rows, "status": ERROR}
         try:
             original = export_form(conform(source.read(), contract))
             found = content_match(original, target.read(contract)).first()
             row |= {"source_rows": found["source_rows"], "status": found["status"]}
+            moved = {found["source_rows"], migrated.rows, restored.rows}
+            empty = restored.status == "no_data" and migrated.status == "success" and moved == {0}
+            if migrated.status != "success" or not (restored.status == "success" or empty):
+                row["status"] = ERROR
+            elif len(moved) > 1:
+                row["status"] = FAILED
         except Exception as problem:  # noqa: BLE001 - reported per table like every other failure
             log.error("check of %s failed: %s", contract.name, problem)
         return row

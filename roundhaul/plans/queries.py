@@ -341,7 +341,7 @@ def scan_multi_file(spark, sf_dir):
     folder = fresh_folder(spark, "files")
     parts = table(spark, sf_dir, "part")
     for kind, low in (("small", True), ("large", False)):
-        chosen = parts.where((F.col("p_size") <= 25) == low)
+        chosen = parts.where(F.coalesce(F.col("p_size") <= 25, F.lit(False)) == low)
         chosen.write.mode("append").parquet(folder)
     return read_directory(spark, folder, Contract.of("part", parts))
 

@@ -13,23 +13,23 @@ from pyspark.sql.types import StructType
 
 
 ADVISORY_BYTES = 128 * 1024**2
-MOST_PARTITIONS = 20_000
 
 
-def shuffle_partitions(data_bytes: int) -> int:
+def shuffle_partitions(data_bytes: int, most: int | None = None) -> int:
     """How many partitions a shuffle of that much data starts with.
 
     Adaptive execution merges small partitions but cannot split those of an aggregation, so
-    the start must be wide enough. Beyond the upper limit, the number of blocks (maps times
-    partitions) costs more than larger partitions that spill.
+    the start must be wide enough. ``most`` bounds it where the number of blocks (maps times
+    partitions) would cost more than larger partitions that spill; without it there is no bound.
     """
-    return min(max(200, -(-data_bytes // ADVISORY_BYTES)), MOST_PARTITIONS)
+    wanted = max(200, -(-data_bytes // ADVISORY_BYTES))
+    return wanted if most is None else min(wanted, most)
 
 
 def build_session(
-    app_name: str = "roundhaul", master: str | None = None, data_bytes: int | None = None, **settings: str
+    app_name: str = "roundhaul", master: str | None = None, data_bytes: int | None = None, most_partitions: int | None = None, **settings: str
 ) -> SparkSession:
-    """A session with the settings this engine expects, sized for ``data_bytes`` of input."""
+    """A session with the settings this engine expects, sized for ``data_bytes`` of input and at most ``most_partitions``."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -40,7 +40,7 @@ def build_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if data_bytes:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(data_bytes)))
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(data_bytes, most_partitions)))
     if master:
         builder = builder.master(master)
     for key, value in settings.items():

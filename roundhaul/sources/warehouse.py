@@ -56,7 +56,8 @@ def count_by_table(spark: SparkSession, namespace: str, paths: Mapping[str, str]
     """
     rows = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*paths.values())
     per_file = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    table_name = F.regexp_extract("file", owner, 1).alias("table_name")
+    # Paths come URL-encoded, but with a plus sign as itself.
+    table_name = F.url_decode(F.replace(F.regexp_extract("file", owner, 1), F.lit("+"), F.lit("%2B"))).alias("table_name")
     counted = per_file.groupBy(table_name).agg(F.sum("n").alias("rows"))
     names = local_table(spark, [(namespace, table) for table in paths], "namespace string, table_name string")
     return names.join(counted, "table_name", "left").select(
@@ -113,6 +114,8 @@ class Warehouse:
         if keys:
             writer = writer.partitionBy(*keys)
         writer.parquet(path)
+        if load_id not in self.loads(contract.name):
+            raise OSError(f"{path}: the committer left no _SUCCESS file, so no reader would find this load")
         return Load(contract.name, load_id, path, counted.get["rows"])
 
     def _path(self, table: str, as_of: int | None) -> str | None:
@@ -139,7 +142,13 @@ class Warehouse:
         """
         kind = contract.column(column).type
         low, high = (F.lit(str(bound)).cast(kind) for bound in (start, end))
-        rows = self._stored(contract, as_of).where((named(column) >= low) & (named(column) < high))
+        rows = self._stored(contract, as_of)
+        if isinstance(kind, T.DateType):  # a day counts as its first instant; cut bounds only prune
+            first, last = (F.lit(str(bound)).cast("timestamp_ntz") for bound in (start, end))
+            moment = named(column).cast("timestamp_ntz")
+            rows = rows.where((named(column) >= low) & (named(column) <= high) & (moment >= first) & (moment < last))
+        else:
+            rows = rows.where((named(column) >= low) & (named(column) < high))
         level = next((p for p in contract.partitions if p.column == column and p.by_day), None)
         if level is not None:
             first, last = (contract.day_of(column, bound) for bound in (low, high))

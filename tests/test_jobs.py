@@ -179,3 +179,53 @@ def test_migrated_tables_answer_sql(spark, stored):
     counts = " UNION ALL ".join(f"SELECT COUNT(*) AS row_count FROM {name}" for name in sales_data.ROWS)
     total = spark.sql(f"SELECT 'Total Rows' AS Metric, SUM(row_count) AS Value FROM ({counts}) t").first()
     assert tuple(total) == ("Total Rows", 18_500)
+
+
+class Refusing(WarehouseTarget):
+    def write(self, df, contract, create):
+        raise ConnectionError("target went away")
+
+
+def test_full_cycle_never_passes_after_a_failed_step(spark, folder):
+    numbers = Contract.declare("numbers", {"id": "bigint"})
+    stored = Warehouse(spark, folder)
+    good = WarehouseTarget(Warehouse(spark, fresh_folder(spark, "cycle")))
+    source = jobs.Source(numbers, lambda: spark.range(5))
+
+    def status(source, target):
+        return [(r["migrated_rows"], r["restored_rows"], r["status"]) for r in jobs.full_cycle(stored, [source], target)]
+
+    assert status(source, good) == [(5, 5, "PASSED")]
+    calls = []
+
+    def breaks():
+        calls.append(1)
+        if len(calls) == 1:
+            raise ConnectionError("source went away")
+        return spark.range(5)
+
+    assert status(jobs.Source(numbers, breaks), good) == [(0, 0, "ERROR")]
+    refusing = Refusing(good.warehouse)
+    assert status(source, refusing) == [(5, 0, "ERROR")]
+
+
+@pytest.mark.parametrize(("value", "kind"), [("1.23456d", "decimal(19,4)"), ("1.7d", "int"), ("timestamp_ntz'2024-01-01 13:45'", "date")])
+def test_a_value_that_a_conversion_would_change_stops_the_load(spark, folder, value, kind):
+    source = jobs.Source(Contract.declare("changed", {"x": kind}), lambda: spark.sql(f"SELECT {value} AS x"))
+    outcome = jobs.migrate(Warehouse(spark, folder), [source])[0]
+    assert outcome.status == "failed" and "does not fit" in outcome.error
+
+
+def test_names_with_blanks_and_percent_signs_are_counted(spark, folder):
+    stored = Warehouse(spark, folder)
+    for name in ("with space", "a%b", "a+b", "é"):
+        stored.write(spark.range(3), Contract.declare(name, {"id": "bigint"}))
+    assert {r["table_name"]: r["row_count"] for r in stored.inventory().collect()} == dict.fromkeys(("with space", "a%b", "a+b", "é"), 3)
+
+
+def test_a_range_of_days_keeps_its_times(spark, folder):
+    days = Contract.declare("days", {"d": "date"})
+    stored = Warehouse(spark, folder)
+    stored.write(spark.sql("SELECT explode(sequence(date'2024-01-08', date'2024-01-15')) AS d"), days)
+    found = stored.read_range(days, "d", "2024-01-10 06:00:00", "2024-01-13 18:00:00")
+    assert sorted(r["d"].day for r in found.collect()) == [11, 12, 13]
