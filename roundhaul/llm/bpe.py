@@ -28,7 +28,7 @@ PLAIN = re.compile("[\n !-~¡-ÿ]*")
 #: Stands between chunks; no plain chunk holds it.
 BETWEEN = "\t"
 #: Words that a worker remembers besides its chunks.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 100_000
 
 
 def byte_letters() -> list[str]:

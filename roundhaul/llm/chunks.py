@@ -9,7 +9,7 @@ import numpy as np
 from roundhaul.llm.hashing import range_hashes
 
 #: Chunks that a worker remembers; beyond it, the table starts anew. Results don't depend on it.
-TABLE_CHUNKS = 1_000_000
+TABLE_CHUNKS = 600_000
 
 
 class ChunkTable:
