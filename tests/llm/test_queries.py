@@ -1,0 +1,131 @@
+"""Registered queries over whole tables, against the libraries and brute force."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import sentencepiece
+import tokenizers
+
+import corpus_pipeline
+from roundhaul.llm.queries import QUERIES
+
+
+def given(sf_dir, name, columns):
+    return duckdb.sql(f"SELECT {columns} FROM '{sf_dir}/{name}.parquet'").fetchall()
+
+
+def found(spark, sf_dir, name):
+    return QUERIES[name](spark, sf_dir).toArrow().to_pylist()
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def roots(links):
+    above = {}
+
+    def root(x):
+        while above.get(x, x) != x:
+            x = above[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        above[max(a, b)] = min(a, b)
+    return root
+
+
+def test_vectors(spark, sf_dir):
+    rows = [r for r in given(sf_dir, "embeddings", "vec_id, embedding, label") if r[2] is not None]
+    by = defaultdict(list)
+    for vec_id, vector, label in rows:
+        by[label].append((vec_id, vector))
+    count, links = Counter(), []
+    for held in by.values():
+        units = np.array([v for _, v in held], float)
+        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        for a, b in zip(*np.nonzero(np.triu(units @ units.T >= 0.98, 1)), strict=True):
+            links.append((held[a][0], held[b][0]))
+            count.update(links[-1])
+    root = roots(links)
+    for row in found(spark, sf_dir, "op1_near_duplicate_vectors"):
+        assert (row["n_links"], row["component_id"]) == (count[row["vec_id"]], root(row["vec_id"]))
+
+
+def test_sentencepiece(spark, sf_dir):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r["doc_id"]: r for r in found(spark, sf_dir, "op2_sentencepiece")}
+    for doc, text in given(sf_dir, "documents", "doc_id, text"):
+        ids = library.encode(text)
+        expected = (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)))
+        assert tuple(got[doc][k] for k in ("n_tokens", "ids_sha256", "decoded_sha256")) == expected
+
+
+def test_documents(spark, sf_dir):
+    sets = {}
+    for doc, text in given(sf_dir, "documents", "doc_id, text"):
+        words = text.encode().lower().split()
+        sets[doc] = {tuple(words[i : i + 4]) for i in range(max(len(words) - 3, 1))} if words else set()
+    holders, links = defaultdict(list), []
+    for doc in sorted(sets):
+        common = Counter(other for shingle in sets[doc] for other in holders[shingle])
+        links += [(o, doc) for o, n in common.items() if 100 * n >= 80 * (len(sets[o]) + len(sets[doc]) - n)]
+        for shingle in sets[doc]:
+            holders[shingle].append(doc)
+    root = roots(links)
+    for row in found(spark, sf_dir, "op3_minhash_near_duplicates"):
+        assert (row["n_shingles"], row["component_id"]) == (len(sets[row["doc_id"]]), root(row["doc_id"]))
+
+
+def test_packing(spark, sf_dir):
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = found(spark, sf_dir, "op4_sum_of_squares_packing")
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for row in rows:
+        pieces[row["doc_id"]].append((row["piece"], row["start"], row["length"], row["ids_crc32"]))
+        sequences[row["sequence_id"]].append((row["offset"], row["length"]))
+    for doc, text in given(sf_dir, "documents", "doc_id, text"):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        cut = [ids[i : i + 2048] for i in range(0, len(ids), 2048)]
+        expected = [(k, 2048 * k, len(p), zlib.crc32(np.array(p, "<u4").tobytes())) for k, p in enumerate(cut)]
+        assert sorted(pieces[doc]) == expected
+    for places in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(places)])
+        assert [at for at, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    least = -(-sum(r["length"] for r in rows) // 2048)
+    assert len(sequences) <= least + 2
+
+
+def test_quality(spark, sf_dir):
+    labels = dict(given(sf_dir, "labels", "doc_id, quality"))
+    rows = [r for r in found(spark, sf_dir, "op7_quality_votes") if r["held_out"] and r["doc_id"] in labels]
+    assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in rows]) > 0.95
+
+
+def test_chat(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    turns = defaultdict(list)
+    for conv, *turn in [*given(sf_dir, "conversations", "conv_id, turn, role, text"), (-7, 0, "user", said), (-7, 1, "assistant", said)]:
+        turns[conv].append(turn)
+    for row in found(spark, sf_dir, "op10_chat_examples"):
+        held = sorted(turns.pop(row["conv_id"]))
+        loss = "".join(text for _, role, text in held if role == "assistant")
+        told = "".join(f"{role}\n{text}\n" for _, role, text in held)
+        expected = (len(held), sha(told), len(loss), sha(loss))
+        assert tuple(row[k] for k in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256")) == expected
+    assert not turns
+
+
+def test_pipeline(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.where("false"), sf_dir).columns == docs.columns
+    rows = corpus_pipeline.run(spark, sf_dir).toArrow().to_pylist()
+    labels = dict(given(sf_dir, "labels", "doc_id, quality"))
+    kept = {r["doc_id"] for r in rows}
+    assert kept and np.mean([labels[d] == 1 for d in kept if d in labels]) > 0.95
