@@ -1,16 +1,25 @@
 """Registered queries over whole tables, against the libraries and brute force."""
 
+import base64
 import hashlib
+import os
+import re
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
+import tiktoken
 import tokenizers
 
+import __spark_entry__ as registered
 import corpus_pipeline
+from roundhaul.llm import quality
+from roundhaul.llm.oracles import ORACLES
 from roundhaul.llm.queries import QUERIES
 
 
@@ -121,6 +130,165 @@ def test_chat(spark, sf_dir):
     assert not turns
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_against_sql(spark, sf_dir, name):
+    database = duckdb.connect()
+    for file in os.listdir(sf_dir):
+        database.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{sf_dir}/{file}'")
+    expected = database.execute(registered.oracle_sql()[name])
+    columns = sorted(column[0] for column in expected.description)
+    wanted = expected.to_arrow_table().select(columns).to_pylist()
+    got = registered.queries()[name](spark, sf_dir)
+    assert sorted(got.columns) == columns
+    assert sorted(map(repr, got.select(columns).toArrow().to_pylist())) == sorted(map(repr, wanted))
+
+
+def byte_vocabulary():
+    """The library's encoder with the same ranks, built here."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    return tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_matrices(spark, sf_dir):
+    library, texts, used = byte_vocabulary(), defaultdict(dict), 0
+    rows = found(spark, sf_dir, "op5_packed_id_matrices")
+    for row in rows:
+        ids, places = np.frombuffer(row["input_ids"], "<u2"), np.frombuffer(row["position_ids"], "<u2")
+        assert len(ids) == len(places) == 2048 and len(row["doc_ids"]) == row["n_segments"]
+        assert row["cu_seqlens"][0] == 0 and row["cu_seqlens"][-1] == row["n_tokens"] <= 2048
+        assert (ids[row["n_tokens"] :] == 50256).all()
+        used += row["n_tokens"]
+        for doc, start, a, b in zip(row["doc_ids"], row["starts"], row["cu_seqlens"], row["cu_seqlens"][1:], strict=False):
+            assert places[a:b].tolist() == list(range(b - a)) and start not in texts[doc]
+            texts[doc][start] = ids[a:b].tolist()
+    for doc, text in given(sf_dir, "documents", "doc_id, text"):
+        pieces = texts.pop(doc)
+        assert [i for start in sorted(pieces) for i in pieces[start]] == [*library.encode_ordinary(text or ""), 50256]
+        assert sorted(pieces) == list(range(0, 2048 * len(pieces), 2048))
+    assert not texts and len(rows) <= -(-used // 2048) + 2
+
+
+def base_spans(text):
+    """What the three patterns match, found by hand: a key word, a separator and a value; AKIA; hexadecimal."""
+    out = []
+    word = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
+    value = re.compile(r"[\"']?\x20*[:=]\x20*[\"']?(?P<value>[A-Za-z0-9+/_.=-]+)")
+    at = 0
+    while key := word.search(text, at):
+        rest = value.match(text, key.end())
+        at = rest.end() if rest else key.start() + 1
+        if rest and len(rest["value"]) >= 6:
+            out.append((key.start(), 0, rest.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def test_secrets(spark, sf_dir):
+    library, kinds = byte_vocabulary(), ("assign", "access", "hex", "token")
+    got = {r["doc_id"]: r for r in found(spark, sf_dir, "op6_secret_spans")}
+    for doc, text in given(sf_dir, "documents", "doc_id, text"):
+        base, row = base_spans(text or ""), got.pop(doc)
+        listed = ",".join(f"{kinds[kind]}:{a}:{b}" for a, kind, b in base)
+        counts = [sum(kind == k for _, kind, _ in base) for k in range(3)]
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == counts and row["base_sha256"] == sha(listed)
+        every = [span.split(":") for span in row["spans"].split(",") if span]
+        assert [s for s in every if s[0] != "token"] == [s.split(":") for s in listed.split(",") if s]
+        for _, a, b in (s for s in every if s[0] == "token"):
+            run = text[int(a) : int(b)]
+            assert len(run) >= 16 and len(run) < 2.0 * len(library.encode_ordinary(run))
+    assert not got
+
+
+class Article(HTMLParser):
+    """The text in a page's article, by the standard library's parser."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.inside, self.blocks = False, [""]
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = self.inside or tag == "article"
+        if tag == "br":
+            self.handle_data(" ")
+        elif tag in ("p", "h1", "h2", "ul", "li", "div"):
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside = self.inside and tag != "article"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_pages(spark, sf_dir):
+    rows = {r["page_id"]: r for r in found(spark, sf_dir, "op8_main_text")}
+    for page, url, text in given(sf_dir, "pages", "page_id, url, html"):
+        kept = [" ".join(block.split()) for block in Article(text or "").blocks]
+        wanted = "\n".join(block for block in kept if block)
+        assert rows.pop(page) == {"page_id": page, "url": url, "text": wanted, "n_chars": len(wanted)}
+    assert not rows
+
+
+def test_fingerprints(spark, sf_dir):
+    docs = sorted(given(sf_dir, "documents", "doc_id, text"), reverse=True)
+    rows = {r["doc_id"]: r for r in found(spark, sf_dir, "op9_merkle_fingerprints")}
+    prints, near, far = {}, [], []
+    for (doc, text), (after, other) in zip(docs, [*docs[1:], docs[0]], strict=True):
+        text, other, row = text or "", other or "", rows[doc]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + other[:half]
+        assert (row["n_chars"], row["edited_sha256"]) == (len(text), sha(edited))
+        assert prints.setdefault(row["fingerprint"], text) == text
+        assert prints.setdefault(row["edited_fingerprint"], edited) == edited
+        assert (row["near_next"] == 1) == (row["fingerprint"] == rows[after]["fingerprint"])
+        if len(text) > 400 and other[:half] != text[len(text) - half :] and len(other) >= half:
+            near.append(row["near_edited"])
+            far.append(row["near_next"])
+    assert len(prints) == len(set(prints.values()))
+    assert np.median(near) > 0.3 and np.median(far) < 0.05
+
+
+def kept_of_each_group(texts):
+    """The smallest id of every group of near duplicates: five words a shingle, 80 %."""
+    sets, holders, links = {}, defaultdict(list), []
+    for doc in sorted(texts):
+        words = texts[doc].encode().lower().split()
+        sets[doc] = {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+        common = Counter(other for shingle in sets[doc] for other in holders[shingle])
+        links += [(o, doc) for o, n in common.items() if 100 * n >= 80 * (len(sets[o]) + len(sets[doc]) - n)]
+        for shingle in sets[doc]:
+            holders[shingle].append(doc)
+    root = roots(links)
+    return {doc for doc in texts if root(doc) == doc}
+
+
+def test_pipeline_against_plain_python(spark, sf_dir):
+    texts = {doc: text or "" for doc, text in given(sf_dir, "documents", "doc_id, text")}
+    model = quality.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scores = dict(zip(texts, model.scores(list(texts.values())), strict=True))
+    kept = kept_of_each_group({doc: text for doc, text in texts.items() if scores[doc] >= 0.7})
+    spans = {r["doc_id"]: r["spans"] for r in found(spark, sf_dir, "op6_secret_spans")}
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = set()
+    for doc in kept:
+        every = [tuple(map(int, s.split(":")[1:])) for s in spans[doc].split(",") if s]
+        starts = {a for a, _ in every if not any(c < a < d for c, d in every)}
+        hidden = {i for a, b in every for i in range(a, b)}
+        clean = "".join(("[secret]" if i in starts else "") + ("" if i in hidden else c) for i, c in enumerate(texts[doc]))
+        ids = [*library.encode(clean, add_special_tokens=False).ids, 0]
+        for number, start in enumerate(range(0, len(ids), 2048)):
+            piece = ids[start : start + 2048]
+            expected.add((doc, number, start, len(piece), zlib.crc32(np.array(piece, "<u4").tobytes())))
+    rows = corpus_pipeline.run(spark, sf_dir).toArrow().to_pylist()
+    assert {tuple(r[k] for k in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in rows} == expected
+    assert len(rows) == len(expected)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
