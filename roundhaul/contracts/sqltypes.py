@@ -43,6 +43,10 @@ STORED = {
 DEFAULT_DECIMAL = (38, 18)
 
 
+# The smallest and largest value of types that are held in a wider one.
+RANGES = {"tinyint": (0, 255), "smallint": (-32768, 32767)}
+
+
 @dataclass(frozen=True)
 class SqlType:
     """A relational type as the source catalog reports it."""
@@ -70,6 +74,11 @@ class SqlType:
         """Digits kept after the second; an undeclared precision means all seven."""
         return 7 if self.precision is None else self.precision
 
+    @property
+    def range(self) -> tuple[int, int] | None:
+        """The declared bounds, where the type that holds the values has wider ones."""
+        return RANGES.get(self.name)
+
     def stored(self) -> T.DataType:
         """The Spark type that holds this type in the warehouse."""
         if self.is_decimal:

@@ -100,6 +100,30 @@ class Contract:
         columns = tuple(Column(f.name, f.dataType) for f in df.schema.fields)
         return cls(name, columns, tuple(key)).partitioned_by(*partition_by)
 
+    def layout(self) -> dict[str, object]:
+        """What is needed to read files of this shape again, as plain values; `from_layout` undoes it."""
+        columns = [
+            {
+                "name": c.name,
+                "type": c.type.jsonValue(),
+                "nullable": c.nullable,
+                "declared": c.declared and [c.declared.name, c.declared.precision, c.declared.scale],
+            }
+            for c in self.columns
+        ]
+        partitions = [{"column": p.column, "by_day": p.by_day} for p in self.partitions]
+        return {"name": self.name, "columns": columns, "key": list(self.key), "partitions": partitions}
+
+    @classmethod
+    def from_layout(cls, held: Mapping) -> Contract:
+        columns = []
+        for c in held["columns"]:
+            kind = T.StructType.fromJson({"fields": [{"name": c["name"], "type": c["type"], "nullable": True, "metadata": {}}]})
+            declared = SqlType(*c["declared"]) if c["declared"] else None
+            columns.append(Column(c["name"], kind[0].dataType, c["nullable"], declared))
+        partitions = tuple(Partition(p["column"], p["by_day"]) for p in held["partitions"])
+        return cls(held["name"], tuple(columns), tuple(held["key"]), partitions=partitions)
+
     def partitioned_by(self, *names: str) -> Contract:
         """Partition dates and timestamps by calendar day and everything else by raw value."""
         types = {c.name: c.type for c in self.columns}

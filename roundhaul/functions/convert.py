@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roundhaul.contracts import Column as ContractColumn
 from roundhaul.contracts import Contract, named
 from roundhaul.session import local_table
 
-
 FLOATS = (T.FloatType, T.DoubleType)
 
 
@@ -17,36 +20,59 @@ class ShapeMismatch(ValueError):
     """The incoming columns are not the columns of the contract."""
 
 
-def _keeps(source: T.DataType | None, to: T.DataType) -> bool:
-    """Whether a cast between these types must give back the value when it is undone."""
-    exact = isinstance(source, T.NumericType) and isinstance(to, (T.IntegralType, T.DecimalType))
-    return exact or (isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(to, T.DateType))
+# Wide enough for the parsed form of any text that a narrower decimal may have rounded.
+_PARSED = T.DecimalType(38, 18)
+
+
+def _unchanged(column: Column, value: Column, source: T.DataType | None, to: T.DataType) -> Column | None:
+    """Whether a cast gave back the same value; None where the types leave nothing to lose."""
+    exact = (T.IntegralType, T.DecimalType)
+    if isinstance(source, T.NumericType) and isinstance(to, (*exact, *FLOATS)):
+        back = value.try_cast(source)
+        if isinstance(source, FLOATS) and isinstance(to, exact):
+            # The last binary digits of a sum such as 5.1000000000000005 are no loss.
+            return F.abs(back - column) <= F.abs(column) * 1e-12
+        return back == column
+    if isinstance(source, T.StringType) and isinstance(to, exact):
+        return F.coalesce(value.try_cast(_PARSED) == column.try_cast(_PARSED), F.lit(True))
+    if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(to, T.DateType):
+        return value.try_cast(source) == column
+    return None
+
+
+def fitting(column: Column, to: T.DataType, source: T.DataType | None = None, rounding: bool = False) -> Column:
+    """Cast; NULL for a value that does not fit or, without ``rounding``, would be changed."""
+    value = column.try_cast(to)
+    same = None if rounding else _unchanged(column, value, source, to)
+    return value if same is None else F.when(same, value)
 
 
-def strict_cast(column: Column, to: T.DataType, name: str, source: T.DataType | None = None) -> Column:
-    """Cast, and stop the job on a value that does not fit.
+def in_range(value: Column, wanted: ContractColumn) -> Column | None:
+    """Whether a value lies in the declared range; None where there is none narrower than its type."""
+    bounds = wanted.declared.range if wanted.declared else None
+    return None if bounds is None else value.between(*bounds)
 
-    From a number to a whole number or a decimal, and from an instant to a day, a value that
-    the cast would change does not fit either (beyond a relative 1e-12 of a float).
+
+def strict_cast(
+    column: Column, to: T.DataType, name: str, source: T.DataType | None = None, rounding: bool = False
+) -> Column:
+    """Cast, and stop the job on a value that does not fit or would be changed.
 
     Does not rely on ANSI mode: with it off a plain cast would turn such a value into NULL.
     """
     refusal = F.raise_error(F.lit(f"{name}: value does not fit {to.simpleString()}"))
-    value = column.try_cast(to)
-    if _keeps(source, to):
-        back, slack = value.try_cast(source), F.lit(0)
-        if isinstance(source, FLOATS):  # the last binary digits of a sum such as 5.1000000000000005 are no loss
-            slack = F.abs(column) * 1e-12
-        same = F.abs(back - column) <= slack if isinstance(source, T.NumericType) else back == column
-        value = F.when(same, value)
-    return F.coalesce(value, F.when(column.isNotNull(), refusal))
+    return F.coalesce(fitting(column, to, source, rounding), F.when(column.isNotNull(), refusal))
 
 
-def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFrame:
+def conform(
+    df: DataFrame, contract: Contract, tolerant: bool = False, rounding: Collection[str] = ()
+) -> DataFrame:
     """Give every column its contract type and every row the contract's column order.
 
-    A value that does not fit stops the job, or becomes NULL when ``tolerant``. NaN counts
-    as missing where the contract has no place for it.
+    A value that does not fit its type or declared range, or that the conversion would change,
+    stops the job, or becomes NULL when ``tolerant``. Columns named in ``rounding`` may be
+    rounded. NaN counts as missing where the contract has no place for it. Text may be longer
+    than declared.
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     missing = [n for n in contract.names if n not in present]
@@ -62,24 +88,78 @@ def conform(df: DataFrame, contract: Contract, tolerant: bool = False) -> DataFr
         if wanted.declared and wanted.declared.name == "time":
             value = time_text(value)
         elif present[wanted.name] != wanted.type:
-            value = value.try_cast(wanted.type) if tolerant else strict_cast(value, wanted.type, wanted.name, present[wanted.name])
+            cast = fitting if tolerant else partial(strict_cast, name=wanted.name)
+            value = cast(value, to=wanted.type, source=present[wanted.name], rounding=wanted.name in rounding)
+        within = in_range(value, wanted)
+        if within is not None:
+            refusal = F.raise_error(F.lit(f"{wanted.name}: value does not fit {wanted.declared.name}"))
+            value = F.when(within, value) if tolerant else F.when(value.isNull() | within, value).otherwise(refusal)
         columns.append(value.alias(wanted.name))
     return df.select(*columns)
 
 
+def as_contract(df: DataFrame, contract: Contract) -> DataFrame:
+    """Rows of an older or newer shape in the contract's: missing columns are NULL, others are converted strictly."""
+    present = {f.name: f.dataType for f in df.schema.fields}
+    columns = []
+    for wanted in contract.columns:
+        kind = present.get(wanted.name)
+        if kind is None:
+            value = F.lit(None).cast(wanted.type)
+        elif kind != wanted.type:
+            value = strict_cast(named(wanted.name), wanted.type, wanted.name, kind)
+        else:
+            value = named(wanted.name)
+        columns.append(value.alias(wanted.name))
+    return df.select(*columns)
+
+
+def _checked(df: DataFrame, contract: Contract) -> list[tuple[str, Column, Column]]:
+    """Per column that changes type or has a declared range: its name, which values change, which lie outside."""
+    present = {f.name: f.dataType for f in df.schema.fields}
+    found = []
+    for wanted in contract.columns:
+        source = present.get(wanted.name, wanted.type)
+        value = named(wanted.name)
+        if isinstance(source, FLOATS) and not isinstance(wanted.type, FLOATS):
+            value = nan_to_null(value)
+        cast = fitting(value, wanted.type, source) if source != wanted.type else value
+        within = in_range(cast, wanted)
+        if source != wanted.type or within is not None:
+            outside = F.lit(False) if within is None else F.coalesce(~within, F.lit(False))
+            found.append((wanted.name, value.isNotNull() & cast.isNull(), outside))
+    return found
+
+
 def rejected_values(df: DataFrame, contract: Contract) -> DataFrame:
-    """One row per column that changes type: how many values a tolerant conversion would lose."""
+    """One row per column that changes type: how many values a tolerant conversion would lose.
+
+    ``lossy_values`` also has the columns that keep their type but have a declared range.
+    """
     present = {f.name: f.dataType for f in df.schema.fields}
-    changing = [c for c in contract.columns if present.get(c.name, c.type) != c.type]
-    if not changing:
+    changing = {c.name for c in contract.columns if present.get(c.name, c.type) != c.type}
+    lost = [(name, changed | outside) for name, changed, outside in _checked(df, contract) if name in changing]
+    if not lost:
         return local_table(df.sparkSession, [], "column_name string, rejected bigint")
-    counts = df.agg(
-        *[
-            F.count_if(named(c.name).isNotNull() & named(c.name).try_cast(c.type).isNull()).alias(c.name)
-            for c in changing
-        ]
-    )
-    return counts.unpivot([], [named(c.name) for c in changing], "column_name", "rejected")
+    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in lost])
+    return counts.unpivot([], [named(name) for name, _ in lost], "column_name", "rejected")
+
+
+def lossy_values(df: DataFrame, contract: Contract) -> DataFrame:
+    """One row per column that changes type or has a declared range: how many values the conversion
+    would change, and how many lie outside the range."""
+    checked = _checked(df, contract)
+    if not checked:
+        return local_table(df.sparkSession, [], "column_name string, changed bigint, out_of_range bigint")
+    counts = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.count_if(changed).alias("changed"),
+            F.count_if(outside).alias("out_of_range"),
+        )
+        for name, changed, outside in checked
+    ]
+    return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
 
 
 def exact_decimal(column: Column, precision: int, scale: int) -> Column:

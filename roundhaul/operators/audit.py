@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundhaul.contracts import named
+from roundhaul.contracts import Contract, named
 
 
 def audit_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -43,3 +43,42 @@ def audit_foreign_key(
     both = from_child.unionByName(parent.select(*keys, F.lit(0).alias("_child")))
     per_key = both.groupBy(*own).agg(F.sum("_child").alias("orphans"), F.min("_child").alias("_child"))
     return per_key.where("_child = 1").drop("_child")
+
+
+def audit_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]) -> DataFrame:
+    """Every declared rule of every table, with the number of rows that break it, 0 included.
+
+    Of rows that share a unique key all but one break it. A foreign key whose parent is not
+    among the tables cannot be audited and raises.
+    """
+    found = []
+    for contract in contracts:
+        rows = tables[contract.name]
+
+        def rule(counts: DataFrame, kind: str, columns: Sequence[str], violations) -> DataFrame:
+            return counts.select(
+                F.lit(contract.name).alias("table_name"),  # noqa: B023 - used within this turn only
+                F.lit(kind).alias("rule"),
+                F.lit(", ".join(columns)).alias("columns"),
+                F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"),
+            )
+
+        if contract.required:
+            nulls = audit_not_null(rows, contract.required)
+            found.append(
+                nulls.select(
+                    F.lit(contract.name).alias("table_name"),
+                    F.lit("not null").alias("rule"),
+                    F.col("column_name").alias("columns"),
+                    "violations",
+                )
+            )
+        for key in dict.fromkeys(k for k in (contract.key, *contract.unique) if k):
+            copies = audit_unique(rows, key).agg(F.sum(F.col("copies") - 1).alias("n"))
+            found.append(rule(copies, "unique", key, F.col("n")))
+        for fk in contract.foreign_keys:
+            orphans = audit_foreign_key(rows, fk.columns, tables[fk.parent], fk.parent_columns)
+            found.append(rule(orphans.agg(F.sum("orphans").alias("n")), "foreign key", fk.columns, F.col("n")))
+    if not found:
+        raise ValueError("no rule is declared")
+    return reduce(DataFrame.unionAll, found)

@@ -59,28 +59,6 @@ def latest(df: DataFrame, *newest_first: str, n: int = 10) -> DataFrame:
     return df.orderBy(*[named(name).desc() for name in newest_first]).limit(n)
 
 
-def orders_by_place(region: DataFrame, nation: DataFrame, customer: DataFrame, orders: DataFrame) -> DataFrame:
-    """Orders per region, nation and market segment.
-
-    Orders are counted per customer before the first join and counts are added up before
-    each further one. The fact table is thus reduced on the map side, whichever customer
-    or nation holds most of it, and no join sees more rows than it has keys.
-    """
-    per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
-    per_nation = (
-        customer.join(per_customer, "c_custkey")
-        .groupBy(F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
-        .agg(F.sum("n").alias("n"))
-    )
-    return (
-        per_nation.join(nation, "n_nationkey")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .groupBy("r_name", "n_name", "c_mktsegment")
-        .agg(F.sum("n").alias("order_count"))
-        .orderBy("r_name", "n_name", "c_mktsegment")
-    )
-
-
 def profile_columns(df: DataFrame, required: Collection[str] = (), exact: bool = True) -> DataFrame:
     """One row per column: position, type, null count, distinct count, smallest and largest.
 

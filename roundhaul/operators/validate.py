@@ -146,15 +146,19 @@ def float_tolerance(
     columns: Sequence[str] | None = None,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """Largest difference of each float column over rows paired by key, NULLs left out.
+    """Largest difference of each column that is a float on both sides, over rows paired by key.
+
+    NULLs are left out, and a key with a NULL in it pairs with nothing.
 
     Over all pairs of a key, the largest difference follows from the smallest and largest
     value of each side, so no pair is ever built. Equal values, NaN and infinities
     included, differ by 0; NaN against a number gives NaN and fails.
     """
+    floating = [{f.name for f in side.schema.fields if isinstance(f.dataType, FLOATS)} for side in (source, target)]
     if columns is None:
-        floating = [f.name for f in source.schema.fields if isinstance(f.dataType, FLOATS)]
-        columns = [name for name in floating if name in target.columns and name not in key]
+        columns = [name for name in source.columns if name in floating[0] & floating[1] and name not in key]
+    elif not set(columns) <= floating[0] & floating[1]:
+        raise ValueError(f"not floats on both sides: {sorted(set(columns) - (floating[0] & floating[1]))}")
     if not columns:
         return local_table(source.sparkSession, [], "column_name string, max_diff double, within_tolerance boolean")
     kept = [named(name) for name in (*key, *columns)]
@@ -163,7 +167,8 @@ def float_tolerance(
         for side, here in (("s", F.col("_in_source")), ("t", ~F.col("_in_source"))):
             value = F.when(here, named(name).cast("double"))
             ends += [F.min(value).alias(f"{side}{i}_min"), F.max(value).alias(f"{side}{i}_max")]
-    per_key = _stack(source.select(*kept), target.select(*kept)).groupBy(*kept[: len(key)]).agg(*ends)
+    whole = reduce(lambda a, b: a & b, [named(name).isNotNull() for name in key], F.lit(True))
+    per_key = _stack(source.select(*kept), target.select(*kept)).where(whole).groupBy(*kept[: len(key)]).agg(*ends)
     gaps = []
     for i, name in enumerate(columns):
         low_s, high_s, low_t, high_t = (F.col(f"{side}{i}_{end}") for side in "st" for end in ("min", "max"))
@@ -214,6 +219,39 @@ def content_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     return found.select("only_in_source", "only_in_target", _status(equal))
 
 
+def validation_checks(
+    table: str, source: DataFrame, target: DataFrame, entity: str | None = None, moment: str | None = None
+) -> DataFrame:
+    """Every check of a table with what was expected, what was found, and its status.
+
+    Rows, rows lost and made up, and the load statistics where their columns are named. Columns
+    must agree before contents can be compared.
+    """
+    counts = row_count_match(source, target).select(
+        F.lit("row_count").alias("check"),
+        F.col("source_rows").cast("string").alias("expected"),
+        F.col("target_rows").cast("string").alias("actual"),
+        "status",
+    )
+    sides = [
+        F.struct(F.lit(name).alias("check"), F.lit("0").alias("expected"), F.col(column).cast("string").alias("actual"),
+                 _status(F.col(column) == 0))
+        for name, column in (("rows_lost", "only_in_source"), ("rows_made_up", "only_in_target"))
+    ]
+    found = counts.unionByName(content_diff(source, target).select(F.inline(F.array(*sides))))
+    if entity is not None and moment is not None:
+        statistics = statistics_match(source, target, entity, moment)
+        found = found.unionByName(
+            statistics.select(
+                F.col("statistic").alias("check"),
+                F.col("source_value").alias("expected"),
+                F.col("target_value").alias("actual"),
+                "status",
+            )
+        )
+    return found.select(F.lit(table).alias("table_name"), "*")
+
+
 def differing_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """The rows themselves, with the side that has more of them and by how many.
 

@@ -113,6 +113,18 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'o_totalprice', count(*) FILTER (WHERE TRY_CAST({TEXT_PRICE} AS DECIMAL(19,4)) IS NULL)
         FROM orders""",
+    "lossy_values": """
+        SELECT 'l_partkey' AS column_name, CAST(0 AS BIGINT) AS changed,
+               count(*) FILTER (WHERE l_partkey NOT BETWEEN 0 AND 255) AS out_of_range FROM lineitem
+        UNION ALL SELECT 'l_linenumber', 0, count(*) FILTER (WHERE abs(l_linenumber) > 32767) FROM lineitem
+        UNION ALL SELECT 'l_quantity', count(*) FILTER (WHERE l_quantity <> trunc(l_quantity)), 0 FROM lineitem
+        UNION ALL
+        SELECT 'l_extendedprice',
+               count(*) FILTER (WHERE abs(round(l_extendedprice, 1) - l_extendedprice) > 1e-12 * l_extendedprice), 0
+        FROM lineitem
+        UNION ALL
+        SELECT 'l_discount', count(*) FILTER (WHERE abs(round(l_discount, 1) - l_discount) > 1e-12 * l_discount), 0
+        FROM lineitem""",
     "bool_flag": """
         SELECT o_orderkey,
                CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS is_final,
@@ -196,6 +208,12 @@ ORACLES: dict[str, str] = {
     "day_range_scan": """
         SELECT * FROM events
         WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-13 18:00:00'""",
+    "layout_change": """
+        SELECT * FROM events
+        WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-13 18:00:00'""",
+    "date_range_scan": f"""
+        SELECT * FROM ({CONFORMED_LINEITEM})
+        WHERE l_shipdate >= TIMESTAMP '1995-01-10 06:00:00' AND l_shipdate < TIMESTAMP '1995-03-13 18:00:00'""",
     "read_as_of": CONFORMED_ORDERS,
     "replaced_load": f"{CONFORMED_ORDERS} WHERE o_orderstatus = 'F'",
     "row_count_match": f"""
@@ -277,6 +295,71 @@ ORACLES: dict[str, str] = {
         SELECT o_custkey, count(*) AS orphans FROM orders
         WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment <> 'BUILDING')
         GROUP BY o_custkey""",
+    "audit_contracts": f"""
+        WITH named AS (
+          SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS c_name FROM customer
+        ), held AS (SELECT * FROM part WHERE p_size > 1),
+        placed AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P'),
+        known AS (SELECT DISTINCT o_orderkey FROM orders)
+        {" UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, 'not null' AS rule, '{column}' AS columns, "
+            f"count(*) FILTER (WHERE {column} IS NULL) AS violations FROM {rows}"
+            for name, rows, columns in (
+                ("customer", "named", ("c_custkey", "c_name")),
+                ("part", "held", ("p_partkey", "p_name", "p_brand")),
+                ("orders", "placed", ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")),
+                ("lineitem", "lineitem", ("l_orderkey", "l_partkey", "l_linenumber")),
+                ("events", "events", ("event_id", "ts")),
+            )
+            for column in columns
+        )}
+        {"".join(
+            f" UNION ALL SELECT '{name}', 'unique', '{key}', "
+            f"(SELECT count(*) FROM {rows}) - (SELECT count(*) FROM (SELECT DISTINCT {key} FROM {rows}))"
+            for name, rows, key in (
+                ("customer", "named", "c_custkey"),
+                ("part", "held", "p_partkey"),
+                ("orders", "placed", "o_orderkey"),
+                ("lineitem", "lineitem", "l_orderkey, l_linenumber"),
+                ("events", "events", "event_id"),
+            )
+        )}
+        UNION ALL SELECT 'orders', 'foreign key', 'o_custkey', count(*) FROM placed
+          WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM named WHERE c_custkey = o_custkey)
+        UNION ALL SELECT 'lineitem', 'foreign key', 'l_orderkey', count(*) FROM lineitem
+          WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM known WHERE o_orderkey = l_orderkey)
+        UNION ALL SELECT 'lineitem', 'foreign key', 'l_partkey', count(*) FROM lineitem
+          WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM held WHERE p_partkey = l_partkey)""",
+    "validation_report": f"""
+        WITH {CHANGED_ORDERS}, pairs AS (
+          {" UNION ALL ".join(
+              f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS here, "
+              f"(SELECT count(*) FROM {there}) AS there, "
+              f"(SELECT count(*) FROM (SELECT * FROM {name} EXCEPT ALL SELECT * FROM {there})) AS lost, "
+              f"(SELECT count(*) FROM (SELECT * FROM {there} EXCEPT ALL SELECT * FROM {name})) AS made_up"
+              for name, there in ((n, "changed_orders" if n == "orders" else n) for n in COUNTED)
+          )}
+        ), checks AS (
+          SELECT table_name, 'row_count' AS "check", CAST(here AS VARCHAR) AS expected, CAST(there AS VARCHAR) AS actual
+          FROM pairs
+          UNION ALL SELECT table_name, 'rows_lost', '0', CAST(lost AS VARCHAR) FROM pairs
+          UNION ALL SELECT table_name, 'rows_made_up', '0', CAST(made_up AS VARCHAR) FROM pairs
+          UNION ALL SELECT 'orders', 'total_rows', CAST(here AS VARCHAR), CAST(there AS VARCHAR) FROM pairs
+            WHERE table_name = 'orders'
+          UNION ALL SELECT 'orders', 'unique_entities', (SELECT CAST(count(DISTINCT o_custkey) AS VARCHAR) FROM orders),
+            (SELECT CAST(count(DISTINCT o_custkey) AS VARCHAR) FROM changed_orders)
+          UNION ALL SELECT 'orders', 'min_date', (SELECT CAST(min(o_orderdate) AS VARCHAR) FROM orders),
+            (SELECT CAST(min(o_orderdate) AS VARCHAR) FROM changed_orders)
+          UNION ALL SELECT 'orders', 'max_date', (SELECT CAST(max(o_orderdate) AS VARCHAR) FROM orders),
+            (SELECT CAST(max(o_orderdate) AS VARCHAR) FROM changed_orders)
+        )
+        SELECT *, CASE WHEN expected IS NOT DISTINCT FROM actual THEN 'PASSED' ELSE 'FAILED' END AS status FROM checks""",
+    "restore_subset": f"""
+        SELECT name || '_backload' AS table_name, row_count, 'success' AS status, row_count AS rows
+        FROM ({ALL_COUNTS}) WHERE name IN ('orders', 'part')""",
+    "restore_before_migration": """
+        SELECT 'customer' AS table_name, 'refused' AS status, CAST(0 AS BIGINT) AS rows, 'NotMigrated' AS error
+        UNION ALL SELECT 'customer', 'success', count(*), NULL FROM customer""",
     "evolve_append": """
         SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, CAST(p_retailprice AS DECIMAL(19,2)) AS p_retailprice,
                CAST(CAST(p_retailprice / 2 AS FLOAT) AS DOUBLE) AS half_price, p_brand,

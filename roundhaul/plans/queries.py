@@ -9,17 +9,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundhaul.contracts import Contract
+from roundhaul.contracts import Contract, ForeignKey
 from roundhaul.functions import convert, derive
 from roundhaul.operators import audit, evolve, stats, validate
 from roundhaul.plans import jobs
 from roundhaul.plans.targets import WarehouseTarget
 from roundhaul.session import fresh_folder, local_table
-from roundhaul.sources.warehouse import Warehouse, count_by_table, read_directory
+from roundhaul.sources.warehouse import NotMigrated, Warehouse, count_by_table, read_directory
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -153,9 +155,31 @@ def total_rows_scalar(spark, sf_dir):
     return stats.total_rows_scalar(tables(spark, sf_dir))
 
 
+def orders_by_place(region: DataFrame, nation: DataFrame, customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """Orders per region, nation and market segment.
+
+    Orders are counted per customer before the first join and counts are added up before
+    each further one. The fact table is thus reduced on the map side, whichever customer
+    or nation holds most of it, and no join sees more rows than it has keys.
+    """
+    per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    per_nation = (
+        customer.join(per_customer, "c_custkey")
+        .groupBy(F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
+        .agg(F.sum("n").alias("n"))
+    )
+    return (
+        per_nation.join(nation, "n_nationkey")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .groupBy("r_name", "n_name", "c_mktsegment")
+        .agg(F.sum("n").alias("order_count"))
+        .orderBy("r_name", "n_name", "c_mktsegment")
+    )
+
+
 def inventory_join(spark, sf_dir):
     names = ("region", "nation", "customer", "orders")
-    return stats.orders_by_place(*(table(spark, sf_dir, name) for name in names))
+    return orders_by_place(*(table(spark, sf_dir, name) for name in names))
 
 
 def table_inventory(spark, sf_dir):
@@ -212,6 +236,21 @@ def rejected_values(spark, sf_dir):
     return convert.rejected_values(as_text, wanted)
 
 
+def lossy_values(spark, sf_dir):
+    """Line items against types that are too narrow for some of their values."""
+    wanted = Contract.declare(
+        "lineitem",
+        {
+            "l_partkey": "tinyint",
+            "l_linenumber": "smallint",
+            "l_quantity": "int",
+            "l_extendedprice": "decimal(12,1)",
+            "l_discount": "decimal(5,1)",
+        },
+    )
+    return convert.lossy_values(table(spark, sf_dir, "lineitem").select(*wanted.names), wanted)
+
+
 def bool_flag(spark, sf_dir):
     bit = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
     flag = convert.bit_to_boolean(bit)
@@ -381,6 +420,24 @@ def replaced_load(spark, sf_dir):
     return stored.read(ORDERS)
 
 
+def layout_change(spark, sf_dir):
+    """A load without directories, read by range with the contract of a later load that has them."""
+    events = table(spark, sf_dir, "events")
+    stored, by_day = warehouse(spark, "layout"), EVENTS.partitioned_by("ts")
+    first = stored.write(events, EVENTS.partitioned_by())
+    stored.write(events.where(F.col("event_type") == "error"), by_day)
+    bounds = dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 13, 18)
+    return stored.read_range(by_day, "ts", *bounds, as_of=first.id)
+
+
+def date_range_scan(spark, sf_dir):
+    """Days count as their first instant: from the 10th at 6 to the 13th at 18 are the 11th to the 13th."""
+    contract = replace(LINEITEM, name="shipped").partitioned_by("l_shipdate")
+    stored = warehouse(spark, "days")
+    stored.write(convert.conform(table(spark, sf_dir, "lineitem"), LINEITEM), contract)
+    return stored.read_range(contract, "l_shipdate", dt.datetime(1995, 1, 10, 6), dt.datetime(1995, 3, 13, 18))
+
+
 # Validation, audits and evolution
 
 
@@ -432,6 +489,40 @@ def audit_foreign_key(spark, sf_dir):
     return audit.audit_foreign_key(table(spark, sf_dir, "orders"), ["o_custkey"], known, ["c_custkey"])
 
 
+# The stand-ins with keys between them, and faults that break some of their rules.
+AUDITED = (
+    CUSTOMER,
+    PART,
+    replace(ORDERS, foreign_keys=(ForeignKey(("o_custkey",), "customer", ("c_custkey",)),)),
+    replace(
+        LINEITEM,
+        key=("l_orderkey", "l_linenumber"),
+        foreign_keys=(
+            ForeignKey(("l_orderkey",), "orders", ("o_orderkey",)),
+            ForeignKey(("l_partkey",), "part", ("p_partkey",)),
+        ),
+    ),
+    EVENTS,
+)
+
+
+def audit_contracts(spark, sf_dir):
+    given = tables(spark, sf_dir)
+    given["customer"] = given["customer"].withColumn("c_name", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")))
+    given["part"] = given["part"].where(F.col("p_size") > 1)
+    given["orders"] = given["orders"].unionAll(given["orders"].where(F.col("o_orderstatus") == "P"))
+    return audit.audit_contracts(given, AUDITED)
+
+
+def validation_report(spark, sf_dir):
+    """Every check of five tables, of which the orders came back damaged."""
+    given = tables(spark, sf_dir)
+    found = {**given, "orders": changed_orders(given["orders"])}
+    timed = {"orders": ("o_custkey", "o_orderdate")}
+    checks = [validate.validation_checks(n, given[n], found[n], *timed.get(n, ())) for n in COUNTED]
+    return reduce(DataFrame.unionAll, checks)
+
+
 def evolve_append(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
     before = parts.select(
@@ -492,6 +583,28 @@ def restore_roundtrip(spark, sf_dir):
     return target.read(contract).withColumn("props", F.hex("props"))
 
 
+def restore_subset(spark, sf_dir):
+    """All five tables are stored, two of them are asked for and restored."""
+    stored, database = warehouse(spark, "subset"), warehouse(spark, "subset-target")
+    jobs.migrate(stored, _sources(spark, sf_dir))
+    outcomes = jobs.restore(stored, MOVED, WarehouseTarget(database), only=["orders", "part"])
+    return database.inventory().join(jobs.report(spark, outcomes).select(
+        F.concat("table_name", F.lit("_backload")).alias("table_name"), "status", "rows"), "table_name"
+    ).select("table_name", "row_count", "status", "rows")
+
+
+def restore_before_migration(spark, sf_dir):
+    """A restore from an empty warehouse is refused; after the migration it goes through."""
+    stored, target = warehouse(spark, "early"), WarehouseTarget(warehouse(spark, "early-target"))
+    try:
+        outcomes = jobs.restore(stored, [CUSTOMER], target)
+    except NotMigrated as refused:
+        outcomes = [jobs.Outcome("restore", CUSTOMER.name, "refused", error=type(refused).__name__)]
+    jobs.migrate(stored, [source for source in _sources(spark, sf_dir) if source.contract is CUSTOMER])
+    outcomes += jobs.restore(stored, [CUSTOMER], target)
+    return jobs.report(spark, outcomes).select("table_name", "status", "rows", "error")
+
+
 def full_cycle(spark, sf_dir):
     stored, database = warehouse(spark, "cycle"), warehouse(spark, "cycle-target")
     rows = jobs.full_cycle(stored, _sources(spark, sf_dir), WarehouseTarget(database))
@@ -519,6 +632,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         conform_types,
         exact_decimal,
         rejected_values,
+        lossy_values,
         bool_flag,
         nan_to_null,
         timestamp_ms_text,
@@ -535,6 +649,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partition_identity,
         partition_day,
         day_range_scan,
+        date_range_scan,
+        layout_change,
         read_as_of,
         replaced_load,
         row_count_match,
@@ -547,10 +663,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         audit_not_null,
         audit_unique,
         audit_foreign_key,
+        audit_contracts,
+        validation_report,
         evolve_append,
         migrate_report,
         restore_report,
         restore_roundtrip,
+        restore_subset,
+        restore_before_migration,
         full_cycle,
     )
 }

@@ -1,15 +1,17 @@
 """A Parquet warehouse in which every reload is a new directory.
 
-Layout: ``<root>/<namespace>/<table>/data/load=<n>/<directory keys>/part-*.parquet``. A load
-counts once Spark's committer has put ``_SUCCESS`` into its directory, so replacing a table
-is one step for readers, a failed or killed run leaves the previous load in force, and
-earlier loads stay readable.
+Layout: ``<root>/<namespace>/<table>/data/load=<n>/<directory keys>/part-*.parquet``. Beside the
+files of a load lies ``_layout.json``: the contract it was written with and its number of rows.
+It is written last, and a load counts once it is there. So replacing a table is one step for
+readers, a failed or killed run leaves the previous load in force, and earlier loads stay
+readable whatever the table's contract has become.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundhaul.contracts import Contract, named
+from roundhaul.functions.convert import as_contract
 from roundhaul.session import local_table
 
 
@@ -32,18 +35,54 @@ class Load:
     rows: int
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or []]
+LAYOUT = "_layout.json"
+
+
+def _place(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; none if there is no such directory."""
+    place, files = _place(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+
+
+def _literal(path: str) -> str:
+    """The path for Spark's readers, which would take brackets and stars as patterns."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
+def _parquet_files(spark: SparkSession, path: str) -> Iterator[str]:
+    """Parquet files below a directory, relative to it; what Spark takes as hidden is left out."""
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return
+    top, found = files.makeQualified(place).toUri(), files.listFiles(place, True)
+    while found.hasNext():
+        name = top.relativize(found.next().getPath().toUri()).getPath()
+        if name.endswith(".parquet") and not any(part.startswith(("_", ".")) for part in name.split("/")):
+            yield name
 
 
 def read_directory(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """All Parquet files of a directory as one table; no directory or no file gives no rows."""
-    if not _glob(spark, f"{path.rstrip('/')}/*.parquet"):
+    """All Parquet files of a directory and the directories in it as one table; without any there are no rows.
+
+    Directories that hold values in their names (``key=value``) are refused, since those values
+    are no part of the files.
+    """
+    empty = True
+    for name in _parquet_files(spark, path):
+        empty = False
+        keys = [part for part in name.split("/")[:-1] if "=" in part]
+        if keys:
+            raise ValueError(f"{path} is partitioned by directories such as {keys[0]}; read it through a warehouse")
+    if empty:
         return local_table(spark, [], contract.schema)
-    files = spark.read.schema(contract.schema).option("pathGlobFilter", "*.parquet").parquet(path)
-    return files.select(*[named(name) for name in contract.names])
+    reader = spark.read.schema(contract.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    return reader.parquet(_literal(path)).select(*[named(name) for name in contract.names])
 
 
 def count_by_table(spark: SparkSession, namespace: str, paths: Mapping[str, str], owner: str) -> DataFrame:
@@ -54,14 +93,17 @@ def count_by_table(spark: SparkSession, namespace: str, paths: Mapping[str, str]
     tables; with no column to decode, Parquet answers from its footers. The pattern is
     matched once per file, not per row.
     """
-    rows = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*paths.values())
+    rows = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*map(_literal, paths.values()))
     per_file = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
     # Paths come URL-encoded, but with a plus sign as itself.
     table_name = F.url_decode(F.replace(F.regexp_extract("file", owner, 1), F.lit("+"), F.lit("%2B"))).alias("table_name")
     counted = per_file.groupBy(table_name).agg(F.sum("n").alias("rows"))
     names = local_table(spark, [(namespace, table) for table in paths], "namespace string, table_name string")
-    return names.join(counted, "table_name", "left").select(
-        "namespace", "table_name", F.coalesce("rows", F.lit(0)).alias("row_count")
+    unknown = F.raise_error(F.concat(F.lit("files that belong to no table: "), F.col("table_name")))
+    return names.join(counted, "table_name", "full").select(
+        F.coalesce("namespace", unknown.cast("string")).alias("namespace"),
+        "table_name",
+        F.coalesce("rows", F.lit(0)).alias("row_count"),
     )
 
 
@@ -74,18 +116,40 @@ class Warehouse:
     def folder(self, table: str) -> str:
         return f"{self.root}/{self.namespace}/{table}/data"
 
-    def _load_ids(self, pattern: str) -> list[int]:
-        found = (re.search(r"load=(\d+)(/_SUCCESS)?$", path) for path in _glob(self.spark, pattern))
+    def _attempts(self, table: str) -> list[int]:
+        found = (re.fullmatch(r"load=(\d+)", name) for name in _children(self.spark, self.folder(table)))
         return sorted(int(match[1]) for match in found if match)
 
+    def _finished(self, table: str, load_id: int) -> bool:
+        place, files = _place(self.spark, f"{self.folder(table)}/load={load_id}/{LAYOUT}")
+        return files.exists(place)
+
     def loads(self, table: str) -> list[int]:
         """Ids of the finished loads of a table, oldest first."""
-        return self._load_ids(f"{self.folder(table)}/load=*/_SUCCESS")
+        return [load_id for load_id in self._attempts(table) if self._finished(table, load_id)]
 
     def tables(self) -> list[str]:
         """Tables that have at least one finished load."""
-        found = _glob(self.spark, f"{self.root}/{self.namespace}/*/data/load=*/_SUCCESS")
-        return sorted({path.split("/")[-4] for path in found})
+        return sorted(name for name in _children(self.spark, f"{self.root}/{self.namespace}") if self.loads(name))
+
+    def _keep_layout(self, path: str, contract: Contract, rows: int) -> None:
+        """Put the layout into place under its name in one step."""
+        draft, files = _place(self.spark, f"{path}/_draft-{LAYOUT}")
+        text = json.dumps({"rows": rows, "contract": contract.layout()}, indent=1)
+        out = files.create(draft, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not files.rename(draft, _place(self.spark, f"{path}/{LAYOUT}")[0]):
+            raise OSError(f"{path}: {LAYOUT} could not be put into place")
+
+    def layout(self, table: str, load_id: int) -> tuple[Contract, int]:
+        """The contract a load was written with, and its number of rows."""
+        place, files = _place(self.spark, f"{self.folder(table)}/load={load_id}/{LAYOUT}")
+        stream = files.open(place)
+        text = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        held = json.loads(text)
+        return Contract.from_layout(held["contract"]), held["rows"]
 
     def require_migrated(self) -> None:
         if not self.tables():
@@ -101,8 +165,7 @@ class Warehouse:
         where a frequent key would end up in one task. An unpartitioned table is never shuffled.
         Rows are counted in the stage that writes, where a retried task is counted once.
         """
-        attempted = self._load_ids(f"{self.folder(contract.name)}/load=*")
-        load_id = max(attempted, default=0) + 1
+        load_id = max(self._attempts(contract.name), default=0) + 1
         path = f"{self.folder(contract.name)}/load={load_id}"
         keys = [p.key for p in contract.partitions]
         rows = contract.to_stored(df)
@@ -114,24 +177,31 @@ class Warehouse:
         if keys:
             writer = writer.partitionBy(*keys)
         writer.parquet(path)
-        if load_id not in self.loads(contract.name):
-            raise OSError(f"{path}: the committer left no _SUCCESS file, so no reader would find this load")
+        self._keep_layout(path, contract, counted.get["rows"])
         return Load(contract.name, load_id, path, counted.get["rows"])
 
-    def _path(self, table: str, as_of: int | None) -> str | None:
-        usable = [n for n in self.loads(table) if as_of is None or n <= as_of]
-        return f"{self.folder(table)}/load={usable[-1]}" if usable else None
+    def _current(self, table: str, as_of: int | None) -> int | None:
+        usable = [n for n in self._attempts(table) if as_of is None or n <= as_of]
+        return next((n for n in reversed(usable) if self._finished(table, n)), None)
 
-    def _stored(self, contract: Contract, as_of: int | None) -> DataFrame:
-        path = self._path(contract.name, as_of)
-        if path is None:
-            return local_table(self.spark, [], contract.stored_schema)
-        reader = self.spark.read.schema(contract.stored_schema).option("basePath", path)
-        return reader.option("pathGlobFilter", "*.parquet").parquet(path)
+    def _stored(self, contract: Contract, as_of: int | None) -> tuple[DataFrame, Contract]:
+        """The rows of a load as they lie in its files, and the contract they were written with."""
+        load_id = self._current(contract.name, as_of)
+        if load_id is None:
+            return local_table(self.spark, [], contract.stored_schema), contract
+        path = f"{self.folder(contract.name)}/load={load_id}"
+        written, _ = self.layout(contract.name, load_id)
+        reader = self.spark.read.schema(written.stored_schema).option("basePath", path)
+        return reader.option("pathGlobFilter", "*.parquet").parquet(_literal(path)), written
 
     def read(self, contract: Contract, as_of: int | None = None) -> DataFrame:
-        """The newest finished load, or the newest with an id up to ``as_of``."""
-        return contract.from_stored(self._stored(contract, as_of))
+        """The newest finished load, or the newest with an id up to ``as_of``.
+
+        A load is read with the layout it was written with, then brought to the contract: columns
+        it lacks are NULL, others are converted, and a value that does not fit stops the job.
+        """
+        rows, written = self._stored(contract, as_of)
+        return as_contract(written.from_stored(rows), contract)
 
     def read_range(self, contract: Contract, column: str, start, end, as_of: int | None = None) -> DataFrame:
         """Rows with ``start <= column < end``, opening only the directories of those days.
@@ -140,20 +210,20 @@ class Warehouse:
         key are stated as well. Bounds go in as text, because a datetime literal would pass
         through the session's time zone.
         """
-        kind = contract.column(column).type
+        rows, written = self._stored(contract, as_of)
+        kind = written.column(column).type
         low, high = (F.lit(str(bound)).cast(kind) for bound in (start, end))
-        rows = self._stored(contract, as_of)
         if isinstance(kind, T.DateType):  # a day counts as its first instant; cut bounds only prune
             first, last = (F.lit(str(bound)).cast("timestamp_ntz") for bound in (start, end))
             moment = named(column).cast("timestamp_ntz")
             rows = rows.where((named(column) >= low) & (named(column) <= high) & (moment >= first) & (moment < last))
         else:
             rows = rows.where((named(column) >= low) & (named(column) < high))
-        level = next((p for p in contract.partitions if p.column == column and p.by_day), None)
+        level = next((p for p in written.partitions if p.column == column and p.by_day), None)
         if level is not None:
-            first, last = (contract.day_of(column, bound) for bound in (low, high))
+            first, last = (written.day_of(column, bound) for bound in (low, high))
             rows = rows.where((named(level.key) >= first) & (named(level.key) <= last))
-        return contract.from_stored(rows)
+        return as_contract(written.from_stored(rows), contract)
 
     def drop_loads(self, table: str, keep: int = 1) -> list[int]:
         """Delete all but the newest ``keep`` finished loads, and unfinished ones older than those.
@@ -164,10 +234,10 @@ class Warehouse:
             raise ValueError("at least the current load must be kept")
         finished = self.loads(table)
         oldest_kept = finished[-keep:][0] if finished else 0
-        dropped = [n for n in self._load_ids(f"{self.folder(table)}/load=*") if n < oldest_kept]
+        dropped = [n for n in self._attempts(table) if n < oldest_kept]
         for load_id in dropped:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder(table)}/load={load_id}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            place, files = _place(self.spark, f"{self.folder(table)}/load={load_id}")
+            files.delete(place, True)
         return dropped
 
     def publish(self, contracts: Iterable[Contract]) -> None:
@@ -177,7 +247,7 @@ class Warehouse:
 
     def inventory(self) -> DataFrame:
         """Namespace, table and row count of every table that has been loaded."""
-        paths = {table: self._path(table, None) for table in self.tables()}
+        paths = {table: f"{self.folder(table)}/load={self._current(table, None)}" for table in self.tables()}
         if not paths:
             return local_table(self.spark, [], "namespace string, table_name string, row_count bigint")
         return count_by_table(self.spark, self.namespace, paths, r"/([^/]+)/data/load=")

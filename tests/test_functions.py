@@ -135,3 +135,46 @@ def test_small_derivations(spark):
         derive.with_default(F.lit(None).cast("string"), F.lit("USD")).alias("currency"),
     ).first()
     assert tuple(row) == ("a1", dt.date(2000, 2, 29), dt.datetime(2023, 12, 31, 23, 59), 5, False, None, "USD")
+
+
+LOSSY = [
+    ("decimal(19,6)", "1.234560", "decimal(19,4)", True),
+    ("decimal(19,6)", "1.230000", "decimal(19,4)", False),
+    ("string", "1.23456", "decimal(19,4)", True),
+    ("string", "1.23450000", "decimal(19,4)", False),
+    ("double", "1.7", "int", True),
+    ("double", "5.1000000000000005", "decimal(5,1)", False),
+    ("timestamp_ntz", "2024-01-01 13:45:00", "date", True),
+    ("timestamp_ntz", "2024-01-01 00:00:00", "date", False),
+    ("int", "16777217", "real", True),
+    ("int", "16777216", "real", False),
+    ("bigint", "9007199254740993", "float", True),
+    ("int", "70000", "smallint", True),
+    ("int", "-32768", "smallint", False),
+    ("int", "300", "tinyint", True),
+    ("int", "-1", "tinyint", True),
+    ("int", "255", "tinyint", False),
+]
+
+
+@pytest.mark.parametrize(("source", "given", "declared", "lossy"), LOSSY)
+def test_values_that_a_type_cannot_hold_are_refused_and_counted(spark, source, given, declared, lossy):
+    rows = spark.range(2).select(F.when(F.col("id") == 0, F.lit(given).cast(source)).alias("x"))
+    wanted = Contract.declare("t", {"x": declared})
+    counted = convert.lossy_values(rows, wanted).collect()
+    assert sum(r["changed"] + r["out_of_range"] for r in counted) == lossy
+    kept = convert.conform(rows, wanted, tolerant=True).where("x IS NOT NULL").count()
+    assert kept == (not lossy)
+    if not lossy:
+        assert convert.conform(rows, wanted).count() == 2
+        return
+    with pytest.raises(Exception, match="x: value does not fit"):
+        convert.conform(rows, wanted).collect()
+
+
+def test_rounding_is_allowed_by_column(spark):
+    rows = spark.sql("SELECT 1.23456 AS a, 2.34567 AS b")
+    wanted = Contract.declare("t", {"a": "decimal(19,4)", "b": "decimal(19,4)"})
+    assert convert.conform(rows, wanted, rounding=["a", "b"]).first()["a"] == Decimal("1.2346")
+    with pytest.raises(Exception, match="b: value does not fit"):
+        convert.conform(rows, wanted, rounding=["a"]).collect()

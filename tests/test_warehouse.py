@@ -229,3 +229,63 @@ def test_without_adaptive_execution_no_key_is_gathered_in_one_task(spark, folder
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert load.rows == 100
     assert len(spark.read.parquet(load.path).inputFiles()) == 4
+
+
+@pytest.mark.parametrize("name", ["we [x]", "a{b,c}", "s*r", "q? é", "p%20+1"])
+def test_roots_and_tables_are_taken_as_they_are_named(spark, folder, name):
+    stored = Warehouse(spark, f"{folder}/{name}")
+    table = Contract.declare(name, {"id": "bigint", "kind": "nvarchar(20)"}, partition_by=["kind"])
+    stored.write(items(spark, (1, "a"), (2, ""), (3, None)), table)
+    assert stored.read(table).count() == 3
+    assert [tuple(r) for r in stored.inventory().collect()] == [("sales", name, 3)]
+
+
+def test_a_load_is_read_with_the_layout_it_was_written_with(spark, folder):
+    stored = Warehouse(spark, folder)
+    rows = items(spark, (1, "~x"), (2, ""), (3, "~"), (4, None))
+    plain = ITEMS.partitioned_by()
+    stored.write(rows, plain)
+    stored.write(rows, ITEMS)
+    for contract in (plain, ITEMS):
+        for load in (1, 2):
+            assert differing_rows(rows, stored.read(contract, as_of=load)).isEmpty()
+    written, count = stored.layout("items", 2)
+    assert (written, count) == (ITEMS, 4)
+
+
+def test_an_earlier_load_is_brought_to_a_newer_contract(spark, folder):
+    stored = Warehouse(spark, folder)
+    stored.write(spark.range(3).select(F.col("id").cast("int")), Contract.declare("grown", {"id": "int"}))
+    newer = Contract.declare("grown", {"note": "nvarchar(9)", "id": "bigint"})
+    back = stored.read(newer)
+    assert back.schema == newer.schema
+    assert sorted(tuple(r) for r in back.collect()) == [(None, 0), (None, 1), (None, 2)]
+
+
+def test_range_read_of_a_load_that_was_not_partitioned(spark, folder):
+    stored = Warehouse(spark, folder)
+    start = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    hours = spark.range(48).select("id", (start + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("at"))
+    stored.write(hours, EVENTS.partitioned_by())
+    stored.write(hours.limit(1), EVENTS)
+    assert stored.read_range(EVENTS, "at", "2024-01-01 12:00:00", "2024-01-02 12:00:00", as_of=1).count() == 24
+
+
+def test_a_load_without_the_committers_marker_counts(spark, folder):
+    stored = Warehouse(spark, folder)
+    setting = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark.conf.set(setting, "false")
+    try:
+        stored.write(items(spark, (1, "a")), ITEMS)
+    finally:
+        spark.conf.unset(setting)
+    assert stored.read(ITEMS).count() == 1
+
+
+def test_read_directory_of_nested_files(spark, folder):
+    whole = Contract.declare("t", {"id": "bigint"})
+    spark.range(3).write.parquet(f"{folder}/top/deep [1]")
+    assert read_directory(spark, f"{folder}/top", whole).count() == 3
+    spark.range(3).select("id", F.lit("a").alias("k")).write.partitionBy("k").parquet(f"{folder}/keyed")
+    with pytest.raises(ValueError, match="k=a"):
+        read_directory(spark, f"{folder}/keyed", whole)
