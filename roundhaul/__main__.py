@@ -33,7 +33,7 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
             continue
         one.add_argument("--tables", nargs="+", choices=names, default=names, help="tables to move (default: all)")
         one.add_argument("--user")
-        one.add_argument("--partitions", type=int, default=8, help="connections per table")
+        one.add_argument("--partitions", type=int, help="connections per table (default: by its rows)")
         end = one.add_mutually_exclusive_group(required=True) if command == "restore" else one
         end.add_argument("--url", required=command == "migrate", help="JDBC address of the database")
         if command == "restore":

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roundhaul.contracts import Contract
 from roundhaul.functions.convert import conform, export_form
+from roundhaul.operators.audit import audit_contracts
 from roundhaul.operators.validate import FAILED, PASSED, content_match, statistics_match
 from roundhaul.plans.targets import Target
 from roundhaul.session import local_table
@@ -114,6 +115,11 @@ def migrate(warehouse: Warehouse, sources: Sequence[Source], parallel: int = 4)
     return _each(sources, one, parallel)
 
 
+def audit(warehouse: Warehouse, contracts: Sequence[Contract], as_of: int | None = None) -> DataFrame:
+    """How many stored rows break each declared rule, over the newest loads or those up to ``as_of``."""
+    return audit_contracts({c.name: warehouse.read(c, as_of) for c in contracts}, contracts)
+
+
 def _validated(
     expected: DataFrame, read_target: Callable[[], DataFrame], statistics: Statistics | None
 ) -> tuple[str, int, str | None]:

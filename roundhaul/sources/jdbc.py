@@ -18,6 +18,8 @@ from roundhaul.contracts.sqltypes import STORED
 from roundhaul.functions.convert import conform, export_form
 
 FETCH_ROWS = 10_000
+#: Rows that one task reads over its connection, where nothing else is asked for.
+PARTITION_ROWS = 1_000_000
 # Rows per insert batch and the ending of restored table names.
 BATCH_ROWS = 1000
 SUFFIX = "_backload"
@@ -63,6 +65,23 @@ def contract_from_metadata(
     return Contract(name, tuple(columns), tuple(key)).partitioned_by(*partition_by)
 
 
+def contracts_from_catalog(listed: DataFrame, schema: str, tables: Iterable[str] | None = None) -> list[Contract]:
+    """A contract for each table of a schema (or each of the given ones), by name, from rows of
+    ``INFORMATION_SCHEMA.COLUMNS``; a given table that is not listed raises."""
+    of_schema = listed.where(F.col("TABLE_SCHEMA") == schema)
+    held = sorted(row[0] for row in of_schema.select("TABLE_NAME").distinct().collect())
+    wanted = held if tables is None else list(tables)
+    missing = [name for name in wanted if name not in held]
+    if missing:
+        raise LookupError(f"{schema} has no tables {missing}")
+    return [contract_from_metadata(name, metadata_rows(listed, schema, name)) for name in wanted]
+
+
+def partitions_for(rows: int, partition_rows: int = PARTITION_ROWS) -> int:
+    """How many tasks read a table of that many rows."""
+    return max(1, -(-rows // partition_rows))
+
+
 def range_splits(low: int, high: int, column: str, partitions: int) -> dict[str, object]:
     """Options for reading a numeric key range in parallel; the bounds only place the splits."""
     return {
@@ -90,7 +109,8 @@ def read_as_text(contract: Contract) -> dict[str, str]:
     """
     kept = [c for c in contract.columns if c.declared and c.type == StringType()]
     names = [c.name for c in kept if c.declared.name == "time" or c.declared.name not in STORED]
-    return {"customSchema": ", ".join(f"`{name}` STRING" for name in names)} if names else {}
+    escaped = [name.replace("`", "``") for name in names]
+    return {"customSchema": ", ".join(f"`{name}` STRING" for name in escaped)} if names else {}
 
 
 def read_table(
@@ -100,28 +120,31 @@ def read_table(
     contract: Contract,
     *,
     split_by: str | None = None,
-    partitions: int = 8,
+    partitions: int | None = None,
+    partition_rows: int = PARTITION_ROWS,
 ) -> DataFrame:
-    """A whole table, converted to its contract, read over ``partitions`` connections.
+    """A whole table, converted to its contract, read by ``partitions`` tasks with a connection each.
 
-    ``split_by`` must be a numeric column that is spread evenly, normally the identity key;
-    rows outside the bounds still belong to the first or last split. Without it the rows
-    are dealt out by a hash of the key, so that no task reads the whole table.
+    Left out, their number follows from the table's rows, ``partition_rows`` to a task; how many
+    run at once is up to the session's cores. ``split_by`` must be a numeric column that is
+    spread evenly, normally the identity key; rows outside the bounds still belong to the first
+    or last split. Without it, or where it is NULL throughout, the rows are dealt out by a hash
+    of the key, so that no task reads the whole table.
     """
     table = quoted(schema, contract.name)
     as_text = read_as_text(contract)
-    if split_by is None:
-        settings = {"fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true"} | as_text
-        properties = {k: v for k, v in connection.items() if k != "url"} | settings
-        conditions = hash_splits(contract.key or contract.names, partitions)
-        rows = spark.read.jdbc(connection["url"], table, predicates=conditions, properties=properties)
-        return conform(rows, contract)
-    wanted = f"SELECT MIN({quoted(split_by)}) AS low, MAX({quoted(split_by)}) AS high FROM {table}"
-    bounds = _read(spark, connection, query=wanted).first()
-    options: dict[str, object] = dict(as_text)
-    if bounds["low"] is not None:
-        options |= range_splits(int(bounds["low"]), int(bounds["high"]), split_by, partitions)
-    return conform(_read(spark, connection, dbtable=table, **options), contract)
+    ends = f", MIN({quoted(split_by)}) AS low, MAX({quoted(split_by)}) AS high" if split_by else ""
+    if split_by is not None or partitions is None:
+        found = _read(spark, connection, query=f"SELECT COUNT_BIG(*) AS n{ends} FROM {table}").first()
+        partitions = partitions or partitions_for(found["n"], partition_rows)
+        if split_by is not None and found["low"] is not None:
+            splits = range_splits(int(found["low"]), int(found["high"]), split_by, partitions)
+            return conform(_read(spark, connection, dbtable=table, **as_text, **splits), contract)
+    settings = {"fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true"} | as_text
+    properties = {k: v for k, v in connection.items() if k != "url"} | settings
+    conditions = hash_splits(contract.key or contract.names, partitions)
+    rows = spark.read.jdbc(connection["url"], table, predicates=conditions, properties=properties)
+    return conform(rows, contract)
 
 
 def create_table_sql(schema: str, table: str, contract: Contract, wide_text: bool = True) -> str:
@@ -153,9 +176,13 @@ def export_table(
 
     Spark commits each partition by itself, so a run that dies half-way, or a task that is
     retried after its commit, can leave too few or too many rows. Every run therefore
-    starts from an empty target, and the caller compares contents afterwards.
+    starts from an empty target, and the caller compares contents afterwards. ``partitions``
+    bounds the connections by merging the partitions of the scan too; left out, every task of
+    the scan has its own.
     """
     table = contract.name + suffix
+    if not create and column_metadata(df.sparkSession, connection, schema, table).isEmpty():
+        raise LookupError(f"{schema}.{table} does not exist and may not be created")
     if create:
         run_statement(df.sparkSession, connection, create_table_sql(schema, table, contract))
     options: dict[str, object] = {"dbtable": quoted(schema, table), "batchsize": BATCH_ROWS, "truncate": True}

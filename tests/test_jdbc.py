@@ -82,3 +82,23 @@ def no_customers(spark):
 def test_every_call_gets_as_far_as_looking_for_the_driver(spark, use):
     with pytest.raises(Exception, match="No suitable driver"):
         use(spark)
+
+
+def test_partitions_follow_the_rows():
+    assert [jdbc.partitions_for(n) for n in (0, 1, 1_000_000, 1_000_001, 10**12)] == [1, 1, 1, 2, 10**6]
+    assert jdbc.partitions_for(10**9, partition_rows=10**8) == 10
+
+
+def test_contracts_of_a_whole_catalog(spark):
+    listed = spark.createDataFrame(
+        [("s", "b", "id", "bigint", 1), ("s", "a", "x`y", "geography", 2), ("s", "a", "n", "tinyint", 1), ("other", "c", "z", "int", 1)],
+        "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, ORDINAL_POSITION int",
+    ).selectExpr(
+        "*", "int(null) NUMERIC_PRECISION", "int(null) NUMERIC_SCALE", "int(null) DATETIME_PRECISION", "'NO' IS_NULLABLE"
+    )
+    found = jdbc.contracts_from_catalog(listed, "s")
+    assert [(c.name, c.names) for c in found] == [("a", ["n", "x`y"]), ("b", ["id"])]
+    assert jdbc.read_as_text(found[0]) == {"customSchema": "`x``y` STRING"}
+    assert [c.name for c in jdbc.contracts_from_catalog(listed, "s", ["b"])] == ["b"]
+    with pytest.raises(LookupError, match="missing"):
+        jdbc.contracts_from_catalog(listed, "s", ["missing"])

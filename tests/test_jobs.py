@@ -229,3 +229,11 @@ def test_a_range_of_days_keeps_its_times(spark, folder):
     stored.write(spark.sql("SELECT explode(sequence(date'2024-01-08', date'2024-01-15')) AS d"), days)
     found = stored.read_range(days, "d", "2024-01-10 06:00:00", "2024-01-13 18:00:00")
     assert sorted(r["d"].day for r in found.collect()) == [11, 12, 13]
+
+
+def test_audit_of_all_declared_rules(stored):
+    found = {(r["table_name"], r["rule"], r["columns"]): r["violations"] for r in jobs.audit(stored, sales.SALES).collect()}
+    assert set(found.values()) == {0}
+    assert ("transactions", "foreign key", "product_id") in found
+    assert ("order_details", "unique", "transaction_id, line_item_number") in found
+    assert ("customers", "not null", "email") in found

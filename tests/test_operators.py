@@ -201,3 +201,11 @@ def test_evolve_append(spark):
     assert {tuple(r) for r in out.collect()} == {(1, 1.5, "x", None), (2**40, 2.5, None, True)}
     with pytest.raises(evolve.UnsafeChange, match="id: bigint to int"):
         evolve.evolve_append(new.select("id"), old.select("id"))
+
+
+def test_float_tolerance_takes_floats_on_both_sides_and_whole_keys(spark):
+    one = spark.createDataFrame([(1, 1.0, 2.0), (None, 9.0, 0.0)], "k int, x double, y double")
+    two = spark.createDataFrame([(1, 1.0, "2.0"), (None, 5.0, "a")], "k int, x double, y string")
+    assert [tuple(r) for r in validate.float_tolerance(one, two, ["k"]).collect()] == [("x", 0.0, True)]
+    with pytest.raises(ValueError, match="'y'"):
+        validate.float_tolerance(one, two, ["k"], columns=["y"])
