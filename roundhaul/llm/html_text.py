@@ -5,9 +5,9 @@ part of a page's frame (menus, headers, footers, side bars, notices, adverts, fo
 or open. The token streams of a host's pages are put one after another and their suffixes
 sorted by the first `run_words` tokens; a run of that many tokens that stands on two distinct
 pages covers its tokens as boilerplate, longer repeats are covered by the runs in them. Covered
-tokens are cut out of open blocks and the unique runs stay. What a page itself marks settles
-the rest: its article is kept even where other pages repeat it, its frame is dropped even where
-it is unique.
+tokens are cut out of open blocks and the unique runs stay, also beside an article. What a page
+itself marks settles the rest: its article (or else its main part) is kept even where other pages
+repeat it, its frame is dropped even where it is unique.
 
 Hosts with more than `bucket_pages` pages are dealt into buckets of about that many, so that no
 host's pages meet in one task; a run counts as repeated if two pages of a bucket have it.
@@ -147,12 +147,10 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
 
 
 def main_parts(blocks: list[tuple[int, str]]) -> list[tuple[int, str]]:
-    """The blocks with the page's best mark kept as ARTICLE, open ones as OPEN, the rest as FRAME."""
+    """The blocks with the page's best mark kept as ARTICLE, its frame as FRAME, all others as OPEN."""
     kinds = {part for part, _ in blocks}
-    best = ARTICLE if ARTICLE in kinds else MAIN if MAIN in kinds else None
-    if best is None:
-        return blocks
-    return [(ARTICLE if part == best else FRAME, text) for part, text in blocks]
+    best = ARTICLE if ARTICLE in kinds else MAIN
+    return [(ARTICLE if part == best else FRAME if part == FRAME else OPEN, text) for part, text in blocks]
 
 
 def repeated_tokens(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarray:

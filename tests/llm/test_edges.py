@@ -131,6 +131,31 @@ def test_html(spark):
     assert rows_of(html_text.extract(frame.where("false"))) == []
 
 
+def page_texts(spark, pages, **settings):
+    """The main text by page_id of (page_id, host, html)."""
+    given = [(i, f"http://{host}/{i}", page) for i, host, page in pages]
+    frame = spark.createDataFrame(given, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in rows_of(html_text.extract(frame, **settings))}
+
+
+def words_of(label, n=20):
+    return " ".join(f"{label}{i}" for i in range(n))
+
+
+def test_host_repeats_decide_open_blocks(spark):
+    told = words_of("told")
+    pages = [
+        (i, "h", f"<div>{told}</div><div>{words_of(f'body{i}x')}</div><article>card {i}</article><nav>{words_of(f'nav{i}')}</nav>")
+        for i in range(3)
+    ]
+    pages += [(i, "h", f"<div>{told}</div><p>{words_of(f'plain{i}x')} {told}") for i in range(3, 6)]
+    pages += [(6, "h", f"<main>{told}</main><div>{told}</div><div>{words_of('after')}</div>")]
+    found = page_texts(spark, pages)
+    assert [found[i] for i in range(3)] == [f"{words_of(f'body{i}x')}\ncard {i}" for i in range(3)]
+    assert [found[i] for i in range(3, 6)] == [words_of(f"plain{i}x") for i in range(3, 6)]
+    assert found[6] == f"{told}\n{words_of('after')}"
+
+
 def test_merkle(spark):
     found = rows_of(merkle.fingerprints(documents(spark, ODD)))
     order = sorted((r for r in ODD if r[0] is not None), key=lambda r: (-r[0], r[1] or ""))
