@@ -2,9 +2,9 @@
 
 Pattern spans: `assign` (a key word, a separator, a value), `access` (AKIA and more) and `hex`.
 The method adds `token` spans: runs of key characters that take a token for every few characters
-under a public vocabulary, where words and numbers take far fewer. Known forms that look
-random but aren't secret (digests by their length, UUIDs, plain numbers, words joined by
-separators or capitals) are left out, and so are runs that a pattern span already touches.
+under a public vocabulary, where words take far fewer. Known forms that look random but aren't
+secret (digests by their length, UUIDs, plain numbers, also joined by separators) are left out,
+and so are runs that a pattern span already touches. All others are counted, whatever their case.
 
 Starts and ends count code points. NULL and empty texts have no spans. Whole texts are scanned.
 """
@@ -38,9 +38,8 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_LENGTHS = frozenset({32, 40, 56, 64, 96, 128})
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-#: Words (one case, or capitalised) and numbers, joined by separators.
-NAME = re.compile(r"(?:[A-Z]?[a-z]{3,}|[A-Z]{3,}|[0-9]+)(?:[+/_=-]+(?:[A-Z]?[a-z]{3,}|[A-Z]{3,}|[0-9]+|$))*[+/_=-]*")
-CAMEL = re.compile(r"[a-z]*(?:[A-Z][a-z]{2,}|[A-Z]{2,}(?![a-z]))*[0-9]{0,4}")
+#: Numbers, joined by separators.
+NUMBERS = re.compile(r"[0-9]+(?:[+/_=-]+[0-9]+)*[+/_=-]*")
 
 #: A run is random if it has fewer characters for each token than this.
 CHARS_PER_TOKEN = 2.0
@@ -50,10 +49,10 @@ ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
 
 
 def known_form(run: str) -> bool:
-    """Whether a run is a digest, an identifier, a number or words."""
+    """Whether a run is a digest, an identifier or numbers."""
     if len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run):
         return True
-    return bool(UUID.fullmatch(run) or NAME.fullmatch(run) or CAMEL.fullmatch(run))
+    return bool(UUID.fullmatch(run) or NUMBERS.fullmatch(run))
 
 
 def pattern_spans(text: str) -> list[tuple[int, int, int]]:

@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,44 @@ def test_secrets(spark):
     assert rows_of(secrets.scan(documents(spark, []), path)) == []
 
 
+def test_random_runs_of_one_case(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    runs = ["qzxjkvbpwmfhgtrlqzxjkvbp", "XKQZJWVPLMTRBNHGDSFA", "qzxjkvbp-wmfhgtrl-xjkvbpwm", "xkqz-jwvp-lmtr-bnhg"]
+    plain = [
+        *("internationalization", "MAX_BUFFER_LENGTH", "getHttpResponseCode", "2024-01-10-12-30-00", "9" * 20),
+        "123e4567-e89b-12d3-a456-426614174000",
+        hashlib.sha256(b"").hexdigest().upper(),
+    ]
+    found = rows_of(secrets.scan(documents(spark, list(enumerate(f"a {run} b" for run in runs + plain))), path))
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in found}
+    assert [spans[i] for i in range(len(runs))] == [[("token", 2, 2 + len(run))] for run in runs]
+    assert not any(spans[i] for i in range(len(runs), len(runs + plain)))
+
+
+def test_every_run_is_counted(sf_dir):
+    """Token spans against every run of key characters, by plain string work."""
+    vocabulary = pieces.bpe.byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = [t or "" for t in pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"])["text"].to_pylist()]
+    rng = np.random.default_rng(7)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklm-nopqrstuvwxyz"]
+    texts += ["; ".join("".join(rng.choice(list(a), n)) for n in range(12, 60)) for a in letters]
+    keys, total = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 0
+    for text in texts:
+        known, wanted = secrets.pattern_spans(text), []
+        edges = [-1, *(i for i, c in enumerate(text) if c not in keys), len(text)]
+        for start, end in ((a + 1, b) for a, b in zip(edges, edges[1:], strict=False) if b - a > 16):
+            run = text[start:end]
+            digest = len(run) in (32, 40, 56, 64, 96, 128) and (set(run) <= set("0123456789abcdef") or set(run) <= set("0123456789ABCDEF"))
+            uuid = [len(p) for p in run.split("-")] == [8, 4, 4, 4, 12] and set(run.lower()) <= set("0123456789abcdef-")
+            if digest or uuid or not any(c.isalpha() for c in run) and run[0].isdigit():
+                continue
+            if len(run) < 2 * len(vocabulary.library.encode_ordinary(run)) and not any(a < end and start < b for a, _, b in known):
+                wanted.append((start, 3, end))
+        assert [s for s in secrets.spans_of(text, vocabulary) if s[1] == 3] == wanted
+        total += len(wanted)
+    assert total > 100
+
+
 def test_quality(spark):
     labels = spark.createDataFrame([(i, i % 2, None) for i in range(40)] + [(1, None, 1)], "doc_id long, quality int, text string")
     docs = documents(spark, [(i, "good plain words here " * 9 if i % 2 else "### !! $$$ " * 30) for i in range(40)] + ODD)
