@@ -2,7 +2,8 @@
 
 A page is read into blocks of text, each marked by the elements around it: part of an article,
 part of a page's frame (menus, headers, footers, side bars, notices, adverts, forms, comments),
-or open. The token streams of a host's pages are put one after another and their suffixes
+or open. Inside an article only elements, roles and whole class names of containers make a frame, as
+ids and parts of names there come from headings. The token streams of a host's pages are put one after another and their suffixes
 sorted by the first `run_words` tokens; a run of that many tokens that stands on two distinct
 pages covers its tokens as boilerplate, longer repeats are covered by the runs in them. Covered
 tokens are cut out of open blocks and the unique runs stay, also beside an article. What a page
@@ -67,6 +68,8 @@ FRAME_WORDS = frozenset(
     "masthead topbar header comment comments disqus replies share sharing social related recommended newsletter subscribe "
     "subscription signup login search pagination pager toolbar form".split()
 )
+#: Elements that can't hold a block: where they aren't closed, the next block ends them.
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 dt summary caption legend".split())
 ARTICLE_WORDS = frozenset("article post story entry".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -79,11 +82,20 @@ def _mark(name: str, attrs: str, inside: int) -> int:
         return FRAME
     found = {m[0].lower(): m[1].strip("\"'").lower() for m in ATTRIBUTE.findall(attrs)} if attrs.strip() else {}
     words = {part for key in ("class", "id") for part in NAME_PARTS.findall(found.get(key, ""))}
+    names = set(found.get("class", "").split())
+    if name in LINES:
+        framing = set() if inside == ARTICLE else names
+    elif inside == ARTICLE:
+        framing = names
+    else:
+        framing = words
     if name in FRAME_ELEMENTS and not (name == "header" and inside == ARTICLE):
         return FRAME
     if "hidden" in found or found.get("role") in FRAME_ROLES:
         return FRAME
-    if words & FRAME_WORDS and name not in ("html", "body", "article", "main") or {"comment", "comments"} & words:
+    if framing & FRAME_WORDS and name not in ("html", "body", "article", "main"):
+        return FRAME
+    if name in ("article", "main") and any(n == "comments" or NAME_PARTS.findall(n)[:1] == ["comment"] for n in names):
         return FRAME
     if inside == ARTICLE or name == "article" or found.get("role") == "article":
         return ARTICLE
@@ -117,6 +129,8 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             held.append(" " if name == "br" else "")
         if name in BLOCK:
             flush()
+            if not match["close"] and stack and stack[-1][0] in LINES:
+                part = stack.pop()[1]
         if name in HELD and name not in VOID:
             if not match["close"]:
                 inner = _mark(name, match["attrs"], part)
@@ -135,7 +149,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                     flush()
                     part = flush_part
         elif name and not match["close"] and name not in VOID and name in BLOCK and match["attrs"].strip():
-            # A paragraph or heading that names itself part of the frame: it lasts to its end tag.
+            # A paragraph or heading that names itself part of the frame: it lasts to its end tag or the next block.
             if _mark(name, match["attrs"], part) == FRAME and part != FRAME:
                 stack.append((name, part))
                 part = FRAME

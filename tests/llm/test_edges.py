@@ -195,6 +195,23 @@ def test_host_repeats_decide_open_blocks(spark):
     assert found[6] == f"{told}\n{words_of('after')}"
 
 
+def test_slugs_in_an_article_are_text():
+    def kept(page):
+        return [text for part, text in html_text.main_parts(html_text.blocks_of(page)) if part != html_text.FRAME]
+
+    inner = [
+        '<h2 id="side-effects">a</h2><p id="menu">b',
+        '<section id="search-engines"><p>c</section><div class="entry-header"><h3 class="widget-title">d</h3></div>',
+        '<span class="form-label">e</span><p class="notice">f<p>g<div>h</div>',
+    ]
+    assert kept(f"<article>{''.join(inner)}</article>") == list("abcdefgh")
+    cut = '<div class="ad">x</div><div class="post-end related">x</div><nav>x</nav><div hidden>x</div><p hidden>x<p>b'
+    assert kept(f"<article><p>a</p>{cut}</article>") == list("ab")
+    assert kept('<body class="no-comments"><article class="post no-comments">a</article>') == ["a"]
+    assert kept('<article>a</article><article class="comment-body">x</article>') == ["a"]
+    assert kept('<div><h2 id="side-effects">a</h2><p class="notice">x<p>b<h4 class="ad">x<div>c</div></div>') == list("abc")
+
+
 def test_merkle(spark):
     found = rows_of(merkle.fingerprints(documents(spark, ODD)))
     order = sorted((r for r in ODD if r[0] is not None), key=lambda r: (-r[0], r[1] or ""))
