@@ -11,7 +11,9 @@ itself marks settles the rest: its article (or else its main part) is kept even
 repeat it, its frame is dropped even where it is unique.
 
 Hosts with more than `bucket_pages` pages are dealt into buckets of about that many, so that no
-host's pages meet in one task; a run counts as repeated if two pages of a bucket have it.
+host's pages meet in one task. Runs of such a host that touch an open block are counted over all
+its pages and the repeated ones are sent back to the buckets that hold them, so what counts as
+repeated doesn't depend on the host's size. Where no large host has open blocks, nothing is counted.
 
 NULL and empty pages have the empty text. A page without a host is grouped with others without
 one. Unclosed elements, comments and scripts end with the page. Repeated rows of a page_id are
@@ -20,16 +22,18 @@ one page: what they share is no repeat. Whole pages are read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundhaul.llm.common import reachable
+from roundhaul.llm.common import mix64, reachable
 from roundhaul.llm.hashing import range_hashes
 
 RUN_WORDS = 8
@@ -192,30 +196,64 @@ def repeated_tokens(tokens: np.ndarray, page: np.ndarray, length: int) -> np.nda
     last = np.append(edge[1:], len(order)) - 1
     several = pages[edge] != pages[last] if len(order) else np.zeros(0, bool)
     hits = order[np.repeat(several, last - edge + 1)]
-    change = np.zeros(len(tokens) + 1, np.int64)
-    np.add.at(change, hits, 1)
-    np.add.at(change, hits + length, -1)
+    return spread(hits, length, len(tokens))
+
+
+def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of texts, one after another, and how many each text has."""
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    space = np.flatnonzero(data == 32)
+    starts, ends = np.append(0, space + 1), np.append(space, len(data))
+    return range_hashes(data, starts, ends), np.array([text.count(" ") + 1 for text in texts], np.int64)
+
+
+def run_hashes(tokens: np.ndarray, page: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of `length` tokens within a page start, and a hash of each."""
+    if len(tokens) < length:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    starts = np.flatnonzero(page[length - 1 :] == page[: len(tokens) - length + 1])
+    sums = np.zeros(len(starts), np.uint64)
+    for i, factor in enumerate(mix64(np.arange(1, length + 1, dtype=np.uint64)) | np.uint64(1)):
+        sums += tokens[starts + i] * factor
+    return starts, mix64(sums)
+
+
+def spread(starts: np.ndarray, length: int, count: int) -> np.ndarray:
+    """Which of `count` tokens lie in the runs of `length` tokens at `starts`."""
+    change = np.zeros(count + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + length, -1)
     return np.cumsum(change[:-1]) > 0
 
 
-def main_texts(pages: list[list[tuple[int, str]]], identity: list, run_words: int) -> list[str]:
-    """The main text of each page of one host; pages of one identity are one page."""
+def of_host(runs: np.ndarray, host: str) -> np.ndarray:
+    """The hashes of runs on a host."""
+    return mix64(runs ^ np.frombuffer(hashlib.blake2b(host.encode(), digest_size=8).digest(), np.uint64))
+
+
+def main_texts(
+    pages: list[list[tuple[int, str]]], identity: list, run_words: int, host: str = "", repeated: np.ndarray | None = None
+) -> list[str]:
+    """The main text of each page of one host; pages of one identity are one page.
+
+    `repeated` has the hashes of runs that are known to repeat on the host.
+    """
     texts = [text for blocks in pages for _, text in blocks]
     parts = np.array([part for blocks in pages for part, _ in blocks], np.int64)
     number = {key: i for i, key in enumerate(dict.fromkeys(identity))}
     order = sorted(range(len(pages)), key=lambda i: number[identity[i]])
     if order != list(range(len(pages))):
-        found = main_texts([pages[i] for i in order], [identity[i] for i in order], run_words)
+        found = main_texts([pages[i] for i in order], [identity[i] for i in order], run_words, host, repeated)
         return [text for _, text in sorted(zip(order, found, strict=True))]
     owner = np.repeat([number[key] for key in identity], [len(blocks) for blocks in pages])
-    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
-    space = np.flatnonzero(data == 32)
-    starts, ends = np.append(0, space + 1), np.append(space, len(data))
-    counts = np.array([text.count(" ") + 1 for text in texts], np.int64)
     if not texts:
         return [""] * len(pages)
+    tokens, counts = token_hashes(texts)
     block = np.repeat(np.arange(len(texts)), counts)
-    covered = repeated_tokens(range_hashes(data, starts, ends), owner[block], run_words)
+    covered = repeated_tokens(tokens, owner[block], run_words)
+    if repeated is not None and len(repeated):
+        begins, runs = run_hashes(tokens, np.repeat(np.arange(len(pages)), list(map(len, pages)))[block], run_words)
+        covered |= spread(begins[np.isin(of_host(runs, host), repeated)], run_words, len(tokens))
     dirty = np.bincount(block, covered, len(texts)) > 0
     first = np.append(0, np.cumsum(counts))
     out, at = [], 0
@@ -233,23 +271,80 @@ def main_texts(pages: list[list[tuple[int, str]]], identity: list, run_words: in
     return out
 
 
+def parsed(pages: pa.Array) -> list[list[tuple[int, str]]]:
+    return [main_parts(blocks_of(page or "")) for page in pages.to_pylist()]
+
+
+def hosts_asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hosts with open blocks, of (host, html)."""
+    for batch in batches:
+        found = set()
+        for start in range(0, batch.num_rows, 200):
+            part = batch.slice(start, 200)
+            for host, blocks in zip(part.column(0).to_pylist(), parsed(part.column(1)), strict=True):
+                if any(kind == OPEN for kind, _ in blocks):
+                    found.add(host)
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["host"])
+
+
+def page_runs(length: int, touching_open: bool):
+    """A function from (host, html, owner) to (run, owner) for all runs, or for those that touch an open block."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 50):
+                part = batch.slice(start, 50)
+                runs, owners = [], []
+                rows = zip(part.column(0).to_pylist(), parsed(part.column(1)), part.column(2).to_pylist(), strict=True)
+                for host, blocks, owner in rows:
+                    if not blocks or touching_open and all(kind != OPEN for kind, _ in blocks):
+                        continue
+                    tokens, counts = token_hashes([text for _, text in blocks])
+                    begins, hashes = run_hashes(tokens, np.zeros(len(tokens), np.int8), length)
+                    if touching_open:
+                        open_tokens = np.repeat([kind == OPEN for kind, _ in blocks], counts)
+                        seen = np.append(0, np.cumsum(open_tokens))
+                        hashes = hashes[seen[begins + length] > seen[begins]]
+                    runs.append(np.unique(of_host(hashes, host)))
+                    owners.append(np.full(len(runs[-1]), owner, np.int64))
+                if runs:
+                    columns = [np.concatenate(runs).view(np.int64), np.concatenate(owners)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "owner"])
+
+    return listed
+
+
+def repeats(asked: DataFrame, run_words: int) -> DataFrame:
+    """place and run for each run of (page_id, html, host, place) that touches an open block and stands on two pages of its host."""
+    runs = asked.select("host", "html", F.xxhash64("page_id").alias("owner"))
+    runs = runs.mapInArrow(page_runs(run_words, False), "run long, owner long")
+    runs = runs.groupBy("run").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
+    asks = asked.select("host", "html", "place").mapInArrow(page_runs(run_words, True), "run long, place long").distinct()
+    return asks.join(runs.where("least <> most").select("run"), "run").select("place", "run")
+
+
 def extract(pages: DataFrame, run_words: int = RUN_WORDS, bucket_pages: int = BUCKET_PAGES) -> DataFrame:
     """page_id, url, text and n_chars for each row of (page_id, url, html)."""
     reachable(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     given = pages.select("page_id", "url", "html", host.alias("host"))
     large = given.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > bucket_pages)
-    if large.limit(SENT_HOSTS + 1).count() <= SENT_HOSTS:
+    n_large = large.limit(SENT_HOSTS + 1).count()
+    if n_large <= SENT_HOSTS:
         large = F.broadcast(large)
-    spread = F.pmod(F.xxhash64("page_id"), F.coalesce(F.ceil(F.col("n") / bucket_pages), F.lit(1)))
-    dealt = given.join(large, "host", "left").select("page_id", "url", "html", "host", spread.alias("bucket"))
+    bucket = F.pmod(F.xxhash64("page_id"), F.coalesce(F.ceil(F.col("n") / bucket_pages), F.lit(1)))
+    dealt = given.join(large, "host", "left").select("page_id", "url", "html", "host", bucket.alias("bucket"), "n")
+    asking = []
+    if n_large:
+        asking = given.join(large, "host").select("host", "html").mapInArrow(hosts_asking, "host string")
+        asking = asking.distinct().limit(SENT_HOSTS + 1).collect()
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
-                rows = [main_parts(blocks_of(page or "")) for page in part.column(2).to_pylist()]
+                rows = parsed(part.column(2))
                 columns = [part.column(name) for name in ("page_id", "url", "host", "bucket")]
                 parts = pa.array([[p for p, _ in row] for row in rows], pa.list_(pa.int8()))
                 texts = pa.array([[t for _, t in row] for row in rows], pa.list_(pa.string()))
@@ -258,13 +353,31 @@ def extract(pages: DataFrame, run_words: int = RUN_WORDS, bucket_pages: int = BU
                 )
 
     schema = f"page_id {kind}, url string, host string, bucket long, parts array<tinyint>, texts array<string>"
-    blocks = dealt.mapInArrow(read, schema)
+    blocks = dealt.drop("n").mapInArrow(read, schema)
 
-    def joined(table: pa.Table) -> pa.Table:
+    def joined(table: pa.Table, repeated: np.ndarray | None = None) -> pa.Table:
         rows = zip(table.column("parts").to_pylist(), table.column("texts").to_pylist(), strict=True)
         held = [list(zip(parts, texts, strict=True)) for parts, texts in rows]
-        texts = main_texts(held, table.column("page_id").to_pylist(), run_words)
+        texts = main_texts(held, table.column("page_id").to_pylist(), run_words, table.column("host")[0].as_py(), repeated)
         sizes = pa.array([len(text) for text in texts], pa.int64())
         return pa.table([table.column("page_id"), table.column("url"), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
-    return blocks.groupBy("host", "bucket").applyInArrow(joined, f"page_id {kind}, url string, text string, n_chars long")
+    out = f"page_id {kind}, url string, text string, n_chars long"
+    if not asking:
+        return blocks.groupBy("host", "bucket").applyInArrow(lambda table: joined(table), out)
+
+    def answered(table: pa.Table, answers: pa.Table) -> pa.Table:
+        repeated = answers.column("run").to_numpy().view(np.uint64)
+        keys = ["host", "bucket"]
+        groups = table.select(keys).group_by(keys).aggregate([]).to_pylist()  # one, unless two have the same place
+        alone = [table.filter((pc.field("host") == g["host"]) & (pc.field("bucket") == g["bucket"])) for g in groups]
+        return pa.concat_tables([joined(part, repeated) for part in alone])
+
+    place = F.xxhash64("host", "bucket")
+    if len(asking) > SENT_HOSTS:
+        asked = dealt.where(F.col("n") > bucket_pages)
+    else:
+        asked = dealt.join(F.broadcast(pages.sparkSession.createDataFrame(asking, "host string")), "host")
+    answers = repeats(asked.withColumn("place", place), run_words)
+    placed = blocks.withColumn("place", place)
+    return placed.groupBy("place").cogroup(answers.groupBy("place")).applyInArrow(answered, out)

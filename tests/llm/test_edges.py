@@ -195,6 +195,21 @@ def test_host_repeats_decide_open_blocks(spark):
     assert found[6] == f"{told}\n{words_of('after')}"
 
 
+def test_repeats_do_not_depend_on_the_size_of_a_host(spark):
+    rng = np.random.default_rng(5)
+    shared = [words_of(f"shared{k}x", 15) for k in range(40)]  # each on two pages, or on a few
+    pages = []
+    for i in range(300):
+        body = words_of(f"own{i}x")
+        held = [shared[k] for k in range(40) if i in (2 * k, 2 * k + 101) or k > 30 and rng.random() < 0.02]
+        told = f"<div>{' '.join(held)}</div>" if i % 3 else f"<nav>{' '.join(held)}</nav>"
+        pages.append((i, "big" if i < 290 else "small", f"<div>{body}</div>{told}<p>{body} {words_of(f'end{i}x', 5)}</p>"))
+    pages += [pages[7]]  # a repeated row is no second page
+    whole = page_texts(spark, pages, bucket_pages=1000)
+    assert page_texts(spark, pages, bucket_pages=10) == whole
+    assert whole[7].startswith(f"{words_of('own7x')}\n") and not any("shared" in whole[i] for i in range(60))
+
+
 def test_slugs_in_an_article_are_text():
     def kept(page):
         return [text for part, text in html_text.main_parts(html_text.blocks_of(page)) if part != html_text.FRAME]
