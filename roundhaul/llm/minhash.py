@@ -37,7 +37,7 @@ from roundhaul.llm.hashing import range_hashes
 WORDS = 5
 PERCENT = 80
 #: Half keys in each collection, and minhashes in each half key: a pair at 80 % shares a key with 99.8 %.
-HALVES, BAND = 10, 3
+HALVES, BAND = 15, 3
 SEED = 71_993
 #: Rows and shingles of a block, on average; two blocks are compared in a task at a time.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 500_000

@@ -158,6 +158,19 @@ def test_quality(spark):
     assert quality.accepted(docs.where("false"), labels).count() == 0
 
 
+def test_pairs_at_the_threshold_share_a_table():
+    """Of pairs with 72 of 90 shingles in common, about 4 in 100,000 have no key in common."""
+    rng = np.random.default_rng(11)
+    missed = 0
+    for _ in range(10):
+        pairs = rng.integers(0, 1 << 63, (3000, 90), dtype=np.uint64)
+        both = [pairs[:, :81], pairs[:, 9:]]  # 72 in both, 90 in all
+        keys = [minhash.half_keys(side.ravel(), np.arange(3001) * 81, minhash.HALVES, minhash.BAND) for side in both]
+        same = (keys[0] == keys[1]).reshape(3000, 2, minhash.HALVES)
+        missed += int((~same.any(axis=2).all(axis=1)).sum())
+    assert missed <= 5  # of 30,000
+
+
 def test_html(spark):
     page = "<nav>m</nav><article><h1>T</h1><p>a &amp; b<br>c<p>d</article><aside>x</aside><script>1<2</script>"
     given = [(1, "http://h/1", page), (1, "http://h/1", page), (2, None, None), (None, "u", ""), (3, "http://h/3", "<p>" + LONG)]
