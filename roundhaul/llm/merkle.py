@@ -20,6 +20,7 @@ within groups, the last of a group is followed by the largest id.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,23 +105,40 @@ def likeness(a: tuple[str, np.ndarray], b: tuple[str, np.ndarray]) -> float:
 
 
 def differing(a: str, b: str) -> tuple[list[int], list[int]]:
-    """The numbers of the paragraphs of either fingerprint whose branch the other one lacks."""
+    """The numbers of the paragraphs of either fingerprint that the other one lacks, or has fewer times.
+
+    Walked from the roots: below equal roots and equal sections nothing is compared. The order of
+    paragraphs doesn't count.
+    """
     if a[:32] == b[:32]:
         return [], []
 
-    def branches(fingerprint: str) -> list[tuple[str, list[str]]]:
-        tree = fingerprint.split("#", 1)[1]
-        parts = [section.split(":", 1) for section in tree.split("/")] if tree else []
-        return [(node, [p.split(".", 1)[0] for p in below.split(",")]) for node, below in parts]
-
-    def lacking(own: list, other: list) -> list[int]:
-        sections = {node for node, _ in other}
-        paragraphs = {p for _, below in other for p in below}
-        flags = [node not in sections and p not in paragraphs for node, below in own for p in below]
-        return [i for i, flag in enumerate(flags) if flag]
+    def branches(fingerprint: str) -> list[tuple[str, int, str]]:
+        """Each section's hash, the number of its first paragraph, and what is below it."""
+        tree, first, out = fingerprint.split("#", 1)[1], 0, []
+        for section in tree.split("/") if tree else []:
+            node, below = section.split(":", 1)
+            out.append((node, first, below))
+            first += below.count(",") + 1
+        return out
+
+    def left(own: list, other: list) -> list:
+        """The items of one side without those that the other side has, each as often as it has it."""
+        more = Counter(item[0] for item in other)
+        out = []
+        for item in own:
+            if more[item[0]]:
+                more[item[0]] -= 1
+            else:
+                out.append(item)
+        return out
+
+    def paragraphs(sections: list[tuple[str, int, str]]) -> list[tuple[str, int]]:
+        return [(p.split(".", 1)[0], first + i) for _, first, below in sections for i, p in enumerate(below.split(","))]
 
     one, two = branches(a), branches(b)
-    return lacking(one, two), lacking(two, one)
+    one, two = paragraphs(left(one, two)), paragraphs(left(two, one))
+    return [number for _, number in left(one, two)], [number for _, number in left(two, one)]
 
 
 def followed(docs: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
@@ -166,7 +184,8 @@ def edited_text(text: str, following: str) -> str:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """For each row its fingerprint, that of its edited text, and how like it is to that and to the next text.
 
-    Columns: doc_id, n_chars, edited_text, fingerprint, edited_fingerprint, near_edited, near_next.
+    Columns: doc_id, n_chars, edited_text, fingerprint, edited_fingerprint, near_edited, near_next, and the
+    numbers of the paragraphs (from 0, joined by commas) that the edit took out (`edited_out`) and put in (`edited_in`).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +197,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 edited = [edited_text(text, after) for text, after in zip(texts, nexts, strict=True)]
                 every = list(dict.fromkeys([*texts, *nexts, *edited]))
                 tree = dict(zip(every, trees(every), strict=True))
+                places = [differing(tree[a][0], tree[b][0]) for a, b in zip(texts, edited, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
@@ -187,12 +207,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                         pa.array([tree[t][0] for t in edited], pa.string()),
                         pa.array([likeness(tree[a], tree[b]) for a, b in zip(texts, edited, strict=True)], pa.float64()),
                         pa.array([likeness(tree[a], tree[b]) for a, b in zip(texts, nexts, strict=True)], pa.float64()),
+                        *(pa.array([",".join(map(str, pair[side])) for pair in places], pa.string()) for side in (0, 1)),
+                    ],
+                    [
+                        *("doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"),
+                        *("edited_out", "edited_in"),
                     ],
-                    ["doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
                 )
 
     schema = (
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_text string, "
-        "fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+        "fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+        "edited_out string, edited_in string"
     )
     return followed(docs).mapInArrow(run, schema)

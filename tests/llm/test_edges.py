@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -343,3 +344,18 @@ def test_block_links_find_every_pair(size):
 
 def test_digest_of_nothing():
     assert merkle.trees([""])[0][0] == hashlib.blake2b(b"", digest_size=16).hexdigest() + "#"
+
+
+def test_edited_paragraphs(spark):
+    """The numbers name, once each, the lines that either text has more often."""
+    rng = np.random.default_rng(3)
+    lines = [f"line {k}" for k in range(30)] + [""] * 6
+    texts = ["\n".join(rng.choice(lines, rng.integers(1, 60))) + "\n" for _ in range(80)]
+    rows = {r["doc_id"]: r for r in rows_of(merkle.fingerprints(documents(spark, list(enumerate(texts)))))}
+    for i, text in enumerate(texts):
+        own, edited = text.splitlines(True), rows[i]["edited_text"].splitlines(True)
+        for side, other, column in ((own, edited, "edited_out"), (edited, own, "edited_in")):
+            numbers = [int(n) for n in rows[i][column].split(",") if n]
+            assert numbers == sorted(set(numbers))
+            assert Counter(side[n] for n in numbers) == Counter(side) - Counter(other)
+    assert merkle.differing(rows[0]["fingerprint"], rows[0]["fingerprint"]) == ([], [])
