@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from roundhaul.llm import chat
+from roundhaul.llm import chat, mixing
 
 #: What every control string starts with or is; none overlaps another, so matches can be counted.
 CONTROL = re.sub(r"^\((\[.*?\])\)\(\?=(.*)\)$", r"\1(?:\2)", chat.CONTROL)
@@ -83,8 +83,36 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc_id) AS component
        coalesce(root, doc_id) = doc_id AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN found ON node = doc_id"""
 
+# Sources in the order in which growing shares would meet their limits: the first one whose share fits ends the rounds.
+MIX = rf"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS s, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+  FROM sized GROUP BY source
+), ordered AS (
+  SELECT *, sum(s) OVER () AS wanted, sum(3 * s) OVER so_far - 3 * s AS held,
+         sum(w) OVER () - sum(w) OVER so_far + w AS open
+  FROM sources WINDOW so_far AS (ORDER BY 3 * s / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), fits AS (
+  SELECT wanted - held AS rest, open FROM ordered WHERE w * (wanted - held) <= 3 * s * open
+  ORDER BY 3 * s / w, source NULLS LAST LIMIT 1
+), targets AS (
+  SELECT source, s, least(CAST(3 * s AS DOUBLE), CAST(w * rest AS DOUBLE) / CAST(open AS DOUBLE)) AS target FROM sources, fits
+), rated AS (
+  SELECT *, CASE WHEN s > 0 THEN least(target / s, 3.0) ELSE 0.0 END AS rate FROM targets
+), drawn AS (
+  SELECT doc_id, size, s, target, rate,
+         CAST(CAST('0x' || substr(md5('mix {mixing.SEED}:' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS draw
+  FROM sized JOIN rated ON sized.source IS NOT DISTINCT FROM rated.source
+)
+SELECT doc_id, size, s AS source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM drawn"""
+
 ORACLES = {
     "op1_near_duplicate_vectors": VECTORS,
     "op3_minhash_near_duplicates": DOCUMENTS,
     "op10_chat_examples": CHAT,
+    "op11_mixed_sources": MIX,
 }

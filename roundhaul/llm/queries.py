@@ -14,6 +14,7 @@ from roundhaul.llm import (
     html_text,
     merkle,
     minhash,
+    mixing,
     packing,
     pieces,
     quality,
@@ -129,6 +130,14 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "mix")
+    sized = mixing.sizes(_table(spark, sf_dir, "documents"), scratch)
+    rows = mixing.copies(sized, mixing.rates(sized, scratch))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return rows.select("doc_id", "size", "source_size", "target", taken)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicate_vectors": near_duplicate_vectors,
     "op2_sentencepiece": sentencepiece_ids,
@@ -140,4 +149,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": main_text,
     "op9_merkle_fingerprints": merkle_fingerprints,
     "op10_chat_examples": chat_examples,
+    "op11_mixed_sources": mixed_sources,
 }
