@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roundhaul.llm import (
     chat,
     embedding_dedup,
+    hard_negatives,
     html_text,
     merkle,
     minhash,
@@ -138,6 +139,13 @@ def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken)
 
 
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    found = hard_negatives.hard_negatives(vectors, Scratch(spark, "negatives"), F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicate_vectors": near_duplicate_vectors,
     "op2_sentencepiece": sentencepiece_ids,
@@ -150,4 +158,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_merkle_fingerprints": merkle_fingerprints,
     "op10_chat_examples": chat_examples,
     "op11_mixed_sources": mixed_sources,
+    "op12_hard_negatives": mined_negatives,
 }
