@@ -240,7 +240,13 @@ def rows_taking_part(vectors: DataFrame, scale: int) -> DataFrame:
     )
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     given = given.where(F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite, F.lit(False)))
-    codes = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x).cast("long"))
+    refused = F.raise_error(F.lit("a component does not fit a long")).cast("long")
+
+    def whole(x: Column) -> Column:
+        scaled = F.lit(float(scale)) * x
+        return F.when(F.abs(scaled) < float(2**63), F.floor(scaled).cast("long")).otherwise(refused)
+
+    codes = F.transform("embedding", whole)
     given = given.select("vec_id", "label", codes.alias("codes"))
     marks = [F.xxhash64(F.lit(seed), "vec_id", "label", "codes").alias(f"h{seed}") for seed in (1, 2)]
     return given.select("*", *marks).groupBy("vec_id", "h1", "h2").agg(F.first("label").alias("label"), F.first("codes").alias("codes"))

@@ -22,6 +22,7 @@ from roundhaul.llm import (
     secrets,
     sentencepieces,
     token_output,
+    whitening,
 )
 from roundhaul.llm.common import Scratch
 from roundhaul.llm.oracles import ORACLES  # noqa: F401 - the entry module reads it here
@@ -146,6 +147,11 @@ def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings"), Scratch(spark, "whitening"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicate_vectors": near_duplicate_vectors,
     "op2_sentencepiece": sentencepiece_ids,
@@ -159,4 +165,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_examples": chat_examples,
     "op11_mixed_sources": mixed_sources,
     "op12_hard_negatives": mined_negatives,
+    "op13_whitened_vectors": whitened_vectors,
 }
