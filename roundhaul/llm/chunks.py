@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable
 
 import numpy as np
 
-from roundhaul.llm.hashing import range_hashes
+from roundhaul.llm.hashing import range_hashes, slices, words_of
 
 #: Chunks that a worker remembers; beyond it, the table starts anew. Results don't depend on it.
 TABLE_CHUNKS = 600_000
 
 
+class _Column:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.values, self.used = np.zeros(1 << 14, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        wanted = self.used + len(more)
+        if wanted > len(self.values):
+            self.values = np.concatenate([self.values[: self.used], np.zeros(max(wanted, self.used), self.values.dtype)])
+        self.values[self.used : wanted] = more
+        self.used = wanted
+
+
 class ChunkTable:
     """Chunk -> ids, filled as chunks come up.
 
     Valid for a tokenizer whose pieces never cross a chunk's border, so that the ids of a text
     are those of its chunks in order. `segment` gets the chunks that the table lacks, all
-    distinct, and returns one list of ids for each. Chunks are known by 64-bit hashes: among
-    the chunks of a full table, two share one with a probability of about 10^-7.
+    distinct, and returns one list of ids for each. Chunks are looked up by 64-bit hashes under a
+    seed drawn for the table, and compared byte by byte with what the table holds: where two
+    chunks share a hash, the table starts anew under another seed.
     """
 
     def __init__(self, segment: Callable[[list[bytes]], Iterable[list[int]]], capacity: int = TABLE_CHUNKS):
@@ -27,23 +43,26 @@ class ChunkTable:
         self._clear()
 
     def _clear(self) -> None:
+        self.seed = int.from_bytes(os.urandom(4), "little")
         self.keys = np.zeros(0, np.uint64)
         self.codes = np.zeros(0, np.int64)
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 14, np.int64)
+        self.ids, self.ends = _Column(np.int32), _Column(np.int64)
+        # The chunks' bytes as 8-byte words: where they end, and how many bytes there are.
+        self.words, self.word_ends, self.sizes = _Column(np.uint64), _Column(np.int64), _Column(np.int64)
 
-    def _learn(self, keys: np.ndarray, chunks: list[bytes]) -> None:
+    def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        held = data.tobytes()
+        chunks = [held[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         lists = list(self.segment(chunks))
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         known = len(self.keys)
-        used = int(self.ends[known - 1]) if known else 0
-        ends = used + np.cumsum(lengths)
-        while len(self.ids) < ends[-1]:
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.ends) < known + len(keys):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[used : ends[-1]] = np.fromiter((i for ids in lists for i in ids), np.int32, int(lengths.sum()))
-        self.ends[known : known + len(keys)] = ends
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.ends.add(self.ids.used + np.cumsum(lengths))
+        self.ids.add(np.fromiter((i for ids in lists for i in ids), np.int32, int(lengths.sum())))
+        for part in slices(starts):
+            words, borders = words_of(data, starts[part], ends[part])
+            self.word_ends.add(self.words.used + borders[1:])
+            self.words.add(words)
+        self.sizes.add(ends - starts)
         places = np.searchsorted(self.keys, keys)
         self.codes = np.insert(self.codes, places, np.arange(known, known + len(keys)))
         self.keys = np.insert(self.keys, places, keys)
@@ -54,6 +73,19 @@ class ChunkTable:
         places = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return self.keys[places] != keys
 
+    def _hold(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> bool:
+        """Whether each chunk is the one that the table has under its code."""
+        if (self.sizes.values[codes] != ends - starts).any():
+            return False
+        for part in slices(starts):
+            words, borders = words_of(data, starts[part], ends[part])
+            counts = np.diff(borders)
+            first = self.word_ends.values[codes[part]] - counts
+            at = np.arange(len(words)) + np.repeat(first - borders[:-1], counts)
+            if (self.words.values[at] != words).any():
+                return False
+        return True
+
     def encode(self, data: np.ndarray, starts: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the borders between those of the texts.
 
@@ -63,22 +95,24 @@ class ChunkTable:
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(data))
-        keys, where, which = np.unique(range_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        missing = self._missing(keys)
-        if len(self.keys) + missing.sum() > self.capacity:
+        while True:
+            hashes = range_hashes(data, starts, ends, self.seed)
+            keys, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+            missing = self._missing(keys)
+            if len(self.keys) and len(self.keys) + missing.sum() > self.capacity:
+                self._clear()
+                continue
+            if missing.any():
+                self._learn(keys[missing], data, starts[where[missing]], ends[where[missing]])
+            codes = self.codes[np.searchsorted(self.keys, keys)][which]
+            if self._hold(data, starts, ends, codes):
+                break
             self._clear()
-            missing[:] = True
-        if missing.any():
-            new = where[missing]
-            held = data.tobytes()
-            spans = zip(starts[new].tolist(), ends[new].tolist(), strict=True)
-            self._learn(keys[missing], [held[a:b] for a, b in spans])
-        codes = self.codes[np.searchsorted(self.keys, keys)]
-        first = np.where(codes > 0, self.ends[codes - 1], 0)
-        lengths = (self.ends[codes] - first)[which]
+        first = np.where(codes > 0, self.ends.values[codes - 1], 0)
+        lengths = self.ends.values[codes] - first
         borders = np.concatenate([[0], np.cumsum(lengths)])
-        take = np.arange(borders[-1]) + np.repeat(first[which] - borders[:-1], lengths)
-        return self.ids[take], borders[texts]
+        take = np.arange(borders[-1]) + np.repeat(first - borders[:-1], lengths)
+        return self.ids.values[take], borders[texts]
 
 
 def joined(texts: list[str], before: str = "") -> tuple[np.ndarray, np.ndarray]:

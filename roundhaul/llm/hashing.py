@@ -3,42 +3,68 @@
 from __future__ import annotations
 
 import hashlib
-from functools import cache
+from collections.abc import Iterator
 
 import numpy as np
 
-from roundhaul.llm.common import blocks, mix64
+from roundhaul.llm.common import mix64
 
-#: Bytes hashed at once; a range longer than that is hashed by itself.
-SEGMENT = 1 << 20
-BASE = 0x9E3779B97F4A7C15 | 1
+#: Ranges of up to so many 8-byte words are hashed side by side, longer ones by a cryptographic hash.
+SHORT_WORDS = 4
+#: Ranges worked on at once.
+STEP = 1 << 18
 
+MASKS = np.array([0, *((1 << (8 * k)) - 1 for k in range(1, 9))], np.uint64)
 
-@cache
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A word for each byte, and the powers of the base and of its inverse."""
-    letters = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
-    powers = []
-    for base in (BASE, pow(BASE, -1, 1 << 64)):
-        steps = np.full(SEGMENT, base, np.uint64)
-        steps[0] = 1
-        powers.append(np.cumprod(steps, dtype=np.uint64))
-    return letters, *powers
+
+def words_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges as 8-byte words, the last one of each filled up with zeros, and the borders between ranges."""
+    counts = -(-(ends - starts) // 8)
+    borders = np.append(0, np.cumsum(counts))
+    own = np.repeat(np.arange(len(starts)), counts)
+    at = starts[own] + 8 * (np.arange(borders[-1]) - borders[own])
+    low, high = (int(starts.min()), int(ends.max())) if len(starts) else (0, 0)
+    held = np.concatenate([data[low:high], np.zeros(8, np.uint8)])
+    anywhere = np.ndarray((high - low + 1,), "<u8", held, strides=(1,))
+    return anywhere[at - low] & MASKS[np.minimum(ends[own] - at, 8)], borders
+
+
+def slices(starts: np.ndarray) -> Iterator[slice]:
+    for begin in range(0, len(starts), STEP):
+        yield slice(begin, begin + STEP)
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A hash of each range `data[starts[i]:ends[i]]`; the ranges ascend and don't overlap."""
-    letters, powers, inverses = _tables()
+    """A hash of each range `data[starts[i]:ends[i]]`; the ranges ascend and don't overlap.
+
+    Ranges of one length up to 8 bytes never share a hash. Up to 32 bytes two lanes take in the words one
+    after the other, each mixed with all that went before; no sum of parts can cancel out. Longer
+    ranges are hashed by BLAKE2.
+    """
     out = np.empty(len(starts), np.uint64)
-    reach = np.append(starts[1:], ends[-1:]) - starts if len(starts) else starts
-    for lo, hi in blocks(reach, SEGMENT - 1):
-        begin, end = int(starts[lo]), int(ends[hi - 1])
-        if end - begin >= SEGMENT:
-            parts = [hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest() for i in range(lo, hi)]
-            out[lo:hi] = np.frombuffer(b"".join(parts), np.uint64)
-            continue
-        sums = np.zeros(end - begin + 1, np.uint64)
-        np.cumsum(letters[data[begin:end]] * powers[: end - begin], dtype=np.uint64, out=sums[1:])
-        first, last = starts[lo:hi] - begin, ends[lo:hi] - begin
-        out[lo:hi] = (sums[last] - sums[first]) * inverses[first]
-    return mix64(out ^ mix64((ends - starts).astype(np.uint64) + np.uint64(seed)))
+    keys = mix64(np.array([2 * seed + 1, 2 * seed + 2], np.uint64))
+    for part in slices(starts):
+        a, b = starts[part], ends[part]
+        found = np.full(len(a), keys[0], np.uint64)
+        short = b - a <= 8 * SHORT_WORDS
+        words, borders = words_of(data, a, np.where(short, b, a))
+        counts = np.diff(borders)
+        other = np.full(len(a), keys[1], np.uint64)
+        for k in range(SHORT_WORDS):
+            at = np.flatnonzero(counts > k)
+            if not len(at):
+                break
+            word = words[borders[at] + k]
+            found[at] = mix64(found[at] ^ word)
+            if k:
+                other[at] = mix64(other[at] + word * np.uint64(0x9E3779B97F4A7C15))
+            elif len(late := at[counts[at] > 1]):
+                other[late] = mix64(other[late] + words[borders[late]] * np.uint64(0x9E3779B97F4A7C15))
+        several = np.flatnonzero(counts > 1)
+        found[several] = mix64(found[several] + other[several])
+        key = seed.to_bytes(8, "little")
+        for i in np.flatnonzero(~short).tolist():
+            held = hashlib.blake2b(data[a[i] : b[i]].tobytes(), digest_size=8, key=key).digest()
+            found[i] = int.from_bytes(held, "little")
+        out[part] = mix64(found + mix64((b - a).astype(np.uint64)))
+    return out
