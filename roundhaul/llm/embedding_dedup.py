@@ -13,7 +13,7 @@ at most `miss`.
 
 Vectors that are NULL, empty, zero or hold NULL or non-finite components link with nothing, and
 so do those without a label, and vectors of different lengths. Rows that repeat entirely count
-as one vector. A row without an id has no links, no component, and is kept. An empty table
+as one vector; rows that share an id and differ are vectors of their own, told apart by their contents. A row without an id has no links, no component, and is kept. An empty table
 gives no rows. Other columns are left out.
 """
 
@@ -98,9 +98,9 @@ def near_duplicates(
         .groupBy("h1", "h2", "vec_id")
         .agg(F.first("embedding").alias("embedding"), F.first("label").alias("label"))
         .groupBy("h1", "h2")
-        .agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"), F.first("label").alias("label"))
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"), F.first("label").alias("label"))
     )
-    classes = scratch.write(classes, "classes")
+    classes = scratch.write(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     planes, tables = plan_tables(classes.count(), threshold, miss)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +124,7 @@ def near_duplicates(
     # The label's hash, not the label, salts the buckets: labels may be of any type.
     told = classes.select("id", "embedding", F.xxhash64("label").alias("salt"))
     points = told.mapInArrow(hashed, "id long, vector binary, seen binary")
-    points = scratch.write(points.join(classes.select("id", "copies", "h1", "h2"), "id"), "points")
+    points = scratch.write(points.join(classes.select("id", "copies"), "id"), "points")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,15 +168,20 @@ def near_duplicates(
     found = scratch.write(by_block(blocks).mapInArrow(linked, "id long, n long, reached long"), "found")
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     reached = components(found.select(F.col("id").alias("a"), F.col("reached").alias("b")), scratch)
+    # A component is named by the smallest vec_id of its classes.
     known = (
-        classes.select("h1", "h2", "id", "copies")
+        classes.select("h1", "h2", "id", "least", "copies")
         .join(links, "id", "left")
         .join(reached.withColumnRenamed("node", "id"), "id", "left")
-        .select("h1", "h2", "id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"), "component")
+        .withColumn("component", F.coalesce("component", "id"))
+    )
+    smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = known.join(smallest, "component").select(
+        "h1", "h2", "component_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n")
     )
     keys = [F.when(F.col("usable"), F.col(h)).alias(h) for h in ("h1", "h2")]
     out = rows.select("vec_id", *keys).join(known, ["h1", "h2"], "left")
-    component = F.coalesce("component", "id", "vec_id")
+    component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),

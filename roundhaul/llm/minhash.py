@@ -4,19 +4,20 @@ Two small collections of half keys, each made of a few minhashes, are computed f
 pair of half keys, one from either collection, is a key of one table. So `halves`^2 tables take
 2 * `halves` half keys, a square root of the minhashes that independent tables would take.
 
-Documents with equal sets are one class, hashed once. In each bucket the smallest class is a
-hub and every other one is compared with it alone. Once those links are joined into components,
-the classes of buckets that still hold several components are compared with all that share a
-half key of the first collection, which every pair of a bucket does: in blocks of bounded size,
-inside tasks, without listing pairs. So no link between different texts that a bucket shows is
-lost. A link counts only if the full sets confirm it.
+Documents with equal sets are one class, hashed once. A half key that one class alone has can be in
+no shared table key, so pairs are made of the others only; that drops nothing. In each bucket the
+smallest class is a hub and every other one is compared with it alone. Once those links are joined
+into components, the classes of buckets that still hold several components are compared with all
+that share a half key of the first collection, which every pair of a bucket does: in blocks of
+bounded size, inside tasks, without listing pairs. So no link between different texts that a bucket
+shows is lost. A link counts only if the full sets confirm it.
 
 Words are what stands between the six ASCII white-space characters, A-Z lower-cased. A text
 with fewer words than a shingle has its whole sequence as its one shingle; NULL texts and those
-without words have an empty set and link with nothing. Rows that share a doc_id are one
-document and get one component. A row without a doc_id links with nothing, has no component and
-is kept. Repeated rows stay; other columns are left out; an empty table gives no rows. Shingles
-and words are known by 64-bit hashes.
+without words have an empty set and link with nothing. Every row is linked by its own text, also
+where rows share a doc_id; classes are told apart by their sets, not by ids. A row without a doc_id
+links with nothing, has no component and is kept. Repeated rows stay; other columns are left out;
+an empty table gives no rows. Shingles and words are known by 64-bit hashes (`hashing`).
 """
 
 from __future__ import annotations
@@ -36,12 +37,15 @@ from roundhaul.llm.hashing import range_hashes
 
 WORDS = 5
 PERCENT = 80
-#: Half keys in each collection, and minhashes in each half key: a pair at 80 % shares a key with 99.8 %.
+#: Half keys in each collection, and minhashes in each half key: a pair at 80 % shares a table key with 99.996 %.
 HALVES, BAND = 15, 3
 SEED = 71_993
 #: Rows and shingles of a block, on average; two blocks are compared in a task at a time.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 500_000
 
+#: What tells one set from another: two sums over its shingles, and its size.
+_SET = ["h1", "h2", "n_shingles"]
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -93,12 +97,9 @@ def half_keys(values: np.ndarray, borders: np.ndarray, halves: int, band: int) -
     return out
 
 
-def _table_keys(halves: np.ndarray) -> np.ndarray:
-    """A key for every pair of half keys, one from either collection (rows, halves^2)."""
-    count = halves.shape[1] // 2
-    ones = mix64(halves[:, :count] + mix64(np.arange(1, count + 1, dtype=np.uint64)))
-    others = mix64(halves[:, count:] + mix64(np.arange(1001, count + 1001, dtype=np.uint64)))
-    return mix64(ones[:, :, None] + others[:, None, :]).reshape(len(halves), -1)
+def placed_keys(halves: np.ndarray) -> np.ndarray:
+    """The half keys made to differ by their place, so that keys of different places never meet."""
+    return mix64(halves + mix64(np.arange(1, halves.shape[1] + 1, dtype=np.uint64)))
 
 
 def _similar(a: Column, b: Column, percent: int) -> Column:
@@ -146,7 +147,8 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of (doc_id, text)."""
     reachable(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # The hash tells the rows of one doc_id apart where their texts are read again.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("content"))
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,50 +161,56 @@ def near_duplicates(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(done, len(texts)),
+                        batch.column(2).slice(done, len(texts)),
                         pa.array(np.diff(borders), pa.int64()),
                         *marks,
                         binary_array(keys.ravel(), np.arange(len(texts) + 1) * 2 * halves),
                     ],
-                    ["doc_id", "n_shingles", "h1", "h2", "halves"],
+                    ["doc_id", "content", "n_shingles", "h1", "h2", "halves"],
                 )
                 done += len(texts)
 
-    rows = scratch.write(docs.mapInArrow(summed, "doc_id long, n_shingles long, h1 long, h2 long, halves binary"), "rows")
-    sets = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = sets.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves"))
-    classes = scratch.write(classes, "classes")
+    shape = "doc_id long, content long, n_shingles long, h1 long, h2 long, halves binary"
+    rows = scratch.write(docs.mapInArrow(summed, shape), "rows")
+    usable = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    sets = rows.where(usable)
+    classes = sets.groupBy(*_SET).agg(F.min(F.struct("doc_id", "content")).alias("least"), F.first("halves").alias("halves"))
+    classes = scratch.write(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = np.tile(np.arange(2 * halves) < halves, 1000)
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                keys = _table_keys(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint64).reshape(-1, 2 * halves))
-                ids = part.column(0).take(pa.array(np.repeat(np.arange(len(keys)), halves * halves)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), ids], ["bucket", "id"])
-
-    buckets = classes.select("id", "halves").mapInArrow(keyed, "bucket long, id long")
+                keys = placed_keys(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint64).reshape(-1, 2 * halves))
+                ids = part.column(0).take(pa.array(np.repeat(np.arange(len(keys)), 2 * halves)))
+                columns = [pa.array(keys.ravel().view(np.int64)), pa.array(first[: keys.size]), ids]
+                yield pa.RecordBatch.from_arrays(columns, ["half", "first", "id"])
+
+    each = classes.select("id", "halves").mapInArrow(spread, "half long, first boolean, id long")
+    several = each.groupBy("half").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    several = scratch.write(several.where("least <> most").select("half"), "shared-halves")
+    shared = each.join(several, "half").groupBy("id")
+    sides = [F.collect_list(F.when(side, F.col("half"))).alias(name) for name, side in (("ones", F.col("first")), ("others", ~F.col("first")))]
+    shared = scratch.write(shared.agg(*sides).where("size(ones) > 0 AND size(others) > 0"), "halves")
+    buckets = shared.select("id", F.explode("ones").alias("one"), "others").select("id", "one", F.explode("others").alias("other"))
+    buckets = buckets.select(F.xxhash64("one", "other").alias("bucket"), "id")
     full = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
     members = scratch.write(buckets.join(full, "bucket"), "members")
 
-    needed = members.select("id").distinct().join(classes.select("id", "h1", "h2"), "id")
-    wanted = docs.join(needed.select(F.col("id").alias("doc_id"), "h1", "h2"), "doc_id")
+    needed = members.select("id").distinct().join(classes.select("id", "least"), "id")
+    wanted = docs.join(needed.select("id", "least.doc_id", "least.content"), ["doc_id", "content"])
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for texts in text_blocks(batch.column(1)):
                 values, borders = shingle_sets(texts, words)
-                sums = [np.append(np.uint64(0), np.cumsum(mix64(values + np.uint64(seed)))) for seed in (1, 2)]
-                marks = [(s[borders[1:]] - s[borders[:-1]]).view(np.int64) for s in sums]
-                part = batch.slice(done, len(texts))
-                fits = pa.array(  # rows of the class itself, where several texts share a doc_id
-                    (marks[0] == part.column(2).to_numpy()) & (marks[1] == part.column(3).to_numpy())
-                )
-                out = [part.column(0), list_array(values.view(np.int64), borders, pa.int64())]
-                yield pa.RecordBatch.from_arrays(out, ["id", "shingles"]).filter(fits)
+                out = [batch.column(0).slice(done, len(texts)), list_array(values.view(np.int64), borders, pa.int64())]
+                yield pa.RecordBatch.from_arrays(out, ["id", "shingles"])
                 done += len(texts)
 
-    spells = wanted.select("doc_id", "text", "h1", "h2").mapInArrow(spelled, "id long, shingles array<long>")
+    spells = wanted.select("id", "text").mapInArrow(spelled, "id long, shingles array<long>")
     spells = scratch.write(spells.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -249,23 +257,21 @@ def near_duplicates(
     more = scratch.write(by_block(compared).mapInArrow(linked, "a long, b long"), "more-links")
     found = components(links.unionByName(more), scratch, "all") if more.count() else joined_up
 
-    # Documents of one class, and rows of one doc_id, belong together.
-    named = sets.select("doc_id", "h1", "h2", "n_shingles").join(
-        classes.select("h1", "h2", "n_shingles", "id"), ["h1", "h2", "n_shingles"]
-    )
-    named = named.join(found.withColumnRenamed("node", "id"), "id", "left")
-    named = named.groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("component"))
-    out = rows.select("doc_id", "n_shingles").join(named, "doc_id", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    # A component is named by the smallest doc_id of its classes; a class without links by its own.
+    linked_sets = classes.select(*_SET, "id", F.col("least.doc_id").alias("least")).join(found.withColumnRenamed("node", "id"), "id", "left")
+    linked_sets = linked_sets.withColumn("component", F.coalesce("component", "id"))
+    smallest = linked_sets.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = linked_sets.join(smallest, "component").select(*_SET, "component_id")
+    out = sets.select("doc_id", *_SET).join(named, _SET).select("doc_id", "n_shingles", "component_id")
+    alone = rows.where(~F.coalesce(usable, F.lit(False))).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def one_of_each(docs: DataFrame, scratch: Scratch, **settings: int) -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    dropped = near_duplicates(docs, scratch, **settings).where("NOT kept").select(F.col("doc_id").alias("doc_id")).distinct()
+    """The documents that are kept, with all their columns.
+
+    Rows that share a doc_id go only if none of them is kept, so no text is lost with another one of its id.
+    """
+    rows = near_duplicates(docs, scratch, **settings).where("doc_id IS NOT NULL")
+    dropped = rows.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("NOT kept").select("doc_id")
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)

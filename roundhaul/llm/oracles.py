@@ -33,55 +33,62 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_char
        CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM read"""
 
-# A path from a component's smallest node meets larger nodes only, so smaller ones need not be followed.
+# Rows are numbered by id, so a component's smallest row has its smallest id. A path from it meets
+# larger rows only, so smaller ones need not be followed.
 VECTORS = """
 WITH RECURSIVE usable AS (
-  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+  SELECT vec_id, label, embedding, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER (ORDER BY vec_id) AS node
+  FROM (SELECT DISTINCT vec_id, label, embedding FROM embeddings)
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
     AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
     AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
 ), links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
-    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  SELECT a.node AS a, b.node AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.node <> b.node
   WHERE list_cosine_similarity(a.v, b.v) >= 0.98
 ), reached(node, root) AS (
   SELECT DISTINCT a, a FROM links
   UNION
   SELECT b, root FROM reached JOIN links ON a = node WHERE root < b
 ), found AS (SELECT node, min(root) AS root FROM reached GROUP BY node),
-counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
-SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id,
-       coalesce(root, vec_id) = vec_id AS kept
-FROM embeddings LEFT JOIN found ON node = vec_id LEFT JOIN counted ON a = vec_id"""
+counted AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a),
+named AS (
+  SELECT u.vec_id, u.label, u.embedding, n, r.vec_id AS root_id
+  FROM usable u JOIN found USING (node) JOIN counted USING (node) JOIN usable r ON r.node = root
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(root_id, e.vec_id) AS component_id,
+       coalesce(root_id = e.vec_id, true) AS kept
+FROM embeddings e LEFT JOIN named ON named.vec_id = e.vec_id AND named.label = e.label AND named.embedding = e.embedding"""
 
 DOCUMENTS = r"""
 WITH RECURSIVE told AS (
-  SELECT doc_id, regexp_extract_all(
+  SELECT row_number() OVER (ORDER BY doc_id) AS node, doc_id, regexp_extract_all(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[^\x20\x09-\x0D]+') AS words
   FROM documents
 ), placed AS (
-  SELECT doc_id, len(words) AS n_words, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM told
+  SELECT node, len(words) AS n_words, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM told
 ), runs AS (
-  SELECT doc_id, n_words, place, concat_ws(' ', word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w) AS shingle
-  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+  SELECT node, n_words, place, concat_ws(' ', word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w) AS shingle
+  FROM placed WINDOW w AS (PARTITION BY node ORDER BY place)
 ), held AS (
-  SELECT DISTINCT doc_id, shingle FROM runs WHERE place <= greatest(n_words - 3, 1)
-), sizes AS (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id),
+  SELECT DISTINCT node, shingle FROM runs WHERE place <= greatest(n_words - 3, 1)
+), sizes AS (SELECT node, count(*) AS n FROM held GROUP BY node),
 common AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
-  FROM held x JOIN held y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+  SELECT x.node AS a, y.node AS b, count(*) AS n
+  FROM held x JOIN held y ON x.shingle = y.shingle AND x.node <> y.node GROUP BY ALL
 ), links AS (
-  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)
+  SELECT a, b FROM common c JOIN sizes x ON x.node = a JOIN sizes y ON y.node = b
+  JOIN told s ON s.node = a JOIN told t ON t.node = b
+  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n) AND s.doc_id IS NOT NULL AND t.doc_id IS NOT NULL
 ), reached(node, root) AS (
   SELECT DISTINCT a, a FROM links
   UNION
   SELECT b, root FROM reached JOIN links ON a = node WHERE root < b
 ), found AS (SELECT node, min(root) AS root FROM reached GROUP BY node)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc_id) AS component_id,
-       coalesce(root, doc_id) = doc_id AS kept
-FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN found ON node = doc_id"""
+SELECT told.doc_id, coalesce(n, 0) AS n_shingles, coalesce(first.doc_id, told.doc_id) AS component_id,
+       coalesce(first.doc_id = told.doc_id, true) AS kept
+FROM told LEFT JOIN sizes USING (node) LEFT JOIN found USING (node) LEFT JOIN told first ON first.node = root"""
 
 # Sources in the order in which growing shares would meet their limits: the first one whose share fits ends the rounds.
 MIX = rf"""
