@@ -199,8 +199,8 @@ class Contract:
         days = [self.day_of(p.column).alias(p.key) for p in self.partitions if p.by_day]
         return df.select(*columns, *days)
 
-    def from_stored(self, df: DataFrame) -> DataFrame:
-        """Undo ``to_stored``: contract columns in contract order, original values."""
+    def stored_values(self) -> list[Col]:
+        """The contract's columns as they were before ``to_stored``, taken from stored rows."""
         marked = self._text_keys()
         columns = []
         for name in self.names:
@@ -209,4 +209,8 @@ class Contract:
                 unmarked = F.substring(value, len(_MARK) + 1, 2**31 - 1)
                 value = F.when(value.startswith(_MARK), unmarked).otherwise(value).alias(name)
             columns.append(value)
-        return df.select(*columns)
+        return columns
+
+    def from_stored(self, df: DataFrame) -> DataFrame:
+        """Undo ``to_stored``: contract columns in contract order, original values."""
+        return df.select(*self.stored_values())

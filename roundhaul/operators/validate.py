@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from roundhaul.contracts import Contract, named
 from roundhaul.functions.convert import FLOATS
+from roundhaul.functions.digest import PARTS, hash_part, row_hash
 from roundhaul.session import local_table
 
 PASSED, FAILED = "PASSED", "FAILED"
@@ -24,10 +25,8 @@ TOLERANCE = 1e-9
 # Two hashes with different starts make a fingerprint of 128 bits: among 10^12 different
 # rows, the chance that any two share one is about 10^-15.
 _PRINTS = ("_print0", "_print1")
-# One hash is enough to compare two given sets of rows. It is added up in parts of 16 bits,
-# so short that 10^14 rows cannot overflow a sum.
-_PART_BITS = 16
-_PARTS = tuple(f"_part{i}" for i in range(64 // _PART_BITS))
+# One hash is enough to compare two given sets of rows.
+_PARTS = tuple(f"_part{i}" for i in range(PARTS))
 
 
 def _status(passed: Column) -> Column:
@@ -41,12 +40,7 @@ def _stack(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _hash(columns: Sequence[str], start: int) -> Column:
-    """64 bits that depend on every value of a row.
-
-    Spark's hash skips NULL, so which columns are NULL is hashed too; otherwise a value
-    that moves from one column into an empty neighbour would go unnoticed.
-    """
-    return F.xxhash64(F.lit(start), *[named(c).isNull() for c in columns], *[named(c) for c in columns])
+    return row_hash([named(c) for c in columns], start)
 
 
 def _fingerprint(columns: Sequence[str]) -> list[Column]:
@@ -57,7 +51,7 @@ def _net_sums() -> list[Column]:
     """Per part of ``_hash``: its sum over the source minus its sum over the target."""
     sums = []
     for position, name in enumerate(_PARTS):
-        part = F.shiftrightunsigned("_hash", position * _PART_BITS).bitwiseAND(F.lit(2**_PART_BITS - 1))
+        part = hash_part(F.col("_hash"), position)
         signed = F.when(F.col("_in_source"), part).otherwise(-part)
         sums.append(F.coalesce(F.sum(signed), F.lit(0)).alias(name))
     return sums

@@ -35,6 +35,15 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4))
 FROM orders
 """
 
+# Both loads of the orders: as they were, and as a faulty restore could have left them.
+TWO_LOADS = f"""
+{CHANGED_ORDERS}, before_ AS ({CONFORMED_ORDERS}), after_ AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4)) AS o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM changed_orders
+)
+"""
+
 CONFORMED_CUSTOMER = """
 SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(19,4)) AS c_acctbal, c_mktsegment
 FROM customer
@@ -216,6 +225,29 @@ ORACLES: dict[str, str] = {
         WHERE l_shipdate >= TIMESTAMP '1995-01-10 06:00:00' AND l_shipdate < TIMESTAMP '1995-03-13 18:00:00'""",
     "read_as_of": CONFORMED_ORDERS,
     "replaced_load": f"{CONFORMED_ORDERS} WHERE o_orderstatus = 'F'",
+    "partial_reload": """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CAST(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(19,4)) + 1 ELSE o_totalprice END
+                    AS DECIMAL(19,4)) AS o_totalprice,
+               o_orderdate, o_orderpriority
+        FROM orders WHERE o_orderstatus <> 'P'""",
+    "change_feed": f"""
+        WITH {TWO_LOADS}
+        SELECT CASE WHEN a.o_orderkey IS NULL THEN 'delete' ELSE 'update_before' END AS change_type, b.*
+        FROM before_ b LEFT JOIN after_ a USING (o_orderkey)
+        WHERE a.o_orderkey IS NULL OR a.o_totalprice IS DISTINCT FROM b.o_totalprice
+        UNION ALL
+        SELECT CASE WHEN b.o_orderkey IS NULL THEN 'insert' ELSE 'update_after' END, a.*
+        FROM after_ a LEFT JOIN before_ b USING (o_orderkey)
+        WHERE b.o_orderkey IS NULL OR a.o_totalprice IS DISTINCT FROM b.o_totalprice""",
+    "feed_applied": f"WITH {TWO_LOADS} SELECT * FROM after_",
+    "load_difference": f"""
+        WITH {TWO_LOADS}, found AS (
+          SELECT *, 'source' AS only_in FROM (SELECT * FROM before_ EXCEPT ALL SELECT * FROM after_)
+          UNION ALL
+          SELECT *, 'target' AS only_in FROM (SELECT * FROM after_ EXCEPT ALL SELECT * FROM before_)
+        )
+        SELECT *, count(*) AS copies FROM found GROUP BY ALL""",
     "row_count_match": f"""
         WITH {CHANGED_ORDERS}, n AS (
           SELECT (SELECT count(*) FROM orders) AS source_rows,

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from roundhaul.contracts import Contract, ForeignKey
 from roundhaul.functions import convert, derive
 from roundhaul.operators import audit, evolve, stats, validate
-from roundhaul.plans import jobs
+from roundhaul.plans import jobs, loads
 from roundhaul.plans.targets import WarehouseTarget
 from roundhaul.session import fresh_folder, local_table
-from roundhaul.sources.warehouse import NotMigrated, Warehouse, count_by_table, read_directory
+from roundhaul.sources.warehouse import NotMigrated, Ranges, Warehouse, count_by_table, read_directory
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -420,6 +420,44 @@ def replaced_load(spark, sf_dir):
     return stored.read(ORDERS)
 
 
+def _two_loads(spark, sf_dir, label, ranges=None):
+    """Orders in a warehouse, and as a second load what a faulty restore could have left of them."""
+    given, stored = table(spark, sf_dir, "orders"), warehouse(spark, label)
+    first = stored.write(convert.conform(given, ORDERS), ORDERS, gather=False, ranges=ranges)
+    second = stored.write(convert.conform(changed_orders(given), ORDERS), ORDERS, gather=False, ranges=ranges)
+    return stored, first.id, second.id
+
+
+def partial_reload(spark, sf_dir):
+    """Directories F and P are delivered again, P without any row; O stays where it is."""
+    orders = convert.conform(table(spark, sf_dir, "orders"), ORDERS)
+    stored = warehouse(spark, "partial")
+    stored.write(orders, ORDERS, gather=False)
+    dearer = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(19,4)"))
+    stored.reload(dearer, ORDERS, only=F.col("o_orderstatus").isin("F", "P"), gather=False)
+    return stored.read(ORDERS)
+
+
+def change_feed(spark, sf_dir):
+    stored, first, second = _two_loads(spark, sf_dir, "feed")
+    return loads.feed_between(stored, ORDERS, first, second)
+
+
+def feed_applied(spark, sf_dir):
+    """The changes from one load to the next are applied to a copy of the first in another warehouse."""
+    stored, first, second = _two_loads(spark, sf_dir, "feed-from")
+    copy = warehouse(spark, "feed-to")
+    copy.write(stored.read(ORDERS, first), ORDERS, gather=False)
+    loads.apply_feed(copy, ORDERS, loads.feed_between(stored, ORDERS, first, second))
+    return copy.read(ORDERS)
+
+
+def load_difference(spark, sf_dir):
+    """Two loads compared by the digests kept with them; the rows of ranges that differ are read."""
+    stored, first, second = _two_loads(spark, sf_dir, "difference", Ranges("o_orderkey", 1000))
+    return loads.load_difference(stored, ORDERS, first, second)
+
+
 def layout_change(spark, sf_dir):
     """A load without directories, read by range with the contract of a later load that has them."""
     events = table(spark, sf_dir, "events")
@@ -653,6 +691,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         layout_change,
         read_as_of,
         replaced_load,
+        partial_reload,
+        change_feed,
+        feed_applied,
+        load_difference,
         row_count_match,
         statistics_match,
         float_tolerance,
