@@ -20,21 +20,72 @@ class ShapeMismatch(ValueError):
     """The incoming columns are not the columns of the contract."""
 
 
-# Wide enough for the parsed form of any text that a narrower decimal may have rounded.
-_PARSED = T.DecimalType(38, 18)
+# A number in text: sign, whole digits, fraction, exponent.
+_NUMBER = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?\s*$"
+# A zone behind a time of day, which a timestamp without a zone would drop.
+_ZONE = r":\d\d(\.\d*)?\s*(Z|UTC|GMT|UT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z_]+/[A-Za-z_/]+)\s*$"
+# Digits of a second beyond the microsecond.
+_SHORTER = r"\.\d{6}\d*[1-9]"
+
+
+def plain_number(text: Column) -> Column:
+    """A number in text as its digits alone, without exponent or zeros that say nothing; NULL for other text.
+
+    Two texts stand for the same number exactly if these are equal, however many digits they have.
+    """
+    sign, whole, fraction, power = (F.regexp_extract(text, _NUMBER, i) for i in range(1, 5))
+    digits = F.concat(whole, fraction)
+    point = F.length(whole) + F.when(power == "", 0).otherwise(power.try_cast("int"))
+    size = F.length(digits)
+    before = F.when(point <= 0, "").when(point >= size, F.rpad(digits, point, "0")).otherwise(F.substring(digits, F.lit(1), point))
+    zeros = F.when(point < 0, F.repeat(F.lit("0"), -point)).otherwise("")
+    after = F.when(point <= 0, F.concat(zeros, digits)).when(point >= size, "").otherwise(F.substring(digits, point + 1, size))
+    before, after = F.ltrim(before, F.lit("0")), F.rtrim(after, F.lit("0"))
+    minus = F.when((sign == "-") & (F.concat(before, after) != ""), "-").otherwise("")
+    return F.when(text.rlike(_NUMBER) & (size > 0), F.concat(minus, before, F.lit("."), after))
+
+
+def _same_number(text: Column, value: Column) -> Column:
+    """Whether text stands for exactly this number, told by its digits."""
+    written = value.cast("string")
+    return (text == written) | (plain_number(text) == plain_number(written))
 
 
 def _unchanged(column: Column, value: Column, source: T.DataType | None, to: T.DataType) -> Column | None:
-    """Whether a cast gave back the same value; None where the types leave nothing to lose."""
+    """Whether a cast gave back the same value; None where the types leave nothing to lose.
+
+    NULL, where the comparison cannot be made, counts as changed.
+    """
     exact = (T.IntegralType, T.DecimalType)
     if isinstance(source, T.NumericType) and isinstance(to, (*exact, *FLOATS)):
         back = value.try_cast(source)
-        if isinstance(source, FLOATS) and isinstance(to, exact):
-            # The last binary digits of a sum such as 5.1000000000000005 are no loss.
-            return F.abs(back - column) <= F.abs(column) * 1e-12
-        return back == column
-    if isinstance(source, T.StringType) and isinstance(to, exact):
-        return F.coalesce(value.try_cast(_PARSED) == column.try_cast(_PARSED), F.lit(True))
+        if isinstance(source, FLOATS) and isinstance(to, T.DecimalType):
+            # The last binary digits of a sum such as 5.1000000000000005 are no loss where they lie far
+            # below the last digit of the decimal.
+            digits = 23 if isinstance(source, T.FloatType) else 52
+            gap = F.abs(back - column)
+            noise = (gap <= F.abs(column) * 2.0 ** (1 - digits)) & (gap < 0.125 * 10.0**-to.scale)
+            return (back == column) | noise
+        same = back == column
+        # 2^63 is no long, but casts to the largest one and back.
+        if isinstance(source, T.LongType) and isinstance(to, FLOATS):
+            return same & (value.cast("double") < 2.0**63)
+        return same & (column < 2.0**63) if isinstance(source, FLOATS) and isinstance(to, T.LongType) else same
+    if isinstance(source, T.NumericType) and isinstance(to, T.BooleanType):
+        return column.isin(0, 1)
+    if isinstance(source, T.StringType):
+        if isinstance(to, exact):
+            return _same_number(column, value)
+        if isinstance(to, FLOATS):
+            special = F.isnan(value) | (F.abs(value) == float("inf"))
+            told = column.rlike(r"(?i)^\s*([+-]?inf(inity)?|nan)\s*$")
+            return F.when(special, told).otherwise(_same_number(column, value))
+        if isinstance(to, T.DateType):
+            return column.try_cast("timestamp_ntz") == value.cast("timestamp_ntz")
+        if isinstance(to, T.TimestampNTZType):
+            return ~column.rlike(_SHORTER) & ~column.rlike(_ZONE)
+        if isinstance(to, T.TimestampType):
+            return ~column.rlike(_SHORTER)
     if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(to, T.DateType):
         return value.try_cast(source) == column
     return None
@@ -70,7 +121,9 @@ def conform(
     """Give every column its contract type and every row the contract's column order.
 
     A value that does not fit its type or declared range, or that the conversion would change,
-    stops the job, or becomes NULL when ``tolerant``. Columns named in ``rounding`` may be
+    stops the job, or becomes NULL when ``tolerant``: numbers that lose digits, also from or into text and
+    floats; bits other than 0 and 1; days with a time of day; timestamps in text with more than
+    microseconds or, for a type without one, a zone. Columns named in ``rounding`` may be
     rounded. NaN counts as missing where the contract has no place for it. Text may be longer
     than declared.
     """

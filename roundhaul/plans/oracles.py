@@ -35,12 +35,15 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4))
 FROM orders
 """
 
-# Both loads of the orders: as they were, and as a faulty restore could have left them.
-TWO_LOADS = f"""
-{CHANGED_ORDERS}, before_ AS ({CONFORMED_ORDERS}), after_ AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4)) AS o_totalprice,
-         o_orderdate, o_orderpriority
-  FROM changed_orders
+# Both loads of the documents: as they were, and after three sources were delivered again.
+TWO_LOADS = """
+before_ AS (SELECT doc_id, text, lang, source, n_chars FROM documents),
+after_ AS (
+  SELECT doc_id, CASE WHEN source = 'src5' AND n_chars % 2 = 1 THEN text || ' (revised)' ELSE text END AS text, lang, source,
+         CASE WHEN source = 'src5' AND n_chars % 2 = 1 THEN n_chars + 10 ELSE n_chars END AS n_chars
+  FROM documents WHERE (source = 'src3' AND n_chars % 2 = 1) IS NOT TRUE
+  UNION ALL
+  SELECT -1 - doc_id, text, lang, source, n_chars FROM documents WHERE source = 'src7' AND n_chars % 2 = 1
 )
 """
 
@@ -225,21 +228,16 @@ ORACLES: dict[str, str] = {
         WHERE l_shipdate >= TIMESTAMP '1995-01-10 06:00:00' AND l_shipdate < TIMESTAMP '1995-03-13 18:00:00'""",
     "read_as_of": CONFORMED_ORDERS,
     "replaced_load": f"{CONFORMED_ORDERS} WHERE o_orderstatus = 'F'",
-    "partial_reload": """
-        SELECT o_orderkey, o_custkey, o_orderstatus,
-               CAST(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(19,4)) + 1 ELSE o_totalprice END
-                    AS DECIMAL(19,4)) AS o_totalprice,
-               o_orderdate, o_orderpriority
-        FROM orders WHERE o_orderstatus <> 'P'""",
+    "partial_reload": f"WITH {TWO_LOADS} SELECT * FROM after_ WHERE source <> 'src3' OR source IS NULL",
     "change_feed": f"""
         WITH {TWO_LOADS}
-        SELECT CASE WHEN a.o_orderkey IS NULL THEN 'delete' ELSE 'update_before' END AS change_type, b.*
-        FROM before_ b LEFT JOIN after_ a USING (o_orderkey)
-        WHERE a.o_orderkey IS NULL OR a.o_totalprice IS DISTINCT FROM b.o_totalprice
+        SELECT CASE WHEN a.doc_id IS NULL THEN 'delete' ELSE 'update_before' END AS change_type, b.*
+        FROM before_ b LEFT JOIN after_ a USING (doc_id)
+        WHERE a.doc_id IS NULL OR a.text IS DISTINCT FROM b.text OR a.n_chars IS DISTINCT FROM b.n_chars
         UNION ALL
-        SELECT CASE WHEN b.o_orderkey IS NULL THEN 'insert' ELSE 'update_after' END, a.*
-        FROM after_ a LEFT JOIN before_ b USING (o_orderkey)
-        WHERE b.o_orderkey IS NULL OR a.o_totalprice IS DISTINCT FROM b.o_totalprice""",
+        SELECT CASE WHEN b.doc_id IS NULL THEN 'insert' ELSE 'update_after' END, a.*
+        FROM after_ a LEFT JOIN before_ b USING (doc_id)
+        WHERE b.doc_id IS NULL OR a.text IS DISTINCT FROM b.text OR a.n_chars IS DISTINCT FROM b.n_chars""",
     "feed_applied": f"WITH {TWO_LOADS} SELECT * FROM after_",
     "load_difference": f"""
         WITH {TWO_LOADS}, found AS (

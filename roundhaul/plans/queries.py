@@ -105,6 +105,18 @@ EVENTS = Contract.declare(
     key=["event_id"],
     partition_by=["ts", "event_type"],
 )
+DOCUMENTS = Contract.declare(
+    "documents",
+    {
+        "doc_id": "bigint not null",
+        "text": "nvarchar(max)",
+        "lang": "nvarchar(20)",
+        "source": "nvarchar(50)",
+        "n_chars": "bigint",
+    },
+    key=["doc_id"],
+    partition_by=["source"],
+)
 # Order statuses are few, so orders are written to their directories without a shuffle.
 MOVED = (CUSTOMER, PART, ORDERS, LINEITEM, EVENTS)
 
@@ -420,42 +432,56 @@ def replaced_load(spark, sf_dir):
     return stored.read(ORDERS)
 
 
+def revised_documents(docs: DataFrame) -> DataFrame:
+    """Documents as later deliveries of three sources leave them: some gone, some revised, some added."""
+    odd = F.col("n_chars") % 2 == 1
+    gone = (F.col("source") == "src3") & odd
+    revised = (F.col("source") == "src5") & odd
+    added = docs.where((F.col("source") == "src7") & odd).withColumn("doc_id", -1 - F.col("doc_id"))
+    text = F.when(revised, F.concat("text", F.lit(" (revised)"))).otherwise(F.col("text"))
+    n_chars = F.when(revised, F.col("n_chars") + 10).otherwise(F.col("n_chars"))
+    return docs.where(~F.coalesce(gone, F.lit(False))).withColumns({"text": text, "n_chars": n_chars}).unionByName(added)
+
+
+#: The sources that are delivered again, as a condition on the directory key.
+REVISED = "source IN ('src3', 'src5', 'src7')"
+
+
 def _two_loads(spark, sf_dir, label, ranges=None):
-    """Orders in a warehouse, and as a second load what a faulty restore could have left of them."""
-    given, stored = table(spark, sf_dir, "orders"), warehouse(spark, label)
-    first = stored.write(convert.conform(given, ORDERS), ORDERS, gather=False, ranges=ranges)
-    second = stored.write(convert.conform(changed_orders(given), ORDERS), ORDERS, gather=False, ranges=ranges)
+    """Documents in a warehouse, and a second load in which three sources are delivered again."""
+    docs, stored = table(spark, sf_dir, "documents"), warehouse(spark, label)
+    first = stored.write(docs, DOCUMENTS, ranges=ranges)
+    second = stored.reload(revised_documents(docs).where(REVISED), DOCUMENTS, only=F.expr(REVISED))
     return stored, first.id, second.id
 
 
 def partial_reload(spark, sf_dir):
-    """Directories F and P are delivered again, P without any row; O stays where it is."""
-    orders = convert.conform(table(spark, sf_dir, "orders"), ORDERS)
-    stored = warehouse(spark, "partial")
-    stored.write(orders, ORDERS, gather=False)
-    dearer = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(19,4)"))
-    stored.reload(dearer, ORDERS, only=F.col("o_orderstatus").isin("F", "P"), gather=False)
-    return stored.read(ORDERS)
+    """Three sources are delivered again, one of them without any row; all others stay where they are."""
+    docs, stored = table(spark, sf_dir, "documents"), warehouse(spark, "partial")
+    stored.write(docs, DOCUMENTS)
+    fresh = revised_documents(docs).where(REVISED).where("source <> 'src3'")
+    stored.reload(fresh, DOCUMENTS, only=F.expr(REVISED))
+    return stored.read(DOCUMENTS)
 
 
 def change_feed(spark, sf_dir):
     stored, first, second = _two_loads(spark, sf_dir, "feed")
-    return loads.feed_between(stored, ORDERS, first, second)
+    return loads.feed_between(stored, DOCUMENTS, first, second)
 
 
 def feed_applied(spark, sf_dir):
     """The changes from one load to the next are applied to a copy of the first in another warehouse."""
     stored, first, second = _two_loads(spark, sf_dir, "feed-from")
     copy = warehouse(spark, "feed-to")
-    copy.write(stored.read(ORDERS, first), ORDERS, gather=False)
-    loads.apply_feed(copy, ORDERS, loads.feed_between(stored, ORDERS, first, second))
-    return copy.read(ORDERS)
+    copy.write(stored.read(DOCUMENTS, first), DOCUMENTS, gather=False)
+    loads.apply_feed(copy, DOCUMENTS, loads.feed_between(stored, DOCUMENTS, first, second))
+    return copy.read(DOCUMENTS)
 
 
 def load_difference(spark, sf_dir):
     """Two loads compared by the digests kept with them; the rows of ranges that differ are read."""
-    stored, first, second = _two_loads(spark, sf_dir, "difference", Ranges("o_orderkey", 1000))
-    return loads.load_difference(stored, ORDERS, first, second)
+    stored, first, second = _two_loads(spark, sf_dir, "difference", Ranges("doc_id", 1000))
+    return loads.load_difference(stored, DOCUMENTS, first, second)
 
 
 def layout_change(spark, sf_dir):
