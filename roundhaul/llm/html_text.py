@@ -2,8 +2,9 @@
 
 A page is read into blocks of text, each marked by the elements around it: part of an article,
 part of a page's frame (menus, headers, footers, side bars, notices, adverts, forms, comments),
-or open. Inside an article only elements, roles and whole class names of containers make a frame, as
-ids and parts of names there come from headings. The token streams of a host's pages are put one after another and their suffixes
+or open. A class or id makes a frame if it names nothing else (`site-header`, not `has-sidebar`), and an
+article or main part inside such a container, or in a form, is no part of the frame; around cards, replies
+and adverts it is. Inside an article whole class names of containers count, not ids. The token streams of a host's pages are put one after another and their suffixes
 sorted by the first `run_words` tokens; a run of that many tokens that stands on two distinct
 pages covers its tokens as boilerplate, longer repeats are covered by the runs in them. Covered
 tokens are cut out of open blocks and the unique runs stay, also beside an article. What a page
@@ -16,8 +17,9 @@ its pages and the repeated ones are sent back to the buckets that hold them, so
 repeated doesn't depend on the host's size. Where no large host has open blocks, nothing is counted.
 
 NULL and empty pages have the empty text. A page without a host is grouped with others without
-one. Unclosed elements, comments and scripts end with the page. Repeated rows of a page_id are
-one page: what they share is no repeat. Whole pages are read.
+one. Unclosed elements, comments and scripts end with the page, unclosed pictures and players with the
+block around them. Repeated rows of a page_id are one page: what they share is no repeat; rows without
+a page_id are told apart by their html. Whole pages are read.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +41,13 @@ from roundhaul.llm.common import mix64, reachable
 from roundhaul.llm.hashing import range_hashes
 
 RUN_WORDS = 8
-BUCKET_PAGES = 256
+#: Pages of a bucket, and bytes of their html, on average; larger hosts are dealt into several.
+BUCKET_PAGES, BUCKET_BYTES = 256, 64 * 1024**2
 #: Hosts whose page counts are sent to every task, at most; with more of them, they are joined.
 SENT_HOSTS = 100_000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|svg|iframe|textarea|select|title|math|object|canvas|video|audio)\b[^>]*+>"
-    r".*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?][^>]*+>"
     r"|(?P<text>[^<]++|<)",
@@ -65,6 +68,10 @@ HELD = frozenset(
 )
 FRAME_ELEMENTS = frozenset("nav footer aside form button menu dialog head header fieldset label".split())
 FRAME_ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar".split())
+#: Elements whose content is no text of the page. Where they aren't closed, the first last to the page's end, the second
+#: to the end of the block around them.
+RAW = frozenset("script style template textarea title".split())
+EMBEDDED = frozenset("noscript svg iframe select object canvas video audio".split())
 #: Words of a class or an id that name a part of the frame.
 FRAME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
@@ -72,12 +79,31 @@ FRAME_WORDS = frozenset(
     "masthead topbar header comment comments disqus replies share sharing social related recommended newsletter subscribe "
     "subscription signup login search pagination pager toolbar form".split()
 )
+#: Those of them that frame whole articles, such as cards and replies.
+CARD_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar widget comment comments disqus "
+    "replies related recommended".split()
+)
+#: Words that may stand beside them in one name without another meaning.
+BESIDE = frozenset(
+    "site page main global top bottom left right primary secondary box bar slot unit item items list links block section area "
+    "container posts articles stories".split()
+)
 #: Elements that can't hold a block: where they aren't closed, the next block ends them.
 LINES = frozenset("p h1 h2 h3 h4 h5 h6 dt summary caption legend".split())
 ARTICLE_WORDS = frozenset("article post story entry".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 ARTICLE, MAIN, OPEN, FRAME = 0, 1, 2, 3
+#: Frames that an article in them is no part of: by their name, and forms, which may hold a whole page.
+NAMED, FORM = 4, 5
+
+
+def _frame_words(token: str) -> set[str]:
+    """The frame words of a class or an id, if it says nothing else: `site-header`, but not `has-sidebar`."""
+    parts = set(NAME_PARTS.findall(token))
+    found = parts & FRAME_WORDS
+    return found if all(part in FRAME_WORDS or part in BESIDE or part.isdigit() for part in parts) else set()
 
 
 def _mark(name: str, attrs: str, inside: int) -> int:
@@ -85,29 +111,29 @@ def _mark(name: str, attrs: str, inside: int) -> int:
     if inside == FRAME:
         return FRAME
     found = {m[0].lower(): m[1].strip("\"'").lower() for m in ATTRIBUTE.findall(attrs)} if attrs.strip() else {}
-    words = {part for key in ("class", "id") for part in NAME_PARTS.findall(found.get(key, ""))}
-    names = set(found.get("class", "").split())
-    if name in LINES:
-        framing = set() if inside == ARTICLE else names
-    elif inside == ARTICLE:
-        framing = names
-    else:
-        framing = words
-    if name in FRAME_ELEMENTS and not (name == "header" and inside == ARTICLE):
-        return FRAME
-    if "hidden" in found or found.get("role") in FRAME_ROLES:
-        return FRAME
-    if framing & FRAME_WORDS and name not in ("html", "body", "article", "main"):
+    role, classes = found.get("role"), found.get("class", "").split()
+    form = name == "form" or role == "form"
+    if name in FRAME_ELEMENTS and not form and not (name == "header" and inside == ARTICLE):
         return FRAME
-    if name in ("article", "main") and any(n == "comments" or NAME_PARTS.findall(n)[:1] == ["comment"] for n in names):
+    if "hidden" in found or role in FRAME_ROLES and not form or form and inside == ARTICLE:
         return FRAME
-    if inside == ARTICLE or name == "article" or found.get("role") == "article":
-        return ARTICLE
-    if name == "main" or found.get("role") == "main":
-        return MAIN
-    if inside == OPEN and words & ARTICLE_WORDS:
-        return MAIN
-    return inside
+    if name in ("article", "main") or role in ("article", "main"):
+        if any(n == "comments" or NAME_PARTS.findall(n)[:1] == ["comment"] for n in classes):
+            return FRAME
+        return ARTICLE if inside == ARTICLE or "article" in (name, role) else MAIN
+    if name in LINES:
+        framing = set() if inside == ARTICLE else FRAME_WORDS.intersection(classes)
+        return FRAME if framing else inside
+    if inside == ARTICLE:
+        return FRAME if FRAME_WORDS.intersection(classes) else ARTICLE
+    if name not in ("html", "body"):
+        framing = {word for token in (*classes, found.get("id", "")) for word in _frame_words(token)}
+        if framing:
+            return FRAME if framing & CARD_WORDS else NAMED
+    if form:
+        return FORM if inside == OPEN else inside
+    words = {part for token in (*classes, found.get("id", "")) for part in NAME_PARTS.findall(token)}
+    return MAIN if inside in (OPEN, FORM) and words & ARTICLE_WORDS else inside
 
 
 def blocks_of(page: str) -> list[tuple[int, str]]:
@@ -115,7 +141,8 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     held: list[str] = []
     stack: list[tuple[str, int]] = []
-    part = OPEN
+    ends: dict[str, list[int]] = {}
+    part, at = OPEN, 0
 
     def flush() -> None:
         text = " ".join("".join(held).split())
@@ -123,20 +150,44 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             out.append((part, text))
         held.clear()
 
-    for match in TOKEN.finditer(page):
+    def closed(name: str) -> int:
+        """Where the element that just began is closed; -1 if nowhere."""
+        if name not in ends:
+            ends[name] = [m.end() for m in re.finditer(rf"</{name}\s*>", page, re.IGNORECASE)]
+        place = bisect_left(ends[name], at + 1)
+        return ends[name][place] if place < len(ends[name]) else -1
+
+    while at < len(page):
+        match = TOKEN.match(page, at)
+        at = match.end()
         text = match["text"]
         if text is not None:
             held.append(html.unescape(text))
             continue
-        name = (match["name"] or "").lower()
+        name, opens = (match["name"] or "").lower(), not match["close"]
+        if opens and (name in RAW or name in EMBEDDED):
+            if name in EMBEDDED and match["attrs"].rstrip().endswith("/"):
+                continue
+            end = closed(name)
+            if end >= 0:
+                at = end
+            elif name in RAW:
+                break
+            else:
+                flush()
+                stack.append((name, part))
+                part = FRAME
+            continue
         if name in ("br", "wbr"):
             held.append(" " if name == "br" else "")
         if name in BLOCK:
             flush()
-            if not match["close"] and stack and stack[-1][0] in LINES:
+            while stack and stack[-1][0] in EMBEDDED:
+                part = stack.pop()[1]
+            if opens and stack and stack[-1][0] in LINES:
                 part = stack.pop()[1]
         if name in HELD and name not in VOID:
-            if not match["close"]:
+            if opens:
                 inner = _mark(name, match["attrs"], part)
                 if inner != part:
                     flush()
@@ -152,12 +203,12 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 if flush_part != part:
                     flush()
                     part = flush_part
-        elif name and not match["close"] and name not in VOID and name in BLOCK and match["attrs"].strip():
+        elif name and opens and name not in VOID and name in BLOCK and match["attrs"].strip():
             # A paragraph or heading that names itself part of the frame: it lasts to its end tag or the next block.
             if _mark(name, match["attrs"], part) == FRAME and part != FRAME:
                 stack.append((name, part))
                 part = FRAME
-        elif match["close"] and stack and stack[-1][0] == name:
+        elif not opens and stack and stack[-1][0] == name:
             flush()
             part = stack.pop()[1]
     flush()
@@ -165,10 +216,17 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
 
 
 def main_parts(blocks: list[tuple[int, str]]) -> list[tuple[int, str]]:
-    """The blocks with the page's best mark kept as ARTICLE, its frame as FRAME, all others as OPEN."""
-    kinds = {part for part, _ in blocks}
-    best = ARTICLE if ARTICLE in kinds else MAIN
-    return [(ARTICLE if part == best else FRAME if part == FRAME else OPEN, text) for part, text in blocks]
+    """The blocks with the page's best mark kept as ARTICLE, its frame as FRAME, all others as OPEN.
+
+    A form on a page without an article or main part is open if it holds most of what is open.
+    """
+    size = Counter()
+    for part, text in blocks:
+        size[part] += len(text)
+    best = ARTICLE if size[ARTICLE] else MAIN
+    whole_page = not size[best] and size[FORM] > size[OPEN]
+    kinds = {best: ARTICLE, FRAME: FRAME, NAMED: FRAME, FORM: OPEN if whole_page else FRAME}
+    return [(kinds.get(part, OPEN), text) for part, text in blocks]
 
 
 def repeated_tokens(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarray:
@@ -316,7 +374,7 @@ def page_runs(length: int, touching_open: bool):
 
 def repeats(asked: DataFrame, run_words: int) -> DataFrame:
     """place and run for each run of (page_id, html, host, place) that touches an open block and stands on two pages of its host."""
-    runs = asked.select("host", "html", F.xxhash64("page_id").alias("owner"))
+    runs = asked.select("host", "html", "owner")
     runs = runs.mapInArrow(page_runs(run_words, False), "run long, owner long")
     runs = runs.groupBy("run").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
     asks = asked.select("host", "html", "place").mapInArrow(page_runs(run_words, True), "run long, place long").distinct()
@@ -327,13 +385,16 @@ def extract(pages: DataFrame, run_words: int = RUN_WORDS, bucket_pages: int = BU
     """page_id, url, text and n_chars for each row of (page_id, url, html)."""
     reachable(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
-    given = pages.select("page_id", "url", "html", host.alias("host"))
-    large = given.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > bucket_pages)
+    # What tells pages apart: the id, or the html where there is none.
+    owner = F.when(F.col("page_id").isNotNull(), F.xxhash64("page_id")).otherwise(F.xxhash64(F.lit("html"), "html"))
+    given = pages.select("page_id", "url", "html", host.alias("host"), owner.alias("owner"))
+    parts = F.greatest(F.ceil(F.count("*") / bucket_pages), F.ceil(F.sum(F.octet_length("html")) / BUCKET_BYTES))
+    large = given.groupBy("host").agg(parts.alias("n")).where(F.col("n") > 1)
     n_large = large.limit(SENT_HOSTS + 1).count()
     if n_large <= SENT_HOSTS:
         large = F.broadcast(large)
-    bucket = F.pmod(F.xxhash64("page_id"), F.coalesce(F.ceil(F.col("n") / bucket_pages), F.lit(1)))
-    dealt = given.join(large, "host", "left").select("page_id", "url", "html", "host", bucket.alias("bucket"), "n")
+    bucket = F.pmod("owner", F.coalesce("n", F.lit(1)))
+    dealt = given.join(large, "host", "left").select("page_id", "url", "html", "host", "owner", bucket.alias("bucket"), "n")
     asking = []
     if n_large:
         asking = given.join(large, "host").select("host", "html").mapInArrow(hosts_asking, "host string")
@@ -345,20 +406,20 @@ def extract(pages: DataFrame, run_words: int = RUN_WORDS, bucket_pages: int = BU
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 rows = parsed(part.column(2))
-                columns = [part.column(name) for name in ("page_id", "url", "host", "bucket")]
+                columns = [part.column(name) for name in ("page_id", "url", "host", "owner", "bucket")]
                 parts = pa.array([[p for p, _ in row] for row in rows], pa.list_(pa.int8()))
                 texts = pa.array([[t for _, t in row] for row in rows], pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, parts, texts], ["page_id", "url", "host", "bucket", "parts", "texts"]
+                    [*columns, parts, texts], ["page_id", "url", "host", "owner", "bucket", "parts", "texts"]
                 )
 
-    schema = f"page_id {kind}, url string, host string, bucket long, parts array<tinyint>, texts array<string>"
+    schema = f"page_id {kind}, url string, host string, owner long, bucket long, parts array<tinyint>, texts array<string>"
     blocks = dealt.drop("n").mapInArrow(read, schema)
 
     def joined(table: pa.Table, repeated: np.ndarray | None = None) -> pa.Table:
         rows = zip(table.column("parts").to_pylist(), table.column("texts").to_pylist(), strict=True)
         held = [list(zip(parts, texts, strict=True)) for parts, texts in rows]
-        texts = main_texts(held, table.column("page_id").to_pylist(), run_words, table.column("host")[0].as_py(), repeated)
+        texts = main_texts(held, table.column("owner").to_pylist(), run_words, table.column("host")[0].as_py(), repeated)
         sizes = pa.array([len(text) for text in texts], pa.int64())
         return pa.table([table.column("page_id"), table.column("url"), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
@@ -375,7 +436,7 @@ def extract(pages: DataFrame, run_words: int = RUN_WORDS, bucket_pages: int = BU
 
     place = F.xxhash64("host", "bucket")
     if len(asking) > SENT_HOSTS:
-        asked = dealt.where(F.col("n") > bucket_pages)
+        asked = dealt.where("n > 1")
     else:
         asked = dealt.join(F.broadcast(pages.sparkSession.createDataFrame(asking, "host string")), "host")
     answers = repeats(asked.withColumn("place", place), run_words)

@@ -1,0 +1,110 @@
+"""Articles inside odd containers, embedded elements, pages without ids, and the run finder by brute force."""
+
+import numpy as np
+import pytest
+
+from roundhaul.llm import html_text
+
+BODY = "<article><p>a</p></article>"
+
+
+def kept(page):
+    return [text for part, text in html_text.main_parts(html_text.blocks_of(page)) if part != html_text.FRAME]
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        '<div class="content-area has-sidebar">', '<div class="no-header">', '<form id="aspnetForm">', '<table class="form"><tr><td>',
+        '<div id="page-header-wrap">', '<div class="layout side-by-side">', '<div class="modal"><div class="x">', '<div id="header">',
+        '<div class="form"><div class="menu-toolbar">', '<form class="x"><div role="main">',
+    ],
+)
+def test_containers_do_not_cover_an_article(before):
+    assert kept(f"<body>{before}{BODY}</body>") == ["a"]
+
+
+@pytest.mark.parametrize("before", ['<div id="page-header-wrap">', '<div class="layout side-by-side">', '<div class="has-sidebar">', "<form>"])
+def test_containers_of_a_whole_page_stay_open(before):
+    assert kept(f"<nav>m</nav>{before}<div><p>a long text</p></div></div>") == ["a long text"]
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        '<div class="site-header">x</div>', '<div id="sidebar">x</div>', '<div class="related-posts"><article>x</article></div>',
+        '<div class="comments"><article>x</article></div>', '<form><input>x</form>', '<div class="ad-slot">x</div>', "<aside><article>x</article></aside>",
+        '<div class="cookie-notice-bar">x</div>', '<div role="search">x</div>', '<table class="menu"><tr><td>x</table>',
+    ],
+)
+def test_frames_are_left_out(frame):
+    assert kept(f"{frame}{BODY}{frame}") == ["a"]
+    assert kept(f"{frame}<div><p>a</p><p>long enough to be the page</p></div>") == ["a", "long enough to be the page"]
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<p>a <svg class="i"/> b</p><p>c</p>', ["a b", "c"]),
+        ("<p>a <svg><title>x</title></svg> b</p><p>c</p>", ["a b", "c"]),
+        ("<p>a <svg><text>x</p><p>c</p>", ["a", "c"]),
+        ("<div><p>a</p><video src=x>none<p>b</p></div><p>c</p>", ["a", "b", "c"]),
+        ("<p>a <object data=x/> b</p>", ["a b"]),
+        ("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p>", ["a x=2 b"]),
+        ("<p>a</p><script>x", ["a"]),
+        ("<p>a</p><script>x</script ><p>b", ["a", "b"]),
+        ("<p>a</p><SVG><g></SVG><p>b", ["a", "b"]),
+        ("<p>1 < 2 & 3 &lt; 4</p>", ["1 < 2 & 3 < 4"]),
+        ("<p>a<!-- x --> b<!-- x", ["a b"]),
+    ],
+)
+def test_embedded_elements(page, text):
+    assert kept(f"<article>{page}</article>") == text
+    assert kept(page) == text
+
+
+def test_many_unclosed_elements():
+    page = "<article>" + "<p>a <video> x" * 20_000 + "</article>"
+    assert len(kept(page)) == 20_000
+
+
+def runs(pages, length):
+    """Tokens in a run of `length` that stands on two pages."""
+    places = {}
+    for i, page in enumerate(pages):
+        for k in range(len(page) - length + 1):
+            places.setdefault(tuple(page[k : k + length]), []).append((i, k))
+    covered = [[False] * len(page) for page in pages]
+    for found in places.values():
+        if len({i for i, _ in found}) > 1:
+            for i, k in found:
+                covered[i][k : k + length] = [True] * length
+    return [c for page in covered for c in page]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_run_finder(seed):
+    rng = np.random.default_rng(seed)
+    length = int(rng.integers(1, 9))
+    pages = [rng.integers(0, rng.integers(1, 6), rng.integers(0, 60)).tolist() for _ in range(rng.integers(1, 8))]
+    tokens = np.array([t for page in pages for t in page], np.uint64)
+    owner = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
+    assert html_text.repeated_tokens(tokens, owner, length).tolist() == runs(pages, length)
+
+
+def told(label):
+    return " ".join(f"{label}{i}" for i in range(12))
+
+
+@pytest.mark.parametrize("bucket_pages", [2, 1000])
+def test_pages_without_an_id_and_odd_rows(spark, bucket_pages):
+    shared = told("shared")
+    pages = [(None, "http://h/1", f"<div>{told('one')}</div><div>{shared}</div>")] * 2
+    pages += [(None, "http://h/2", f"<div>{told('two')}</div><div>{shared}</div>"), (7, "http://h/3", f"<div>{told('three')}</div>")]
+    pages += [(8, "http://h/4", None), (9, "http://h/5", ""), (10, None, f"<div>{shared}</div>"), (11, "http://g/1", f"<p>{shared}")]
+    frame = spark.createDataFrame([(*p, "x", 1) for p in pages], "page_id long, url string, html string, host string, owner int")
+    found = html_text.extract(frame, bucket_pages=bucket_pages).collect()
+    texts = sorted(((r["page_id"] or 0, r["text"]) for r in found))
+    expected = [(0, told("one"))] * 2 + [(0, told("two")), (7, told("three")), (8, ""), (9, ""), (10, shared), (11, shared)]
+    assert texts == sorted(expected)
+    assert html_text.extract(frame.where("false"), bucket_pages=bucket_pages).collect() == []
