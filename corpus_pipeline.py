@@ -1,7 +1,12 @@
 """A corpus pipeline of four operators: quality, near duplicates, secrets, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and
-read again as the next stage's documents. All but the last return the columns of `documents`.
+read again as the next stage's documents. All but the last return the columns of `documents`, whatever
+further columns there are and however they are named; those are passed on unseen.
+
+Odd rows: a NULL text counts as the empty one in every stage, and whole texts are read, whatever
+their length. Rows that repeat are rows of their own, but where near duplicates go, all rows of a
+doc_id go or stay together. Rows without a doc_id go through every stage and are near duplicates of nothing.
 An empty table passes through every stage as an empty table.
 """
 
@@ -16,17 +21,17 @@ from roundhaul.llm.common import Scratch
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality classifier rejects."""
+    """Drop the documents that the quality classifier rejects; equal texts score alike. Without labels all score 0.5 and go."""
     return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: five words a shingle, 80 %."""
+    """Keep one document of each group of near duplicates: five words a shingle, 80 %; texts without words all stay."""
     return minhash.one_of_each(docs, Scratch(spark, "near-duplicates"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace every secret in a text with a mask; all documents stay, `n_chars` follows the text."""
+    """Replace every secret in a text with a mask; all documents stay, `n_chars` follows the text (NULL for a NULL text)."""
     text = secrets.redacted(spark, "text", public_tokenizers.path("byte_bpe_50k.tiktoken"))
     cleaned = docs.withColumn("text", text)
     if "n_chars" in docs.columns:
@@ -36,7 +41,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document, with a digest of its ids."""
+    """The place of every piece of every document, with a digest of its ids; an empty text is one piece of one id."""
     rows = pieces.token_pieces(
         docs, public_tokenizers.path("word_bpe_49k.json"), "word", packing.CAPACITY, packing.END_ID
     )

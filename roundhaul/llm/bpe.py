@@ -47,6 +47,7 @@ class WordBpe:
         self.words = regex.compile(f"{BETWEEN}|{WORDS}")
         self.letters = dict(enumerate(byte_letters()))
         self.known: dict[str, list[int]] = {}
+        self.largest = max(self.library.get_vocab().values())
         self.table = ChunkTable(self._segment)
 
     def _word(self, word: str) -> list[int]:
@@ -87,6 +88,7 @@ class ByteBpe:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.library = tiktoken.Encoding(path, pat_str=SPACED_WORDS, mergeable_ranks=ranks, special_tokens={})
         self.size = len(ranks)
+        self.largest = max(ranks.values())
         self.table = ChunkTable(self._segment)
 
     def _segment(self, chunks: list[bytes]) -> list[list[int]]:

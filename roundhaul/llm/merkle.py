@@ -34,8 +34,9 @@ from roundhaul.llm.hashing import range_hashes
 
 #: Words in a span, and paragraphs in a section, on average; words of a paragraph that is cut at each.
 SPAN_WORDS, SECTION_PARAGRAPHS, SHORT_PARAGRAPH = 8, 4, 16
-#: Documents in one range of ids.
-SLOT_ROWS = 2000
+#: Documents in one range of ids, at least, and ranges for each partition of a shuffle, at most: enough for
+#: partitions of like size, and a number that the session's settings bound, not the rows.
+SLOT_ROWS, SLOTS_PER_PARTITION = 2000, 4
 #: Groups for rows without an id.
 LOOSE_SLOTS = 64
 
@@ -146,12 +147,15 @@ def followed(docs: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
 
     Rows are dealt into ranges of ids whose upper ends are ids that occur. So the row after a
     range's last is the one with the upper end of the range below, and a copy of it is added:
-    one shuffle by range, no global order.
+    one shuffle by range, no global order. A range is sorted by Spark, which spills; no range is held.
+    There are no more ranges than a few for each partition of a shuffle, so their ends, which the driver sends to
+    all tasks, don't grow with the rows.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     reachable(docs.sparkSession)
     rows = docs.agg(F.count("doc_id").alias("n"), F.max("doc_id").alias("most")).first()
-    slots = -(-rows["n"] // slot_rows)
+    most = SLOTS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = min(-(-rows["n"] // slot_rows), most)
     ends = np.zeros(0, np.int64)
     if slots:
         shares = F.percentile_approx("doc_id", [i / slots for i in range(1, slots)] or [1.0], max(10_000, 20 * slots))

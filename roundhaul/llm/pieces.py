@@ -31,13 +31,15 @@ def token_pieces(docs: DataFrame, vocabulary: str, kind: str, longest: int, end_
 
     A document's ids are those of its whole text (NULL: empty) and then `end_id`; only documents
     of more than `longest` ids are cut, and their pieces in order hold all ids. `ids` holds the
-    numbers in the given fixed width. Rows that repeat are kept, each with its pieces; other
+    numbers in the given fixed width; a vocabulary with ids beyond it stops the job. Rows that repeat are kept, each with its pieces; other
     columns of `docs` are left out.
     """
     reachable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ENCODERS[kind](vocabulary)
+        if max(encoder.largest, end_id) > np.iinfo(width).max:
+            raise ValueError(f"{vocabulary}: the id {max(encoder.largest, end_id)} does not fit numbers of the type {width}")
         for batch in batches:
             done = 0
             for texts in text_blocks(batch.column(1)):
@@ -72,8 +74,9 @@ def shard_count(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
 def by_shard(pieces: DataFrame, shards: int, place: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """Deal the pieces into shards of like size and apply `place` to each shard's rows.
 
-    No shard depends on another, and a piece's shard depends on its content alone, so a lost
-    task gives the same rows again.
+    No shard depends on another. A piece's shard depends on its content and its place in its file, which
+    deals rows that repeat over all shards; a lost task reads the same places and gives the same rows again.
     """
-    spread = F.pmod(F.xxhash64("doc_id", "piece", "ids" if "ids" in pieces.columns else "ids_crc32"), F.lit(shards))
+    content = "ids" if "ids" in pieces.columns else "ids_crc32"
+    spread = F.pmod(F.xxhash64("doc_id", "piece", content, F.monotonically_increasing_id()), F.lit(shards))
     return pieces.withColumn(SHARD, spread).groupBy(SHARD).applyInArrow(place, schema)

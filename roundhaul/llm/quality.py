@@ -145,8 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
 
     given = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # Rows that repeat a doc_id count once, so the bound holds for any table.
-    known = given.dropDuplicates(["doc_id"]).withColumn("label", F.col("label").cast("double"))
+    # Rows that repeat a doc_id count once, by the first of their texts, so the bound holds for any table.
+    known = given.groupBy("doc_id").agg(F.first("label").cast("double").alias("label"), F.min("text").alias("text"))
     table = known.mapInArrow(described, f"doc_id {kind}, label double, terms binary").orderBy("doc_id").toArrow()
     if not table.num_rows:
         return Model(np.zeros((COLUMNS, 1)), np.zeros((0, 1)), np.zeros(0))
