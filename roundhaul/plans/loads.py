@@ -1,15 +1,16 @@
-"""Comparing the loads of a table, and carrying the changes between them over to another load."""
+"""Comparing the loads of a table, carrying changes over, histories, and compaction."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roundhaul.contracts import Contract, named
 from roundhaul.functions import digest
+from roundhaul.functions.convert import as_contract
 from roundhaul.operators.changes import applied, change_feed
 from roundhaul.operators.validate import differing_rows
 from roundhaul.session import local_table
@@ -147,3 +148,91 @@ def apply_feed(warehouse: Warehouse, contract: Contract, feed: DataFrame) -> Loa
         chosen = {name for held in places.values() for name in held}
     base = contract.from_stored(warehouse.in_places(contract, {n: [d for d in held if d in chosen] for n, held in places.items()}))
     return warehouse.replace(applied(base, feed), contract, chosen)
+
+
+def history(warehouse: Warehouse, contract: Contract, load_ids: list[int] | None = None) -> DataFrame:
+    """Every row of some loads (by default all that are kept) with the load it is valid from and the one it ends with.
+
+    ``valid_to`` is the first load that no longer has the row equally often, NULL while it is valid; ``copies`` is
+    how often the loads have it. Rows with ``valid_from <= n`` and ``valid_to`` NULL or beyond n make up load n.
+    Loads may have different layouts; all are brought to the contract. A directory that several loads name is read once.
+    One pass stacks the directories with the loads that see them; a row's copies in each load are summed up before
+    the one shuffle, and its spans follow from the changes between neighbours.
+    """
+    ids = sorted(warehouse.loads(contract.name) if load_ids is None else load_ids)
+    for name in ("valid_from", "valid_to", "copies"):
+        if name in contract.names:
+            raise ValueError(f"the table has a column named {name}")
+    seen: dict[tuple[int, str], list[int]] = {}
+    written = {}
+    for i, load_id in enumerate(ids):
+        shape = warehouse.described(contract.name, load_id).contract
+        for holder, directories in warehouse.places(contract.name, load_id).items():
+            for directory in directories:
+                seen.setdefault((holder, directory), []).append(i)
+                written.setdefault(holder, shape)
+    alike: dict[tuple[int, tuple[int, ...]], list[str]] = {}
+    for (holder, directory), loads in seen.items():
+        alike.setdefault((holder, tuple(loads)), []).append(directory)
+    span = "valid_from bigint, valid_to bigint, copies bigint"
+    if not alike:
+        empty = local_table(warehouse.spark, [], contract.schema)
+        return empty.select("*", *[F.lit(None).cast("bigint").alias(part.split()[0]) for part in span.split(", ")])
+    parts = []
+    for (holder, loads), directories in alike.items():
+        stored = warehouse.in_places(written[holder], {holder: directories})
+        rows = as_contract(written[holder].from_stored(stored), contract)
+        parts.append(rows.withColumn("_seen", F.array(*[F.lit(i) for i in loads])))
+    names = [named(name) for name in contract.names]
+    copies = [F.sum(F.when(F.array_contains("_seen", i), 1).otherwise(0)) for i in range(len(ids))]
+    counted = reduce(DataFrame.unionByName, parts).groupBy(*names).agg(F.array(*copies).alias("_copies"))
+    steps = F.sequence(F.lit(0), F.lit(len(ids) - 1))
+
+    def at(i: Column) -> Column:
+        return F.get(F.col("_copies"), i)
+
+    starts = F.filter(steps, lambda i: (at(i) > 0) & ((i == 0) | (at(i) != F.coalesce(at(i - 1), F.lit(0)))))
+    begun = counted.select(*names, "_copies", F.explode(starts).alias("_from"))
+    ends = F.filter(steps, lambda i: (i > F.col("_from")) & (at(i) != at(F.col("_from"))))
+    known = F.array(*[F.lit(load_id).cast("bigint") for load_id in ids])
+    return begun.select(
+        *names,
+        F.get(known, F.col("_from")).alias("valid_from"),
+        F.get(known, F.get(ends, F.lit(0))).alias("valid_to"),
+        at(F.col("_from")).alias("copies"),
+    )
+
+
+def compact(warehouse: Warehouse, contract: Contract, target_bytes: int = 256 * 1024**2) -> Load | None:
+    """A new load in which no directory has more files than its bytes need; None if none has.
+
+    Files are never mixed between directories. Directories with more files than ``target_bytes`` asks for are
+    rewritten, each into that many; all others are named where they lie. Rows of a directory are dealt over its
+    files by their hash, so a large directory is written by several tasks.
+    """
+    load_id = warehouse.require_load(contract.name)
+    sizes: dict[str, list[int]] = {}
+    places: Places = {}
+    for (holder, directory), held in warehouse.files(contract.name, load_id).items():
+        sizes.setdefault(directory, []).extend(held)
+        places.setdefault(holder, []).append(directory)
+    wanted = {directory: max(1, -(-sum(held) // target_bytes)) for directory, held in sizes.items()}
+    chosen = {directory for directory, held in sizes.items() if len(held) > wanted[directory]}
+    if not chosen:
+        return None
+    kept = {n: [d for d in held if d in chosen] for n, held in places.items()}
+    rows = contract.from_stored(warehouse.in_places(contract, kept))
+    count = sum(wanted[d] for d in chosen)
+    if contract.partitions:
+        keys = [p.key for p in contract.partitions]
+        days = [contract.day_of(p.column).alias(p.key) for p in contract.partitions if p.by_day]
+        counts = local_table(warehouse.spark, [(d, wanted[d]) for d in sorted(chosen)], "_name string, _files int")
+        held = warehouse.keyed(contract, kept).join(counts, F.col("_directory") == F.col("_name"))
+        held = held.select("_files", *[named(key).alias(f"_{key}") for key in keys])
+        same = reduce(lambda a, b: a & b, [named(key).eqNullSafe(named(f"_{key}")) for key in keys])
+        rows = rows.select("*", *days).join(held, same)
+        salt = F.pmod(F.xxhash64(*[named(name) for name in contract.names]), F.col("_files"))
+        rows = rows.withColumn("_part", salt).repartition(count, *[named(key) for key in keys], "_part")
+    else:
+        rows = rows.repartition(count)
+    return warehouse.replace(rows.select(*[named(name) for name in contract.names]), contract, chosen, gather=False)

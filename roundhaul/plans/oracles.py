@@ -1,7 +1,12 @@
-"""The same results in SQL, written against the given tables for an independent engine."""
+"""The same results in SQL, written against the given tables for an independent engine.
+
+Domain labels (segments, categories, payment methods, states, colours) and names of columns are fixed values.
+"""
 
 from __future__ import annotations
 
+from itertools import combinations
+
 COUNTED = ("customer", "part", "orders", "lineitem", "events")
 
 ALL_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS row_count FROM {t}" for t in COUNTED)
@@ -35,6 +40,57 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4))
 FROM orders
 """
 
+COLUMNS = {
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "lang", "source", "n_chars"],
+}
+
+
+def _unique(table: str, columns: tuple[str, ...]) -> str:
+    held = " AND ".join(f"count({c}) = count(*)" for c in columns)
+    grouped = f"NOT EXISTS (SELECT 1 FROM {table} GROUP BY {', '.join(columns)} HAVING count(*) > 1)"
+    return f"((SELECT count(*) > 0 AND {held} FROM {table}) AND {grouped})"
+
+
+def _keys() -> str:
+    """Every single column that is unique, and every pair that is, of columns that aren't."""
+    found = []
+    for table, columns in COLUMNS.items():
+        for c in columns:
+            found.append(f"SELECT '{table}' AS table_name, '{c}' AS key_columns WHERE {_unique(table, (c,))}")
+        for a, b in combinations(columns, 2):
+            alone = f"NOT {_unique(table, (a,))} AND NOT {_unique(table, (b,))}"
+            found.append(f"SELECT '{table}', '{a},{b}' WHERE {alone} AND {_unique(table, (a, b))}")
+    return " UNION ALL ".join(found)
+
+
+def _references() -> str:
+    """Whole-number columns whose values all occur in a key."""
+    keys = {"customer": "c_custkey", "part": "p_partkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
+    whole = {
+        "customer": ["c_custkey", "c_nationkey"], "part": ["p_partkey", "p_size"], "orders": ["o_orderkey", "o_custkey"],
+        "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], "events": ["event_id", "user_id"],
+        "documents": ["doc_id"], "labels": ["doc_id"],
+    }
+    found = [
+        f"SELECT '{t}' AS child, '{c}' AS child_column, '{p}' AS parent, '{k}' AS parent_column "
+        f"WHERE (SELECT count({c}) > 0 FROM {t}) "
+        f"AND NOT EXISTS (SELECT 1 FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {p} WHERE {k} IS NOT NULL))"
+        for t, columns in whole.items()
+        for c in columns
+        for p, k in keys.items()
+        if (t, c) != (p, k)
+    ]
+    return " UNION ALL ".join(found)
+
+
 # Both loads of the documents: as they were, and after three sources were delivered again.
 TWO_LOADS = """
 before_ AS (SELECT doc_id, text, lang, source, n_chars FROM documents),
@@ -246,6 +302,39 @@ ORACLES: dict[str, str] = {
           SELECT *, 'target' AS only_in FROM (SELECT * FROM after_ EXCEPT ALL SELECT * FROM before_)
         )
         SELECT *, count(*) AS copies FROM found GROUP BY ALL""",
+    "validity_history": f"""
+        WITH {TWO_LOADS}
+        SELECT b.*, 1 AS valid_from,
+               CASE WHEN a.doc_id IS NULL OR a.text IS DISTINCT FROM b.text OR a.n_chars IS DISTINCT FROM b.n_chars THEN 2 END
+                 AS valid_to, 1 AS copies
+        FROM before_ b LEFT JOIN after_ a USING (doc_id)
+        UNION ALL
+        SELECT a.*, 2, CASE WHEN a.source = 'src5' THEN 3 END, 1
+        FROM after_ a LEFT JOIN before_ b USING (doc_id)
+        WHERE b.doc_id IS NULL OR a.text IS DISTINCT FROM b.text OR a.n_chars IS DISTINCT FROM b.n_chars
+        UNION ALL
+        SELECT *, 3, NULL, 1 FROM before_ WHERE source = 'src5' AND n_chars % 2 = 1""",
+    "compacted": "SELECT source, count(*) AS row_count, 1 AS files FROM documents GROUP BY source",
+    "profile_range": " UNION ALL ".join(
+        f"""
+        SELECT '{name}' AS column_name, '{kind}' AS column_type, {place} AS position, {int(name != "doc_id")} AS nullable,
+               count(*) AS row_count, count(*) - count({name}) AS null_count, CAST(min({bound}) AS VARCHAR) AS min_value,
+               CAST(max({bound}) AS VARCHAR) AS max_value, count(DISTINCT {name}) AS distinct_count, true AS distinct_close,
+               {"true" if kind == "bigint" else "CAST(NULL AS BOOLEAN)"} AS quartiles_close
+        FROM documents WHERE source < 'src2'"""
+        for place, (name, kind, bound) in enumerate(
+            [
+                ("doc_id", "bigint", "doc_id"),
+                ("text", "string", "substring(text, 1, 256)"),
+                ("lang", "string", "lang"),
+                ("source", "string", "source"),
+                ("n_chars", "bigint", "n_chars"),
+            ],
+            start=1,
+        )
+    ),
+    "discovered_keys": _keys(),
+    "discovered_references": _references(),
     "row_count_match": f"""
         WITH {CHANGED_ORDERS}, n AS (
           SELECT (SELECT count(*) FROM orders) AS source_rows,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from roundhaul.contracts import Contract, ForeignKey
 from roundhaul.functions import convert, derive
-from roundhaul.operators import audit, evolve, stats, validate
+from roundhaul.operators import audit, discover, evolve, stats, validate
 from roundhaul.plans import jobs, loads
 from roundhaul.plans.targets import WarehouseTarget
 from roundhaul.session import fresh_folder, local_table
@@ -117,6 +117,10 @@ DOCUMENTS = Contract.declare(
     key=["doc_id"],
     partition_by=["source"],
 )
+# The columns that others may refer to.
+REFERRED = {
+    "customer": ["c_custkey"], "part": ["p_partkey"], "orders": ["o_orderkey"], "events": ["event_id"], "documents": ["doc_id"]
+}
 # Order statuses are few, so orders are written to their directories without a shuffle.
 MOVED = (CUSTOMER, PART, ORDERS, LINEITEM, EVENTS)
 
@@ -484,6 +488,70 @@ def load_difference(spark, sf_dir):
     return loads.load_difference(stored, DOCUMENTS, first, second)
 
 
+def validity_history(spark, sf_dir):
+    """Three loads of the documents: as given, three sources revised, one of those taken back."""
+    stored, _, _ = _two_loads(spark, sf_dir, "history")
+    docs = table(spark, sf_dir, "documents")
+    stored.reload(docs.where("source = 'src5'"), DOCUMENTS, only=F.col("source") == "src5")
+    return loads.history(stored, DOCUMENTS)
+
+
+def compacted(spark, sf_dir):
+    """Rows and files of each source after the small files of a load without a shuffle were put together."""
+    stored = warehouse(spark, "compact")
+    stored.write(table(spark, sf_dir, "documents").repartition(8), DOCUMENTS, gather=False)
+    loads.compact(stored, DOCUMENTS)
+    sizes = stored.files("documents", stored.newest("documents"))
+    names = stored.keyed(DOCUMENTS, stored.places("documents", stored.newest("documents")))
+    files = local_table(spark, [(d, len(held)) for (_, d), held in sizes.items()], "_directory string, files int")
+    rows = stored.read(DOCUMENTS).groupBy("source").agg(F.count(F.lit(1)).alias("row_count"))
+    files = names.join(files, "_directory").select(F.col("source").alias("held"), "files")
+    return rows.join(files, F.col("source").eqNullSafe(F.col("held"))).select("source", "row_count", "files")
+
+
+def profile_range(spark, sf_dir):
+    """Profiles kept with each source merged for some sources, beside exact counts, and whether the estimates are close."""
+    stored, wanted = warehouse(spark, "profile"), F.col("source") < "src2"
+    first = stored.write(table(spark, sf_dir, "documents"), DOCUMENTS)
+    stored.keep_profile(DOCUMENTS, first.id)
+    told = stored.profile(DOCUMENTS, only=wanted)
+    rows = stored.read(DOCUMENTS).where(wanted)
+    quartiles = {r["column_name"]: r["quartiles"] for r in told.where("quartiles IS NOT NULL").collect()}  # a row a column
+    ranks = [
+        F.struct(
+            F.lit(name).alias("name"),
+            *[(F.count_if(F.col(name) < value) / F.count(name)).alias(f"below{i}") for i, value in enumerate(found)],
+            *[(F.count_if(F.col(name) <= value) / F.count(name)).alias(f"up_to{i}") for i, value in enumerate(found)],
+        )
+        for name, found in quartiles.items()
+    ]
+    close = reduce(
+        lambda a, b: a & b, [(F.col(f"below{i}") <= q + 0.02) & (F.col(f"up_to{i}") >= q - 0.02) for i, q in enumerate((0.25, 0.5, 0.75))]
+    )
+    near = rows.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks")).select("name", close.alias("quartiles_close"))
+    exact = stats.profile_columns(rows, DOCUMENTS.required).select(F.col("column_name").alias("counted"), "distinct_count")
+    both = told.join(exact, F.col("counted") == F.col("column_name")).join(near, F.col("name") == F.col("column_name"), "left")
+    return both.select(
+        "column_name", "column_type", "position", "nullable", "row_count", "null_count", "min_value", "max_value", "distinct_count",
+        (F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= 0.08 * F.col("distinct_count")).alias("distinct_close"),
+        "quartiles_close",
+    )
+
+
+def discovered_keys(spark, sf_dir):
+    """The minimal keys of up to two columns that the rows of the five tables and of the documents' ids obey."""
+    held = {**tables(spark, sf_dir), "documents": table(spark, sf_dir, "documents").drop("text")}
+    found = [(name, ",".join(key)) for name, df in held.items() for key in discover.candidate_keys(df)]
+    return local_table(spark, found, "table_name string, key_columns string")
+
+
+def discovered_references(spark, sf_dir):
+    """Columns whose values all occur in a key of the tables."""
+    held = {**tables(spark, sf_dir), **{name: table(spark, sf_dir, name).select("doc_id") for name in ("documents", "labels")}}
+    found = discover.references(held, REFERRED)
+    return local_table(spark, found, "child string, child_column string, parent string, parent_column string")
+
+
 def layout_change(spark, sf_dir):
     """A load without directories, read by range with the contract of a later load that has them."""
     events = table(spark, sf_dir, "events")
@@ -721,6 +789,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         change_feed,
         feed_applied,
         load_difference,
+        validity_history,
+        compacted,
+        profile_range,
+        discovered_keys,
+        discovered_references,
         row_count_match,
         statistics_match,
         float_tolerance,

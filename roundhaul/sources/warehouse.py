@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundhaul.contracts import Contract, named
-from roundhaul.functions import digest
+from roundhaul.functions import digest, profiles
 from roundhaul.functions.convert import as_contract
 from roundhaul.functions.digest import Digest
 from roundhaul.session import local_table
@@ -111,16 +111,21 @@ def _literal(path: str) -> str:
     return re.sub(r"([][{}*?\\])", r"\\\1", path)
 
 
-def _parquet_files(spark: SparkSession, path: str) -> Iterator[str]:
-    """Parquet files below a directory, relative to it; what Spark takes as hidden is left out."""
+def _sized_files(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
+    """Parquet files below a directory, relative to it, and their bytes; what Spark takes as hidden is left out."""
     place, files = _place(spark, path)
     if not files.exists(place):
         return
     top, found = files.makeQualified(place).toUri(), files.listFiles(place, True)
     while found.hasNext():
-        name = top.relativize(found.next().getPath().toUri()).getPath()
+        status = found.next()
+        name = top.relativize(status.getPath().toUri()).getPath()
         if name.endswith(".parquet") and not any(part.startswith(("_", ".")) for part in name.split("/")):
-            yield name
+            yield name, status.getLen()
+
+
+def _parquet_files(spark: SparkSession, path: str) -> Iterator[str]:
+    return (name for name, _ in _sized_files(spark, path))
 
 
 def read_directory(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
@@ -354,7 +359,7 @@ class Warehouse:
 
     def _keep_leaves(self, contract: Contract, load_id: int, ranges: Ranges) -> None:
         """Digests of each range of each directory that a load holds itself."""
-        target = f"{self._digest_folder(contract.name)}/load={load_id}"
+        target = self.beside("digest", contract.name, load_id)
         if not self.directories(contract.name, load_id):
             local_table(self.spark, [], _LEAVES).write.parquet(target)
             return
@@ -365,20 +370,60 @@ class Warehouse:
         leaves = per_file.groupBy(directory_of(F.col("path"), load_id).alias("directory"), "start").agg(*totals)
         leaves.write.parquet(target)
 
-    def _digest_folder(self, table: str) -> str:
-        return f"{self.root}/{self.namespace}/{table}/digest"
+    def beside(self, kind: str, table: str, load_id: int) -> str:
+        """Where what was worked out of a load's own files is kept: its ``digest`` or its ``profile``."""
+        return f"{self.root}/{self.namespace}/{table}/{kind}/load={load_id}"
+
+    def read_beside(self, kind: str, table: str, load_id: int, schema: str) -> DataFrame:
+        """What is kept of all directories of a load, wherever they lie; each row has its ``directory``."""
+        found = [local_table(self.spark, [], schema)]
+        for holder, directories in self.places(table, load_id).items():
+            path = _literal(self.beside(kind, table, holder))
+            rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+            kept = local_table(self.spark, [(name,) for name in directories], "directory string")
+            found.append(rows.join(kept, "directory", "left_semi"))
+        return reduce(DataFrame.unionByName, found)
 
     def leaves(self, contract: Contract, load_id: int) -> DataFrame | None:
         """directory, start, rows and sums of each range of each directory of a load; None if they were not kept."""
         if self.described(contract.name, load_id).ranges is None:
             return None
-        found = [local_table(self.spark, [], _LEAVES)]
-        for holder, directories in self.places(contract.name, load_id).items():
-            path = _literal(f"{self._digest_folder(contract.name)}/load={holder}")
-            rows = self.spark.read.schema(_LEAVES).option("recursiveFileLookup", "true").parquet(path)
-            kept = local_table(self.spark, [(name,) for name in directories], "directory string")
-            found.append(rows.join(kept, "directory", "left_semi"))
-        return reduce(DataFrame.unionByName, found)
+        return self.read_beside("digest", contract.name, load_id, _LEAVES)
+
+    def keep_profile(self, contract: Contract, load_id: int) -> None:
+        """Keep a mergeable profile of each directory of a load; directories that have one are not read again."""
+        for holder in self.places(contract.name, load_id):
+            target = self.beside("profile", contract.name, holder)
+            if _children(self.spark, target):
+                continue
+            rows = self.in_places(contract, {holder: self.directories(contract.name, holder)})
+            path = F.col("_metadata.file_path") if self.directories(contract.name, holder) else F.lit("")
+            per_file = rows.groupBy(path.alias("path")).agg(*profiles.sketches(contract.stored_values(), contract.columns))
+            named_files = per_file.withColumn("directory", directory_of(F.col("path"), holder))
+            named_files.groupBy("directory").agg(*profiles.merges(contract.columns)).write.parquet(target)
+
+    def profile(self, contract: Contract, only: Column | None = None, as_of: int | None = None) -> DataFrame:
+        """One row per column over the directories that a condition on their keys holds for, or over all.
+
+        Nothing but the kept profiles is read (``keep_profile``).
+        """
+        load_id = self.require_load(contract.name, as_of)
+        kept = self.read_beside("profile", contract.name, load_id, profiles.schema(contract.columns))
+        if only is not None:
+            chosen = self.keyed(contract, self.places(contract.name, load_id)).where(only)
+            kept = kept.join(chosen.select(F.col(_DIRECTORY).alias("directory")), "directory", "left_semi")
+        return profiles.told(kept.agg(*profiles.merges(contract.columns)), contract.columns)
+
+    def files(self, table: str, load_id: int) -> dict[tuple[int, str], list[int]]:
+        """The sizes of the files in each directory of a load, under the load that holds it and its name."""
+        found: dict[tuple[int, str], list[int]] = {}
+        for holder, directories in self.places(table, load_id).items():
+            wanted = set(directories)
+            for name, size in _sized_files(self.spark, f"{self.folder(table)}/load={holder}"):
+                directory = name.rpartition("/")[0]
+                if directory in wanted:
+                    found.setdefault((holder, directory), []).append(size)
+        return found
 
     def newest(self, table: str, as_of: int | None = None) -> int | None:
         """The id of the newest finished load, or of the newest up to ``as_of``; None without one."""
@@ -463,7 +508,8 @@ class Warehouse:
             path = f"{self.folder(table)}/load={load_id}"
             if load_id not in named_still:
                 self._delete(path)
-                self._delete(f"{self._digest_folder(table)}/load={load_id}")
+                for kind in ("digest", "profile"):
+                    self._delete(self.beside(kind, table, load_id))
                 continue
             self._delete(f"{path}/{LAYOUT}")  # first of all, so that it no longer counts as a load
             for directory in self.directories(table, load_id):
