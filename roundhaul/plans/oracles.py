@@ -315,6 +315,8 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT *, 3, NULL, 1 FROM before_ WHERE source = 'src5' AND n_chars % 2 = 1""",
     "compacted": "SELECT source, count(*) AS row_count, 1 AS files FROM documents GROUP BY source",
+    "clustered_range": "SELECT * FROM documents WHERE doc_id BETWEEN 100 AND 600 AND n_chars BETWEEN 300 AND 900",
+    "restore_resumed": "SELECT doc_id, text, lang, source, n_chars, 'failed success' AS statuses FROM documents",
     "profile_range": " UNION ALL ".join(
         f"""
         SELECT '{name}' AS column_name, '{kind}' AS column_type, {place} AS position, {int(name != "doc_id")} AS nullable,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from roundhaul.contracts import Contract, ForeignKey
 from roundhaul.functions import convert, derive
 from roundhaul.operators import audit, discover, evolve, stats, validate
-from roundhaul.plans import jobs, loads
+from roundhaul.plans import jobs, loads, resume
 from roundhaul.plans.targets import WarehouseTarget
 from roundhaul.session import fresh_folder, local_table
 from roundhaul.sources.warehouse import NotMigrated, Ranges, Warehouse, count_by_table, read_directory
@@ -552,6 +552,13 @@ def discovered_references(spark, sf_dir):
     return local_table(spark, found, "child string, child_column string, parent string, parent_column string")
 
 
+def clustered_range(spark, sf_dir):
+    """A range of two columns that name no directory, read from files laid along a curve through both."""
+    stored = warehouse(spark, "cluster")
+    stored.write(table(spark, sf_dir, "documents"), DOCUMENTS, cluster=["doc_id", "n_chars"])
+    return stored.read(DOCUMENTS).where("doc_id BETWEEN 100 AND 600 AND n_chars BETWEEN 300 AND 900")
+
+
 def layout_change(spark, sf_dir):
     """A load without directories, read by range with the contract of a later load that has them."""
     events = table(spark, sf_dir, "events")
@@ -715,6 +722,27 @@ def restore_roundtrip(spark, sf_dir):
     return target.read(contract).withColumn("props", F.hex("props"))
 
 
+def restore_resumed(spark, sf_dir):
+    """The documents are restored by ranges into a target that fails half-way, and then the missing ranges are."""
+
+    class Failing(WarehouseTarget):
+        left = 2
+
+        def append(self, df, contract):
+            if not self.left:
+                raise ConnectionError("the target is gone")
+            self.left -= 1
+            super().append(df, contract)
+
+    stored, database = warehouse(spark, "resumed"), warehouse(spark, "resumed-target")
+    stored.write(table(spark, sf_dir, "documents"), DOCUMENTS)
+    ranges = Ranges("doc_id", 50)
+    failed = resume.restore_by_ranges(stored, DOCUMENTS, Failing(database), ranges, batches=4)
+    done = resume.restore_by_ranges(stored, DOCUMENTS, WarehouseTarget(database), ranges, batches=4)
+    statuses = F.lit(f"{failed.status} {done.status}").alias("statuses")
+    return WarehouseTarget(database).read(DOCUMENTS).select("*", statuses)
+
+
 def restore_subset(spark, sf_dir):
     """All five tables are stored, two of them are asked for and restored."""
     stored, database = warehouse(spark, "subset"), warehouse(spark, "subset-target")
@@ -791,6 +819,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         load_difference,
         validity_history,
         compacted,
+        clustered_range,
         profile_range,
         discovered_keys,
         discovered_references,
@@ -810,6 +839,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         migrate_report,
         restore_report,
         restore_roundtrip,
+        restore_resumed,
         restore_subset,
         restore_before_migration,
         full_cycle,

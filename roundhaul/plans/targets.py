@@ -21,6 +21,12 @@ class Target(Protocol):
     def read(self, contract: Contract) -> DataFrame: ...
 
 
+class RangeTarget(Target, Protocol):
+    """A target that can be filled bit by bit: ``append`` adds rows, and creates the table where it is missing."""
+
+    def append(self, df: DataFrame, contract: Contract) -> None: ...
+
+
 class WarehouseTarget:
     """Restores into ``<table>_backload`` of a second warehouse, unpartitioned like a database table.
 
@@ -41,6 +47,9 @@ class WarehouseTarget:
             raise LookupError(f"{restored.name} does not exist and may not be created")
         self.warehouse.write(export_form(df), restored)
 
+    def append(self, df: DataFrame, contract: Contract) -> None:
+        self.warehouse.append(export_form(df), self._restored(contract))
+
     def read(self, contract: Contract) -> DataFrame:
         return self.warehouse.read(self._restored(contract))
 
@@ -73,6 +82,9 @@ class JdbcTarget:
             partitions=self.partitions,
         )
 
+    def append(self, df: DataFrame, contract: Contract) -> None:
+        jdbc.append_table(df, self.connection, self.schema, contract, suffix=self.suffix, partitions=self.partitions)
+
     def read(self, contract: Contract) -> DataFrame:
         numeric = [c.name for c in contract.columns if isinstance(c.type, (IntegerType, LongType))]
         split_by = contract.key[0] if len(contract.key) == 1 and contract.key[0] in numeric else None

@@ -189,3 +189,25 @@ def export_table(
     if partitions:
         options["numPartitions"] = partitions
     export_form(df).write.format("jdbc").options(**connection).options(**options).mode("overwrite").save()
+
+
+def append_table(
+    df: DataFrame,
+    connection: Connection,
+    schema: str,
+    contract: Contract,
+    *,
+    suffix: str = SUFFIX,
+    partitions: int | None = None,
+) -> None:
+    """Add rows to ``<table><suffix>``, which is created where it is missing.
+
+    Like `export_table` a run that dies half-way leaves the partitions that were committed.
+    """
+    table = contract.name + suffix
+    if column_metadata(df.sparkSession, connection, schema, table).isEmpty():
+        run_statement(df.sparkSession, connection, create_table_sql(schema, table, contract))
+    options: dict[str, object] = {"dbtable": quoted(schema, table), "batchsize": BATCH_ROWS}
+    if partitions:
+        options["numPartitions"] = partitions
+    export_form(df).write.format("jdbc").options(**connection).options(**options).mode("append").save()

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
 from urllib.parse import unquote
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundhaul.contracts import Contract, named
-from roundhaul.functions import digest, profiles
+from roundhaul.functions import digest, locality, profiles
 from roundhaul.functions.convert import as_contract
 from roundhaul.functions.digest import Digest
 from roundhaul.session import local_table
@@ -237,7 +237,9 @@ class Warehouse:
         if not self.tables():
             raise NotMigrated(f"nothing has been migrated to {self.root}/{self.namespace} yet")
 
-    def write(self, df: DataFrame, contract: Contract, gather: bool = True, ranges: Ranges | None = None) -> Load:
+    def write(
+        self, df: DataFrame, contract: Contract, gather: bool = True, ranges: Ranges | None = None, cluster: Sequence[str] = ()
+    ) -> Load:
         """Create or replace a table and tell how many rows went into it.
 
         With ``gather``, rows of a partitioned table are rebalanced on their directory keys,
@@ -247,25 +249,35 @@ class Warehouse:
         where a frequent key would end up in one task. An unpartitioned table is never shuffled.
         Rows are counted and digested in the stage that writes, where a retried task is counted once.
 
-        With ``ranges``, the rows of each file are sorted by their column, and what was written is
+        With ``ranges``, the rows of each file are sorted by their column (unless ``cluster`` orders them), and what was written is
         read once more for the digest of each range of each directory.
+
+        With ``cluster``, the rows of each directory are laid along a curve through these columns, by ranges and
+        sorted within them, so that files and row groups have narrow bounds in all of them at once and a
+        filter on any few of them skips most. The rows are read twice more, for the parts of the columns and for the ranges.
         """
-        load_id, path, found = self._files(df, contract, gather, ranges)
+        load_id, path, found = self._files(df, contract, gather, ranges, cluster)
         layout = Layout(contract, found[0].rows, *found, None, ranges)
         if ranges is not None:
             self._keep_leaves(contract, load_id, ranges)
         self._keep_layout(path, layout)
         return Load(contract.name, load_id, path, layout.rows)
 
-    def _files(self, df: DataFrame, contract: Contract, gather: bool, ranges: Ranges | None) -> tuple[int, str, list[Digest]]:
+    def _files(
+        self, df: DataFrame, contract: Contract, gather: bool, ranges: Ranges | None, cluster: Sequence[str] = ()
+    ) -> tuple[int, str, list[Digest]]:
         """Write the files of a new load; its digests as stored and as exported."""
         load_id = max(self._attempts(contract.name), default=0) + 1
         path = f"{self.folder(contract.name)}/load={load_id}"
         keys = [p.key for p in contract.partitions]
         rows = contract.to_stored(df)
-        if keys and gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        if cluster:
+            along = locality.locality_key(rows, cluster, locality.borders(rows, cluster))
+            order = [*[named(key) for key in keys], along]
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        elif keys and gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
             rows = rows.hint("rebalance", *[named(key) for key in keys])
-        if ranges is not None:
+        if ranges is not None and not cluster:
             rows = rows.sortWithinPartitions(*[named(key) for key in keys], named(ranges.column))
         observed = Observation()
         values = contract.stored_values()
@@ -320,6 +332,24 @@ class Warehouse:
         self._keep_layout(path, Layout(contract, rows, *digests, places, base.ranges))
         return Load(contract.name, new_id, path, rows)
 
+    def append(self, df: DataFrame, contract: Contract, gather: bool = True) -> Load:
+        """A load with these rows beside those of the current one, whose files it names; none is read or written again."""
+        load_id = self.newest(contract.name)
+        if load_id is None:
+            return self.write(df, contract, gather)
+        base = self.described(contract.name, load_id)
+        if base.contract.partitions != contract.partitions or base.contract.stored_schema != contract.stored_schema:
+            raise ValueError(f"{contract.name}: the current load has other columns or directories; write it anew")
+        before = self.places(contract.name, load_id)
+        new_id, path, found = self._files(df, contract, gather, base.ranges)
+        digests = [None, None] if base.digest is None else [base.digest + found[0], base.exported + found[1]]
+        places = before | {new_id: self.directories(contract.name, new_id)}
+        if base.ranges is not None:
+            self._keep_leaves(contract, new_id, base.ranges)
+        rows = base.rows + found[0].rows
+        self._keep_layout(path, Layout(contract, rows, *digests, places, base.ranges))
+        return Load(contract.name, new_id, path, rows)
+
     def require_load(self, table: str, as_of: int | None = None) -> int:
         """``newest``, where there must be one."""
         load_id = self.newest(table, as_of)
