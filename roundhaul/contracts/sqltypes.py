@@ -128,6 +128,7 @@ def sql_type_for(held: T.DataType, wide_text: bool = True) -> str:
         T.DateType: "DATE",
         T.TimestampNTZType: "DATETIME2(6)",
         T.TimestampType: "DATETIMEOFFSET",
+        T.TimeType: "TIME",
     }
     name = names.get(type(held))
     if name is None:

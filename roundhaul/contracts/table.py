@@ -124,6 +124,17 @@ class Contract:
         partitions = tuple(Partition(p["column"], p["by_day"]) for p in held["partitions"])
         return cls(held["name"], tuple(columns), tuple(held["key"]), partitions=partitions)
 
+    def with_native_times(self) -> Contract:
+        """Hold columns declared ``time`` in Spark's type for times of day instead of text.
+
+        It keeps microseconds; a value with a digit beyond them stops the load. The session must have the type
+        switched on (``session.allow_times``).
+        """
+        columns = [
+            replace(c, type=T.TimeType(6)) if c.declared is not None and c.declared.name == "time" else c for c in self.columns
+        ]
+        return replace(self, columns=tuple(columns)).partitioned_by(*[p.column for p in self.partitions])
+
     def partitioned_by(self, *names: str) -> Contract:
         """Partition dates and timestamps by calendar day and everything else by raw value."""
         types = {c.name: c.type for c in self.columns}
@@ -133,6 +144,8 @@ class Contract:
                 raise ValueError(f"{self.name} has no column {name} to partition by")
             if isinstance(types[name], T.BinaryType):
                 raise ValueError(f"{name} is binary and cannot name a directory")
+            if isinstance(types[name], T.TimeType):
+                raise ValueError(f"{name} is a time of day and cannot name a directory; keep it as text")
             by_day = isinstance(types[name], (T.DateType, T.TimestampType, T.TimestampNTZType))
             levels.append(Partition(name, by_day))
         taken = {c.name for c in self.columns}

@@ -84,7 +84,7 @@ def _unchanged(column: Column, value: Column, source: T.DataType | None, to: T.D
             return column.try_cast("timestamp_ntz") == value.cast("timestamp_ntz")
         if isinstance(to, T.TimestampNTZType):
             return ~column.rlike(_SHORTER) & ~column.rlike(_ZONE)
-        if isinstance(to, T.TimestampType):
+        if isinstance(to, (T.TimestampType, T.TimeType)):
             return ~column.rlike(_SHORTER)
     if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(to, T.DateType):
         return value.try_cast(source) == column
@@ -138,7 +138,7 @@ def conform(
         floating = isinstance(present[wanted.name], FLOATS)
         if floating and not isinstance(wanted.type, FLOATS):
             value = nan_to_null(value)
-        if wanted.declared and wanted.declared.name == "time":
+        if wanted.declared and wanted.declared.name == "time" and isinstance(wanted.type, T.StringType):
             value = time_text(value)
         elif present[wanted.name] != wanted.type:
             cast = fitting if tolerant else partial(strict_cast, name=wanted.name)
@@ -255,6 +255,7 @@ def export_form(
     df: DataFrame,
     *,
     timestamps_as_text: bool = False,
+    times_as_text: bool = False,
     booleans_as_bits: bool = False,
     decimals_as_double: bool = False,
 ) -> DataFrame:
@@ -270,6 +271,8 @@ def export_form(
             value = nan_to_null(value)
         elif timestamps_as_text and isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             value = timestamp_ms_text(value)
+        elif times_as_text and isinstance(field.dataType, T.TimeType):
+            value = value.cast("string")
         elif booleans_as_bits and isinstance(field.dataType, T.BooleanType):
             value = boolean_to_bit(value)
         elif decimals_as_double and isinstance(field.dataType, T.DecimalType):

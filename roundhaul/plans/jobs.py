@@ -17,7 +17,7 @@ from roundhaul.functions.convert import conform, export_form
 from roundhaul.operators.audit import audit_contracts
 from roundhaul.operators.validate import FAILED, PASSED, content_match, same_columns, statistics_match
 from roundhaul.plans.targets import Target
-from roundhaul.session import local_table
+from roundhaul.session import activate, local_table
 from roundhaul.sources.warehouse import Layout, Warehouse
 
 log = logging.getLogger(__name__)
@@ -82,9 +82,9 @@ def total_rows(outcomes: Iterable[Outcome]) -> int:
     return sum(o.rows for o in outcomes if o.status == "success")
 
 
-def _each(tables: Sequence, work: Callable, parallel: int) -> list[Outcome]:
+def _each(spark: SparkSession, tables: Sequence, work: Callable, parallel: int) -> list[Outcome]:
     """Run the tables next to each other, each as jobs of its own; results keep the given order."""
-    with ThreadPoolExecutor(max(1, parallel)) as pool:
+    with ThreadPoolExecutor(max(1, parallel), initializer=activate, initargs=(spark,)) as pool:
         return list(pool.map(work, tables))
 
 
@@ -113,7 +113,7 @@ def migrate(warehouse: Warehouse, sources: Sequence[Source], parallel: int = 4)
 
         return _timed("migrate", source.contract.name, work)
 
-    return _each(sources, one, parallel)
+    return _each(warehouse.spark, sources, one, parallel)
 
 
 def audit(warehouse: Warehouse, contracts: Sequence[Contract], as_of: int | None = None) -> DataFrame:
@@ -184,7 +184,7 @@ def restore(
 
         return _timed("restore", contract.name, work)
 
-    return _each(chosen, one, parallel)
+    return _each(warehouse.spark, chosen, one, parallel)
 
 
 def _same_contents(load: Layout, target: DataFrame, contract: Contract) -> bool:
@@ -230,4 +230,4 @@ def full_cycle(
             log.error("check of %s failed: %s", contract.name, problem)
         return row
 
-    return _each(sources, one, parallel)
+    return _each(warehouse.spark, sources, one, parallel)

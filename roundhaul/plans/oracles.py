@@ -317,6 +317,9 @@ ORACLES: dict[str, str] = {
     "compacted": "SELECT source, count(*) AS row_count, 1 AS files FROM documents GROUP BY source",
     "clustered_range": "SELECT * FROM documents WHERE doc_id BETWEEN 100 AND 600 AND n_chars BETWEEN 300 AND 900",
     "restore_resumed": "SELECT doc_id, text, lang, source, n_chars, 'failed success' AS statuses FROM documents",
+    "time_of_day": """
+        SELECT event_id, CAST(CAST(ts AS TIME) AS VARCHAR) AS at FROM events
+        WHERE CAST(ts AS TIME) >= TIME '12:00:00' AND CAST(ts AS TIME) < TIME '18:30:00.5'""",
     "profile_range": " UNION ALL ".join(
         f"""
         SELECT '{name}' AS column_name, '{kind}' AS column_type, {place} AS position, {int(name != "doc_id")} AS nullable,

@@ -20,7 +20,7 @@ from roundhaul.functions import convert, derive
 from roundhaul.operators import audit, discover, evolve, stats, validate
 from roundhaul.plans import jobs, loads, resume
 from roundhaul.plans.targets import WarehouseTarget
-from roundhaul.session import fresh_folder, local_table
+from roundhaul.session import allow_times, fresh_folder, local_table
 from roundhaul.sources.warehouse import NotMigrated, Ranges, Warehouse, count_by_table, read_directory
 
 TABLES = (
@@ -559,6 +559,17 @@ def clustered_range(spark, sf_dir):
     return stored.read(DOCUMENTS).where("doc_id BETWEEN 100 AND 600 AND n_chars BETWEEN 300 AND 900")
 
 
+def time_of_day(spark, sf_dir):
+    """Times of day from text, held in their own type, and those of the afternoon read back as text."""
+    allow_times(spark)
+    contract = Contract.declare("times", {"event_id": "bigint not null", "at": "time(6)"}, key=["event_id"]).with_native_times()
+    text = F.date_format("ts", "HH:mm:ss.SSSSSS").alias("at")
+    stored = warehouse(spark, "times")
+    stored.write(convert.conform(table(spark, sf_dir, "events").select("event_id", text), contract), contract)
+    found = stored.read_range(contract, "at", "12:00:00", "18:30:00.5")
+    return found.select("event_id", F.col("at").cast("string").alias("at"))
+
+
 def layout_change(spark, sf_dir):
     """A load without directories, read by range with the contract of a later load that has them."""
     events = table(spark, sf_dir, "events")
@@ -820,6 +831,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         validity_history,
         compacted,
         clustered_range,
+        time_of_day,
         profile_range,
         discovered_keys,
         discovered_references,

@@ -48,6 +48,16 @@ def build_session(
     return builder.getOrCreate()
 
 
+def allow_times(spark: SparkSession) -> None:
+    """Let the session hold times of day in a type of their own, for contracts `with_native_times`."""
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+
+
+def activate(spark: SparkSession) -> None:
+    """Make the session, and so its settings, those of the calling thread; a thread of a pool begins without one."""
+    getattr(getattr(spark._jvm, "SparkSession$"), "MODULE$").setActiveSession(spark._jsparkSession)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

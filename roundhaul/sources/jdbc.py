@@ -188,7 +188,7 @@ def export_table(
     options: dict[str, object] = {"dbtable": quoted(schema, table), "batchsize": BATCH_ROWS, "truncate": True}
     if partitions:
         options["numPartitions"] = partitions
-    export_form(df).write.format("jdbc").options(**connection).options(**options).mode("overwrite").save()
+    export_form(df, times_as_text=True).write.format("jdbc").options(**connection).options(**options).mode("overwrite").save()
 
 
 def append_table(
@@ -210,4 +210,4 @@ def append_table(
     options: dict[str, object] = {"dbtable": quoted(schema, table), "batchsize": BATCH_ROWS}
     if partitions:
         options["numPartitions"] = partitions
-    export_form(df).write.format("jdbc").options(**connection).options(**options).mode("append").save()
+    export_form(df, times_as_text=True).write.format("jdbc").options(**connection).options(**options).mode("append").save()
