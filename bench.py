@@ -35,6 +35,16 @@ HEADLINES = (
     "migrate_report",
     "restore_report",
     "full_cycle",
+    "labelled_counts",
+    "differing_rows",
+    "replaced_load",
+    "restore_roundtrip",
+    "partial_reload",
+    "change_feed",
+    "load_difference",
+    "validity_history",
+    "profile_range",
+    "clustered_range",
 )
 
 

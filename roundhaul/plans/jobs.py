@@ -10,6 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roundhaul.contracts import Contract, named
 from roundhaul.functions import digest
@@ -123,19 +124,23 @@ def audit(warehouse: Warehouse, contracts: Sequence[Contract], as_of: int | None
 
 def _validated(
     expected: DataFrame, read_target: Callable[[], DataFrame], statistics: Statistics | None
-) -> tuple[str, int, str | None]:
-    """Validation status, rows found in the target, and what went wrong in the check itself."""
+) -> tuple[str, int, str | None, str | None]:
+    """Validation status, rows found in the target, what went wrong in the check itself, and the values that failed."""
     try:
         target = read_target()
         # Both results have a fixed, small number of rows.
         contents = content_match(expected, target).first()
-        statuses = [contents["status"]]
+        wrong = []
+        if contents["source_rows"] != contents["target_rows"]:
+            wrong.append(f"rows: {contents['source_rows']} expected, {contents['target_rows']} found")
+        elif contents["status"] == FAILED:
+            wrong.append("rows with other contents")
         if statistics is not None:
-            checked = statistics_match(expected, target, statistics.entity, statistics.moment)
-            statuses += [row["status"] for row in checked.collect()]
-        return FAILED if FAILED in statuses else PASSED, contents["target_rows"], None
+            checked = statistics_match(expected, target, statistics.entity, statistics.moment).where(F.col("status") == FAILED)
+            wrong += [f"{r['statistic']}: {r['source_value']} expected, {r['target_value']} found" for r in checked.collect()]
+        return FAILED if wrong else PASSED, contents["target_rows"], None, "; ".join(wrong) or None
     except Exception as problem:  # noqa: BLE001 - a check that cannot run is reported, not raised
-        return ERROR, 0, str(problem)
+        return ERROR, 0, str(problem), None
 
 
 def restore(
@@ -155,7 +160,7 @@ def restore(
 
     A table whose contents differ is sent again, up to ``attempts`` times, because a
     database commits task by task and a retried task may have repeated its rows. It ends as
-    ``warning`` if it still differs.
+    ``warning`` if it still differs, and its note tells what was expected and found.
     """
     warehouse.require_migrated()
     by_name = {c.name: c for c in contracts}
@@ -176,11 +181,11 @@ def restore(
                 return Outcome("restore", contract.name, "success", target.read(contract).count())
             for _ in range(max(1, attempts)):
                 target.write(rows, contract, create)
-                validation, found, error = _validated(export_form(rows), lambda: target.read(contract), checked)
+                validation, found, error, wrong = _validated(export_form(rows), lambda: target.read(contract), checked)
                 if validation != FAILED:
                     break
             status = "success" if validation == PASSED else "warning"
-            return Outcome("restore", contract.name, status, found, validation, error=error)
+            return Outcome("restore", contract.name, status, found, validation, error=error, note=wrong)
 
         return _timed("restore", contract.name, work)
 

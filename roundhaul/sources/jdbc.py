@@ -38,8 +38,12 @@ def _read(spark: SparkSession, connection: Connection, **options: object) -> Dat
 
 def column_metadata(spark: SparkSession, connection: Connection, schema: str, table: str) -> DataFrame:
     """Name, type, precision, scale, nullability and position of each column, in order."""
-    listed = _read(spark, connection, dbtable="INFORMATION_SCHEMA.COLUMNS")
-    return metadata_rows(listed, schema, table)
+    return metadata_rows(catalog_columns(spark, connection), schema, table)
+
+
+def catalog_columns(spark: SparkSession, connection: Connection) -> DataFrame:
+    """The columns of all tables, as the database's catalog lists them."""
+    return _read(spark, connection, dbtable="INFORMATION_SCHEMA.COLUMNS")
 
 
 def metadata_rows(listed: DataFrame, schema: str, table: str) -> DataFrame:

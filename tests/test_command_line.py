@@ -34,3 +34,35 @@ def test_restore_and_inventory(spark, folder, capsys):
     assert jobs.past_reports(stored).count() == 2
     assert run(spark, arguments(["inventory", "--warehouse", f"{folder}/b"])) == 0
     assert Warehouse(spark, f"{folder}/b").inventory().first()["table_name"] == "customers_backload"
+
+
+def test_tables_of_the_catalog_and_of_the_warehouse(spark, folder, capsys, monkeypatch):
+    columns = "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, NUMERIC_PRECISION int, "
+    columns += "DATETIME_PRECISION int, NUMERIC_SCALE int, IS_NULLABLE string, ORDINAL_POSITION int"
+    listed = spark.createDataFrame(
+        [("s", t, c, k, None, None, None, "YES", i) for t in ("a", "b") for i, (c, k) in enumerate([("id", "bigint"), ("v", "nvarchar")])], columns
+    )
+    monkeypatch.setattr("roundhaul.sources.jdbc.catalog_columns", lambda *_: listed)
+    asked = []
+
+    def read(spark, connection, schema, contract, **options):
+        asked.append((contract.name, options["split_by"]))
+        return spark.createDataFrame([(1, "x"), (2, "y")], "id bigint, v string")
+
+    monkeypatch.setattr("roundhaul.sources.jdbc.read_table", read)
+    place = ["--warehouse", f"{folder}/w", "--schema", "s"]
+    assert run(spark, arguments(["migrate", *place, "--url", "jdbc:x", "--catalog"])) == 0
+    assert sorted(asked) == [("a", None), ("b", None)]
+    assert run(spark, arguments(["migrate", *place, "--url", "jdbc:x", "--catalog", "--tables", "b"])) == 0
+    assert run(spark, arguments(["restore", *place, "--target-warehouse", f"{folder}/t", "--stored"])) == 0
+    assert "total: 4 rows" in capsys.readouterr().out
+    assert run(spark, arguments(["compare", *place, "--table", "b", "--before", "1"])) == 0
+    stored = Warehouse(spark, f"{folder}/w", "s")
+    contract = stored.layout("b", 2)[0]
+    stored.write(spark.createDataFrame([(1, "x"), (2, "z")], "id bigint, v string").repartition(2), contract)
+    capsys.readouterr()
+    assert run(spark, arguments(["compare", *place, "--table", "b", "--before", "1"])) == 1
+    assert sorted(line[0] for line in capsys.readouterr().out.splitlines()) == ["+", "-"]
+    assert run(spark, arguments(["compact", *place, "--table", "b"])) == 0
+    assert "b: load 4, 2 rows" in capsys.readouterr().out
+    assert run(spark, arguments(["compact", *place, "--table", "b"])) == 0
