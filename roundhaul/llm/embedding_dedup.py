@@ -33,7 +33,10 @@ from roundhaul.llm.components import components
 
 THRESHOLD = 0.98
 MISS = 1e-5
-BLOCK_ROWS = 256
+#: Rows of a block: in a bucket of n rows each row is sent to n / BLOCK_ROWS pairs of blocks.
+BLOCK_ROWS = 1024
+#: Linked pairs whose earlier tables are looked at together.
+PAIRS_AT_ONCE = 100_000
 SEED = 20240229
 
 
@@ -67,7 +70,10 @@ def block_links(ids: np.ndarray, copies: np.ndarray, sides: np.ndarray, units: n
     if not same:
         near &= sides[:, None] != sides[None, :]
     a, b = np.nonzero(near)
-    first = ~(seen[a, :table] == seen[b, :table]).any(axis=1)
+    first = np.ones(len(a), bool)
+    for start in range(0, len(a) if table else 0, PAIRS_AT_ONCE):
+        part = slice(start, start + PAIRS_AT_ONCE)
+        first[part] = ~(seen[a[part], :table] == seen[b[part], :table]).any(axis=1)
     a, b = a[first], b[first]
     links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
     rows = np.unique(np.concatenate([a, b]))
