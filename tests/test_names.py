@@ -2,13 +2,17 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from roundhaul.contracts import Contract
 from roundhaul.functions import convert
 from roundhaul.operators import audit, evolve, stats, validate
-from roundhaul.plans import jobs
+from roundhaul.operators.discover import candidate_keys
+from roundhaul.plans import jobs, loads, resume
 from roundhaul.plans.targets import WarehouseTarget
 from roundhaul.session import fresh_folder
 from roundhaul.sources import Warehouse
+from roundhaul.sources.warehouse import Ranges
 
 ODD = Contract.declare(
     "odd",
@@ -53,3 +57,28 @@ def test_odd_names(spark):
     assert audit.audit_not_null(back, ODD.required).first()["violations"] == 0
     assert {r["column_name"] for r in convert.rejected_values(rows, ODD).collect()} == {"Unit Price (net)", "placed.at"}
     assert evolve.evolve_append(back, typed).count() == 10
+
+
+def test_odd_names_in_loads(spark):
+    moment = dt.datetime(2024, 2, 29, 12)
+    made = [(i, "1.5", float(i), moment + dt.timedelta(days=i % 3), "x y"[: i % 4] or None) for i in range(12)]
+    rows = convert.conform(spark.createDataFrame(made, ODD.names), ODD)
+    stored, ranges = Warehouse(spark, fresh_folder(spark, "odd-loads")), Ranges("Order.ID", 4)
+    stored.write(rows, ODD, ranges=ranges)
+    fresh = rows.where("`Order.ID` = 4").withColumn("a`b", F.lit(0.5))
+    stored.reload(fresh, ODD, only=F.col("`placed.at_day`") == dt.date(2024, 3, 1))
+    expected = rows.where("to_date(`placed.at`) <> '2024-03-01'").unionByName(fresh)
+    assert validate.differing_rows(stored.read(ODD), expected).isEmpty()
+    assert not loads.load_difference(stored, ODD, 1, 2).isEmpty()
+    copy = Warehouse(spark, fresh_folder(spark, "odd-copy"))
+    copy.write(rows, ODD, cluster=["Order.ID", "Unit Price (net)"])
+    loads.apply_feed(copy, ODD, loads.feed_between(stored, ODD, 1, 2))
+    assert validate.differing_rows(copy.read(ODD), expected).isEmpty()
+    assert {r["valid_to"] for r in loads.history(copy, ODD).collect()} == {None, 2}
+    loads.compact(copy, ODD)
+    assert validate.differing_rows(copy.read(ODD), expected).isEmpty()
+    stored.keep_profile(ODD, 2)
+    assert [r["column_name"] for r in stored.profile(ODD).orderBy("position").collect()] == ODD.names
+    assert ("Order.ID",) in candidate_keys(rows)
+    target = WarehouseTarget(Warehouse(spark, fresh_folder(spark, "odd-ranges")))
+    assert resume.restore_by_ranges(stored, ODD, target, ranges).status == "success"
