@@ -6,10 +6,11 @@ import os
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import pandas as pd
 
-from roundhaul.llm.hashing import range_hashes, slices, words_of
+from roundhaul.llm.hashing import hash_words, slices, words_of
 
-#: Chunks that a worker remembers; beyond it, the table starts anew. Results don't depend on it.
+#: Chunks that a worker remembers; beyond it, those that came up often stay. Results don't depend on it.
 TABLE_CHUNKS = 600_000
 
 
@@ -27,12 +28,20 @@ class _Column:
         self.used = wanted
 
 
+def _cut(values: _Column, ends: _Column, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the chunks under some codes, one chunk after another, and how many each has."""
+    first = np.where(kept > 0, ends.values[kept - 1], 0)
+    lengths = ends.values[kept] - first
+    borders = np.append(0, np.cumsum(lengths))
+    return values.values[np.arange(borders[-1]) + np.repeat(first - borders[:-1], lengths)], lengths
+
+
 class ChunkTable:
     """Chunk -> ids, filled as chunks come up.
 
     Valid for a tokenizer whose pieces never cross a chunk's border, so that the ids of a text
     are those of its chunks in order. `segment` gets the chunks that the table lacks, all
-    distinct, and returns one list of ids for each. Chunks are looked up by 64-bit hashes under a
+    distinct, and returns one list of ids for each. A full table forgets what came up once. Chunks are looked up by 64-bit hashes under a
     seed drawn for the table, and compared byte by byte with what the table holds: where two
     chunks share a hash, the table starts anew under another seed.
     """
@@ -49,6 +58,7 @@ class ChunkTable:
         self.ids, self.ends = _Column(np.int32), _Column(np.int64)
         # The chunks' bytes as 8-byte words: where they end, and how many bytes there are.
         self.words, self.word_ends, self.sizes = _Column(np.uint64), _Column(np.int64), _Column(np.int64)
+        self.seen = _Column(np.int64)
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         held = data.tobytes()
@@ -58,14 +68,36 @@ class ChunkTable:
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         self.ends.add(self.ids.used + np.cumsum(lengths))
         self.ids.add(np.fromiter((i for ids in lists for i in ids), np.int32, int(lengths.sum())))
-        for part in slices(starts):
-            words, borders = words_of(data, starts[part], ends[part])
-            self.word_ends.add(self.words.used + borders[1:])
-            self.words.add(words)
+        words, borders = words_of(data, starts, ends)
+        self.word_ends.add(self.words.used + borders[1:])
+        self.words.add(words)
         self.sizes.add(ends - starts)
-        places = np.searchsorted(self.keys, keys)
-        self.codes = np.insert(self.codes, places, np.arange(known, known + len(keys)))
-        self.keys = np.insert(self.keys, places, keys)
+        self.seen.add(np.zeros(len(keys), np.int64))
+        order = np.argsort(keys)
+        places = np.searchsorted(self.keys, keys[order])
+        self.codes = np.insert(self.codes, places, known + order)
+        self.keys = np.insert(self.keys, places, keys[order])
+
+    def _forget(self) -> None:
+        """Keep the chunks that came up at least twice, and of those no more than fill half of the table."""
+        seen = self.seen.values[: self.seen.used]
+        kept = np.flatnonzero(seen > 1)
+        half = self.capacity // 2
+        if len(kept) > half:
+            kept = np.sort(kept[np.argpartition(-seen[kept], half)[:half]])
+        keys = np.empty(len(seen), np.uint64)
+        keys[self.codes] = self.keys
+        ids, lengths = _cut(self.ids, self.ends, kept)
+        words, counts = _cut(self.words, self.word_ends, kept)
+        sizes, often = self.sizes.values[kept], seen[kept] // 2
+        seed = self.seed
+        self._clear()
+        self.seed = seed
+        self.codes = np.argsort(keys[kept])
+        self.keys = keys[kept][self.codes]
+        held = (self.ids, ids), (self.ends, np.cumsum(lengths)), (self.words, words), (self.word_ends, np.cumsum(counts))
+        for column, values in (*held, (self.sizes, sizes), (self.seen, often)):
+            column.add(values)
 
     def _missing(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -73,18 +105,14 @@ class ChunkTable:
         places = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return self.keys[places] != keys
 
-    def _hold(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> bool:
-        """Whether each chunk is the one that the table has under its code."""
-        if (self.sizes.values[codes] != ends - starts).any():
+    def _hold(self, words: np.ndarray, borders: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> bool:
+        """Whether each chunk, given by its words, is the one that the table has under its code."""
+        if (self.sizes.values[codes] != sizes).any():
             return False
-        for part in slices(starts):
-            words, borders = words_of(data, starts[part], ends[part])
-            counts = np.diff(borders)
-            first = self.word_ends.values[codes[part]] - counts
-            at = np.arange(len(words)) + np.repeat(first - borders[:-1], counts)
-            if (self.words.values[at] != words).any():
-                return False
-        return True
+        counts = np.diff(borders)
+        first = self.word_ends.values[codes] - counts
+        at = np.arange(len(words)) + np.repeat(first - borders[:-1], counts)
+        return bool((self.words.values[at] == words).all())
 
     def encode(self, data: np.ndarray, starts: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the borders between those of the texts.
@@ -95,24 +123,35 @@ class ChunkTable:
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(data))
+        ids, lengths = [], []
+        for part in slices(starts):  # so that the arrays of a very long text stay small
+            low, high = int(starts[part][0]), int(ends[part][-1])
+            found = self._encode(data[low:high], starts[part] - low, ends[part] - low)
+            ids.append(found[0])
+            lengths.append(found[1])
+        borders = np.append(0, np.cumsum(np.concatenate(lengths)))
+        return np.concatenate(ids), borders[texts]
+
+    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some chunks, and how many each has."""
+        words, places = words_of(data, starts, ends)
         while True:
-            hashes = range_hashes(data, starts, ends, self.seed)
-            keys, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+            which, keys = pd.factorize(hash_words(words, places, data, starts, ends, self.seed))
+            where = np.empty(len(keys), np.int64)
+            where[which[::-1]] = np.arange(len(which) - 1, -1, -1)  # the first of each
             missing = self._missing(keys)
             if len(self.keys) and len(self.keys) + missing.sum() > self.capacity:
-                self._clear()
-                continue
+                self._forget()
+                missing = self._missing(keys)
             if missing.any():
                 self._learn(keys[missing], data, starts[where[missing]], ends[where[missing]])
-            codes = self.codes[np.searchsorted(self.keys, keys)][which]
-            if self._hold(data, starts, ends, codes):
+            distinct = self.codes[np.searchsorted(self.keys, keys)]
+            self.seen.values[distinct] += np.bincount(which, minlength=len(keys))
+            codes = distinct[which]
+            if self._hold(words, places, ends - starts, codes):
                 break
             self._clear()
-        first = np.where(codes > 0, self.ends.values[codes - 1], 0)
-        lengths = self.ends.values[codes] - first
-        borders = np.concatenate([[0], np.cumsum(lengths)])
-        take = np.arange(borders[-1]) + np.repeat(first - borders[:-1], lengths)
-        return self.ids.values[take], borders[texts]
+        return _cut(self.ids, self.ends, codes)
 
 
 def joined(texts: list[str], before: str = "") -> tuple[np.ndarray, np.ndarray]:

@@ -12,8 +12,9 @@ from roundhaul.llm.common import mix64
 #: Ranges of up to so many 8-byte words are hashed side by side, longer ones by a cryptographic hash.
 SHORT_WORDS = 4
 #: Ranges worked on at once.
-STEP = 1 << 18
+STEP = 1 << 19
 
+ODD = np.uint64(0x9E3779B97F4A7C15)
 MASKS = np.array([0, *((1 << (8 * k)) - 1 for k in range(1, 9))], np.uint64)
 
 
@@ -42,29 +43,32 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: i
     ranges are hashed by BLAKE2.
     """
     out = np.empty(len(starts), np.uint64)
-    keys = mix64(np.array([2 * seed + 1, 2 * seed + 2], np.uint64))
     for part in slices(starts):
         a, b = starts[part], ends[part]
-        found = np.full(len(a), keys[0], np.uint64)
-        short = b - a <= 8 * SHORT_WORDS
-        words, borders = words_of(data, a, np.where(short, b, a))
-        counts = np.diff(borders)
-        other = np.full(len(a), keys[1], np.uint64)
-        for k in range(SHORT_WORDS):
-            at = np.flatnonzero(counts > k)
-            if not len(at):
-                break
-            word = words[borders[at] + k]
-            found[at] = mix64(found[at] ^ word)
-            if k:
-                other[at] = mix64(other[at] + word * np.uint64(0x9E3779B97F4A7C15))
-            elif len(late := at[counts[at] > 1]):
-                other[late] = mix64(other[late] + words[borders[late]] * np.uint64(0x9E3779B97F4A7C15))
-        several = np.flatnonzero(counts > 1)
-        found[several] = mix64(found[several] + other[several])
-        key = seed.to_bytes(8, "little")
-        for i in np.flatnonzero(~short).tolist():
-            held = hashlib.blake2b(data[a[i] : b[i]].tobytes(), digest_size=8, key=key).digest()
-            found[i] = int.from_bytes(held, "little")
-        out[part] = mix64(found + mix64((b - a).astype(np.uint64)))
+        words, borders = words_of(data, a, np.where(b - a <= 8 * SHORT_WORDS, b, a))
+        out[part] = hash_words(words, borders, data, a, b, seed)
     return out
+
+
+def hash_words(words: np.ndarray, borders: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """`range_hashes` from the words of the ranges; those of long ranges are not looked at."""
+    keys = mix64(np.array([2 * seed + 1, 2 * seed + 2], np.uint64))
+    found = np.full(len(starts), keys[0], np.uint64)
+    counts = np.diff(borders)
+    first = np.flatnonzero(counts > 0)
+    found[first] = mix64(found[first] ^ words[borders[first]])
+    at = np.flatnonzero((counts > 1) & (counts <= SHORT_WORDS))
+    several, one, other = at, found[at], mix64(keys[1] + words[borders[at]] * ODD)
+    place = np.arange(len(at))
+    for k in range(1, SHORT_WORDS):
+        word = words[borders[at] + k]
+        one[place] = mix64(one[place] ^ word)
+        other[place] = mix64(other[place] + word * ODD)
+        left = counts[at] > k + 1
+        at, place = at[left], place[left]
+    found[several] = mix64(one + other)
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(ends - starts > 8 * SHORT_WORDS).tolist():
+        held = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest()
+        found[i] = int.from_bytes(held, "little")
+    return mix64(found + mix64((ends - starts).astype(np.uint64)))

@@ -1,5 +1,7 @@
 """Rows that share an id and differ, and words and chunks made to collide: against SQL and the libraries."""
 
+from collections import Counter
+
 import duckdb
 import numpy as np
 import public_tokenizers
@@ -8,7 +10,7 @@ import pytest
 from roundhaul.llm import bpe, embedding_dedup, merkle, minhash, sentencepieces
 from roundhaul.llm.chunks import ChunkTable
 from roundhaul.llm.common import Scratch
-from roundhaul.llm.hashing import range_hashes, words_of
+from roundhaul.llm.hashing import hash_words, range_hashes, words_of
 from roundhaul.llm.oracles import ORACLES
 
 
@@ -97,20 +99,30 @@ def test_hashes_follow_the_bytes_alone(size):
 
 def test_chunks_that_share_a_hash_start_a_new_table(monkeypatch):
     table = ChunkTable(lambda chunks: [[int.from_bytes(c[:3], "big")] for c in chunks])
-    real, calls = range_hashes, []
+    real, calls = hash_words, []
 
-    def colliding(data, starts, ends, seed):
-        calls.append(seed)
-        return real(data, starts, ends, seed) if len(calls) > 2 else np.zeros(len(starts), np.uint64)
+    def colliding(*given):
+        calls.append(given[-1])
+        return real(*given) if len(calls) > 2 else np.zeros(len(given[3]), np.uint64)
 
-    monkeypatch.setattr("roundhaul.llm.chunks.range_hashes", colliding)
+    monkeypatch.setattr("roundhaul.llm.chunks.hash_words", colliding)
     data = np.frombuffer(b"abcdefabc", np.uint8)
     ids, borders = table.encode(data, np.array([0, 3, 6]), np.array([0, 3]))
     assert ids.tolist() == [0x616263, 0x646566, 0x616263] and borders.tolist() == [0, 3] and len(calls) == 3
 
 
-def test_a_full_table_starts_anew():
-    table = ChunkTable(lambda chunks: [[c[0]] for c in chunks], capacity=3)
-    for text in (b"abc", b"de", b"abcdefgh", b"a"):
-        ids, _ = table.encode(np.frombuffer(text, np.uint8), np.arange(len(text)), np.array([0, len(text)]))
-        assert bytes(ids.tolist()) == text
+def test_a_full_table_forgets_what_is_rare():
+    asked = Counter()
+
+    def segment(chunks):
+        asked.update(chunks)
+        return [[c[0]] * (c[0] % 3) for c in chunks]
+
+    table = ChunkTable(segment, capacity=8)
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        text = bytes(rng.choice([97, 98, 99, *range(100, 120)], rng.integers(1, 30), p=[0.2] * 3 + [0.02] * 20).tolist())
+        ids, borders = table.encode(np.frombuffer(text, np.uint8), np.arange(len(text)), np.array([0, len(text)]))
+        assert ids.tolist() == [c for c in text for _ in range(c % 3)] and borders.tolist() == [0, len(ids)]
+        assert len(table.keys) <= 8 + len(set(text))
+    assert asked[b"a"] < 5 < asked[b"m"]
