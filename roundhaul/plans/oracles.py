@@ -304,9 +304,9 @@ ORACLES: dict[str, str] = {
         SELECT *, count(*) AS copies FROM found GROUP BY ALL""",
     "validity_history": f"""
         WITH {TWO_LOADS}
-        SELECT b.*, 1 AS valid_from,
-               CASE WHEN a.doc_id IS NULL OR a.text IS DISTINCT FROM b.text OR a.n_chars IS DISTINCT FROM b.n_chars THEN 2 END
-                 AS valid_to, 1 AS copies
+        SELECT b.*, CAST(1 AS BIGINT) AS valid_from,
+               CASE WHEN a.doc_id IS NULL OR a.text IS DISTINCT FROM b.text OR a.n_chars IS DISTINCT FROM b.n_chars THEN CAST(2 AS BIGINT) END
+                 AS valid_to, CAST(1 AS BIGINT) AS copies
         FROM before_ b LEFT JOIN after_ a USING (doc_id)
         UNION ALL
         SELECT a.*, 2, CASE WHEN a.source = 'src5' THEN 3 END, 1

@@ -28,6 +28,8 @@ def test_no_cross_joins_and_no_python(spark, name):
         "differing_rows",
         "keyed_diff",
         "audit_foreign_key",
+        "load_difference",
+        "validity_history",
     ],
 )
 def test_comparisons_do_not_join(spark, name):
