@@ -36,7 +36,7 @@ from roundhaul.llm.hashing import range_hashes
 SPAN_WORDS, SECTION_PARAGRAPHS, SHORT_PARAGRAPH = 8, 4, 16
 #: Documents in one range of ids, at least, and ranges for each partition of a shuffle, at most: enough for
 #: partitions of like size, and a number that the session's settings bound, not the rows.
-SLOT_ROWS, SLOTS_PER_PARTITION = 2000, 4
+SLOT_ROWS, SLOTS_PER_PARTITION = 200, 4
 #: Groups for rows without an id.
 LOOSE_SLOTS = 64
 
