@@ -118,11 +118,10 @@ def _intervals(tree: pa.Table, scorer: Scorer) -> Iterator[tuple[int, np.ndarray
 
     Bounds wait only for children that are still to come.
     """
-    order = np.argsort(tree.column("place").to_numpy())
-    at = {int(node): int(row) for row, node in enumerate(tree.column("node").to_numpy())}
+    order, nodes = np.argsort(tree.column("place").to_numpy()), tree.column("node").to_numpy()
     parents, edges = tree.column("parent").to_numpy(), tree.column("edge").to_numpy()
     vectors = vectors_of(tree.column("codes").combine_chunks())
-    left = np.bincount(parents[parents >= 0], minlength=int(tree.column("node").to_numpy().max()) + 1)
+    left = np.bincount(parents[parents >= 0], minlength=int(nodes.max()) + 1)
     kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for row in order.tolist():
         parent = int(parents[row])
@@ -139,10 +138,8 @@ def _intervals(tree: pa.Table, scorer: Scorer) -> Iterator[tuple[int, np.ndarray
             if not left[parent]:
                 del kept[parent]
         yield row, low, high
-        node = int(tree.column("node")[row].as_py())
-        if left[node]:
-            kept[node] = (low, high)
-    assert len(at) == len(order)
+        if left[nodes[row]]:
+            kept[int(nodes[row])] = (low, high)
 
 
 def _rescore(scorer: Scorer, anchor: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -158,7 +155,7 @@ def _floor_of_best(low: np.ndarray, count: int) -> float:
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, marks: np.ndarray, count: int) -> np.ndarray:
-    """Places of the first `count`: higher scores first, then smaller ids."""
+    """Places of the first `count`: higher scores first, then smaller ids, then by contents."""
     return np.lexsort((marks[:, 1], marks[:, 0], ids, -scores))[:count]
 
 
