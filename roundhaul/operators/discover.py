@@ -1,15 +1,18 @@
 """Keys and references that rows obey, where no constraint says so.
 
-Sketches, one pass for all candidates of a level, rule out what cannot hold; what they leave is confirmed
-exactly. So every answer is right, and a candidate is missed only if its sketch is off by six standard
-deviations.
+Sketches, one pass over each table, rule out what cannot hold; what they leave is confirmed exactly. So every
+answer is right, and a candidate is missed only if its sketch is off by six standard deviations. Several columns
+are first looked for repeats among the rows of some values: a repeat there is one of the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,44 +22,135 @@ from roundhaul.operators.audit import audit_foreign_key, audit_unique
 
 # A sketch of 2^14 cells is off by 0.8 %; six times that, rounded up.
 SKETCH_BITS, SLACK = 14, 0.05
-#: Candidates that one pass sketches.
-PASS_CANDIDATES = 100
+#: Repeats are first looked for among one value of a column in so many, of a table with SLICE_ROWS rows for each.
+SLICES, SLICE_ROWS = 64, 1 << 16
+#: Columns whose values are sliced in one pass, and candidates that one aggregation of a slice tests.
+PASS_COLUMNS, PASS_CANDIDATES = 8, 20
+#: Rows whose hashes one task compares, and repeated hashes that it tells.
+TASK_ROWS, TOLD = 1 << 20, 10
+
+
+def _hashable(kind: T.DataType) -> bool:
+    """Whether Spark hashes values of the type; columns of others are no keys."""
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _figures(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """The number of rows, and about how many distinct values each column without NULLs has: one pass."""
+    names = [f.name for f in df.schema.fields if _hashable(f.dataType)]
+    # Each hash is used twice, so Spark projects it in compiled code rather than within the sketch.
+    hashes = df.select(*[F.when(named(name).isNotNull(), F.xxhash64(named(name))).alias(f"h{i}") for i, name in enumerate(names)])
+    figures = [F.count(F.lit(1)).alias("rows")]
+    for i in range(len(names)):
+        sketch = F.hll_sketch_agg(f"h{i}", F.lit(SKETCH_BITS))
+        figures += [F.count(f"h{i}").alias(f"held{i}"), F.hll_sketch_estimate(sketch).alias(f"n{i}")]
+    row = hashes.agg(*figures).first()
+    return row["rows"], {name: row[f"n{i}"] for i, name in enumerate(names) if row["rows"] and row[f"held{i}"] == row["rows"]}
+
+
+def _without_near_repeats(df: DataFrame, sets: Sequence[tuple[str, ...]], single: Mapping[str, int], rows: int) -> list[tuple[str, ...]]:
+    """The sets that do not repeat among the rows of some values of their column with the most values.
+
+    Rows that agree in a set agree in that column, so a slice by its values holds all or none of them.
+    """
+    share = max(1, min(SLICES, rows // SLICE_ROWS))
+    sliced: dict[str, list[tuple[str, ...]]] = {}
+    for s in sets:
+        sliced.setdefault(max(s, key=single.__getitem__), []).append(s)
+    columns, repeated = list(sliced), set()
+    for start in range(0, len(columns), PASS_COLUMNS):
+        part = {c: F.pmod(F.xxhash64(named(c)), F.lit(share)) == 0 for c in columns[start : start + PASS_COLUMNS]}
+        used = {name: f"c{i}" for i, name in enumerate(dict.fromkeys(name for c in part for s in sliced[c] for name in s))}
+        cut = df.where(reduce(lambda a, b: a | b, part.values()))
+        held = cut.select(*[named(name).alias(c) for name, c in used.items()], *[chosen.alias(f"in_{used[c]}") for c, chosen in part.items()]).persist()
+        tests, verdicts = [], []
+        for c in part:
+            for first in range(0, len(sliced[c]), PASS_CANDIDATES):
+                tested = sliced[c][first : first + PASS_CANDIDATES]
+                others = [[used[name] for name in s if name != c] for s in tested]
+                distinct = [F.count_distinct(*o) for o in others]
+                per_value = held.where(f"in_{used[c]}").groupBy(used[c]).agg(
+                    F.count(F.lit(1)).alias("rows"), *[n.alias(f"n{i}") for i, n in enumerate(distinct)]
+                )
+                more = [F.bool_or(F.col("rows") > F.col(f"n{i}")) for i in range(len(tested))]
+                verdicts.append(per_value.agg(F.array(*more).alias("more")).select(F.lit(len(tests)).alias("test"), "more"))
+                tests.append(tested)
+        try:
+            for row in reduce(DataFrame.unionAll, verdicts).collect():  # one row a test; Spark runs them side by side
+                repeated |= {s for s, more in zip(tests[row["test"]], row["more"], strict=True) if more}
+        finally:
+            held.unpersist()
+    return [s for s in sets if s not in repeated]
+
+
+def _told_twice(task_rows: int, told: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function: some of the hashes that occur more than once; each is held once, however often it occurs.
+
+    Made here, so that it travels whole: workers need not find this package.
+    """
 
+    def twice_in(batches):
+        seen = twice = np.empty(0, np.int64)
+        held, size = [], 0
 
-def _estimates(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> list[int]:
-    """About how many distinct values each set of columns has."""
-    found: list[int] = []
-    for start in range(0, len(sets), PASS_CANDIDATES):
-        part = sets[start : start + PASS_CANDIDATES]
-        sketches = [F.hll_sketch_agg(F.xxhash64(*[named(name) for name in names]), F.lit(SKETCH_BITS)) for names in part]
-        found += list(df.agg(*[F.hll_sketch_estimate(sketch).alias(f"n{i}") for i, sketch in enumerate(sketches)]).first())
-    return found
+        def merged():
+            both = np.sort(np.concatenate([seen, *held]))
+            again = np.append(False, both[1:] == both[:-1])[: len(both)]
+            return both[~again], np.unique(np.concatenate([twice, both[again]]))[:told]
+
+        for batch in batches:
+            held.append(batch.column(0).to_numpy())
+            size += batch.num_rows
+            if size > max(task_rows, len(seen)):
+                seen, twice = merged()
+                held, size = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(merged()[1])], ["hash"])
+
+    return twice_in
+
+
+def _repeats(df: DataFrame, key: tuple[str, ...], rows: int) -> bool:
+    """Whether any values of the key occur twice, among all rows.
+
+    Rows that agree have one hash, so without a repeated hash there are none. The rows of repeated hashes are
+    compared by their values; if those differ, the hashes met by chance, and all rows are counted. So they are where
+    text is collated: equal texts may have several hashes.
+    """
+    if any(" collate " in df.schema[name].dataType.simpleString() for name in key):
+        return not audit_unique(df, key).isEmpty()
+    hashed = F.xxhash64(*[named(name) for name in key])
+    dealt = df.select(hashed.alias("hash")).repartition(max(16, rows // TASK_ROWS), "hash")
+    told = [row["hash"] for row in dealt.mapInArrow(_told_twice(TASK_ROWS, TOLD), "hash long").collect()]  # so many a task at most
+    if not told:
+        return False
+    return not audit_unique(df.where(hashed.isin(told[:100])), key).isEmpty() or not audit_unique(df, key).isEmpty()
 
 
 def candidate_keys(df: DataFrame, most_columns: int = 2) -> list[tuple[str, ...]]:
     """The minimal sets of up to so many columns that are never NULL and never repeat, smaller sets first.
 
     Level by level: a set that holds a key is not looked at; one whose columns have fewer combinations than there
-    are rows, or whose estimate is too low, is ruled out; the others are counted. A table without rows has no keys.
+    are rows is ruled out, and so are columns that together repeat among the rows of some values; the others are
+    compared over all rows. A table without rows has no keys.
     """
-    names = df.columns
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(named(name)).alias(f"n{i}") for i, name in enumerate(names)]).first()
-    rows = counts["rows"]
-    whole = [name for i, name in enumerate(names) if counts[f"n{i}"] == rows] if rows else []
-    single = dict(zip(whole, _estimates(df, [(name,) for name in whole]), strict=True))
+    rows, single = _figures(df)
     found: list[tuple[str, ...]] = []
     for size in range(1, most_columns + 1):
-        sets = [s for s in combinations(whole, size) if not any(set(key) <= set(s) for key in found)]
         possible = []
-        for s in sets:
+        for s in combinations(single, size):
+            if any(set(key) <= set(s) for key in found):
+                continue
             combined = 1.0
             for name in s:
                 combined *= single[name] * (1 + SLACK)
             if combined >= rows:
                 possible.append(s)
-        estimates = [single[s[0]] for s in possible] if size == 1 else _estimates(df, possible)
-        likely = [s for s, n in zip(possible, estimates, strict=True) if n >= rows * (1 - SLACK)]
-        found += [s for s in likely if audit_unique(df, s).isEmpty()]
+        left = possible if size == 1 else _without_near_repeats(df, possible, single, rows)
+        found += [s for s in left if not _repeats(df, s, rows)]
     return found
 
 

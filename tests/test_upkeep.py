@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from roundhaul.contracts import Contract
-from roundhaul.operators import stats
+from roundhaul.operators import discover, stats
 from roundhaul.operators.discover import candidate_keys, references
 from roundhaul.operators.validate import differing_rows
 from roundhaul.plans import loads
@@ -106,6 +106,43 @@ def test_keys(spark):
     assert candidate_keys(three, 3) == [("a", "b", "c")] and candidate_keys(three, 2) == []
 
 
+@pytest.fixture
+def narrow(monkeypatch):
+    """Slices and tasks of few rows, and the sets that are counted by their values."""
+    counted = []
+    monkeypatch.setattr(discover, "SLICE_ROWS", 300)
+    monkeypatch.setattr(discover, "TASK_ROWS", 50)
+    audit = discover.audit_unique
+    monkeypatch.setattr(discover, "audit_unique", lambda df, key: counted.append(tuple(key)) or audit(df, key))
+    return counted
+
+
+def test_sets_that_nearly_never_repeat_are_not_counted_over_all_rows(spark, narrow):
+    rows = spark.range(0, 6000).withColumn("id", F.expr("if(id < 5880, id, (id - 5880) * 49)"))  # 2 % are copies
+    df = rows.select("id", F.expr("id % 1000 AS b"), F.expr("id DIV 7 AS c"), F.expr("id * 7 % 5880 AS d"))
+    assert candidate_keys(df, 3) == []
+    assert narrow == [("id",)]  # the rows of its repeated hashes
+
+
+def test_one_repeat_is_found_among_all_rows(spark, narrow):
+    i = F.col("id")
+    df = spark.range(0, 6000).select(
+        i.alias("id"),
+        F.when(i == 4321, 17).otherwise(i).alias("once"),
+        F.when(i % 50 == 0, 0).otherwise(i).alias("hot"),
+        F.when(i == 5, F.lit(-0.0)).when(i == 7, F.lit(0.0)).otherwise(i + 1.0).alias("signed"),
+        F.collate(F.when(i == 8, F.lit("A")).when(i == 9, F.lit("a")).otherwise(i.cast("string")), "UTF8_LCASE").alias("cased"),
+        F.when(i > 0, F.create_map(F.lit("k"), i)).alias("unlike"),
+    )
+    assert candidate_keys(df, 1) == [("id",)]
+    for name in df.columns[:-1]:
+        assert discover._repeats(df, (name,), 6000) == (name != "id")
+    assert not discover._repeats(df, ("once", "hot"), 6000) and discover._repeats(df.unionAll(df.limit(1)).drop("unlike"), ("id", "once"), 6000)
+    pairs = candidate_keys(df.select("once", "hot", "signed"))
+    rows = df.select("once", "hot", "signed").collect()
+    assert pairs == [s for s in (("once", "hot"), ("once", "signed"), ("hot", "signed")) if len({(r[s[0]], r[s[1]]) for r in rows}) == 6000]
+
+
 def test_references(spark):
     parents = spark.range(0, 1000).select("id", F.concat(F.lit("p"), "id").alias("code"))
     children = spark.range(0, 5000).select(
