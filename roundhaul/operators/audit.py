@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Hashable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -45,6 +45,31 @@ def audit_foreign_key(
     return per_key.where("_child = 1").drop("_child")
 
 
+def audit_inclusions(columns: Mapping[Hashable, DataFrame], pairs: Sequence[tuple[Hashable, Hashable]]) -> DataFrame:
+    """One row: ``orphans``, for each (child, parent) how many values of the child's column the parent's lacks.
+
+    ``columns`` are tables of one column, all of one type; NULL refers to nothing. All columns are stacked and
+    reduced by value to the set of those that hold it, so each is read and shuffled once, in however many pairs it is.
+    """
+    places = {column: divmod(i, 63) for i, column in enumerate(columns)}  # the sign bit is left out
+    words = [f"_set{w}" for w in range(-(-len(places) // 63))]
+    sides = []
+    for column, df in columns.items():
+        at, bit = places[column]
+        value = named(df.columns[0])
+        bits = [F.lit(1 << bit if w == at else 0).cast("bigint").alias(word) for w, word in enumerate(words)]
+        sides.append(df.where(value.isNotNull()).select(value.alias("_value"), *bits))
+    holders = reduce(DataFrame.unionAll, sides).groupBy("_value").agg(*[F.bit_or(word).alias(word) for word in words])
+    per_set = holders.groupBy(*words).agg(F.count(F.lit(1)).alias("_values"))
+
+    def holds(column: Hashable):
+        at, bit = places[column]
+        return F.col(words[at]).bitwiseAND(F.lit(1 << bit)) != 0
+
+    orphans = [F.sum(F.when(holds(child) & ~holds(parent), F.col("_values")).otherwise(0)) for child, parent in pairs]
+    return per_set.agg(F.array(*[F.coalesce(n, F.lit(0)) for n in orphans]).alias("orphans"))
+
+
 def audit_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]) -> DataFrame:
     """Every declared rule of every table, with the number of rows that break it, 0 included.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundhaul.contracts import named
-from roundhaul.operators.audit import audit_foreign_key, audit_unique
+from roundhaul.operators.audit import audit_inclusions, audit_unique
 
 # A sketch of 2^14 cells is off by 0.8 %; six times that, rounded up.
 SKETCH_BITS, SLACK = 14, 0.05
@@ -165,22 +165,27 @@ def references(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]
     """(child, column, parent, key): every value of the column occurs in the parent's key, and it has values.
 
     ``keys`` names the columns of each table that other columns may refer to. A column refers to its own
-    table's other keys as well. Bounds and sketches rule pairs out: one pass over each table. Inclusion is all that is
-    told: a small number that counts something lies within any dense key.
+    table's other keys as well. Bounds and sketches rule pairs out: one pass over each table. All that are left of a
+    type are confirmed together: one more pass over each column. Inclusion is all that is told: a small number that
+    counts something lies within any dense key.
     """
+    referred = {_family(tables[t].schema[k].dataType) for t, names in keys.items() if t in tables for k in names if k in tables[t].columns}
     kept: dict[tuple[str, str], tuple] = {}
     for table, df in tables.items():
-        columns = [f.name for f in df.schema.fields if _family(f.dataType)]
-        if not columns:
+        kinds = {f.name: kind for f in df.schema.fields if (kind := _family(f.dataType)) and kind in referred}
+        if not kinds:
             continue
+        values = [named(name).cast(kind) for name, kind in kinds.items()]
+        # Each hash is used twice, so Spark projects it in compiled code rather than within the sketch.
+        hashes = [F.when(value.isNotNull(), F.xxhash64(value)).alias(f"hash{i}") for i, value in enumerate(values)]
+        projected = df.select(*[value.alias(f"value{i}") for i, value in enumerate(values)], *hashes)
         figures = []
-        for i, name in enumerate(columns):
-            value = named(name).cast(_family(df.schema[name].dataType))
-            hashed = F.when(value.isNotNull(), F.xxhash64(value))
-            figures += [F.min(value).alias(f"least{i}"), F.max(value).alias(f"most{i}"), F.theta_sketch_agg(hashed, F.lit(SKETCH_BITS)).alias(f"set{i}")]
-        row = df.agg(*figures).first()  # one row a table; a sketch has a bounded size
-        for i, name in enumerate(columns):
-            kept[table, name] = (_family(df.schema[name].dataType), row[f"least{i}"], row[f"most{i}"], row[f"set{i}"])
+        for i in range(len(kinds)):
+            figures += [F.min(f"value{i}").alias(f"least{i}"), F.max(f"value{i}").alias(f"most{i}"), F.count(f"hash{i}")]
+            figures.append(F.theta_sketch_agg(f"hash{i}", F.lit(SKETCH_BITS)).alias(f"set{i}"))
+        row = projected.agg(*figures).first()  # one row a table; a sketch has a bounded size
+        for i, (name, kind) in enumerate(kinds.items()):
+            kept[table, name] = (kind, row[f"least{i}"], row[f"most{i}"], row[f"set{i}"])
     pairs = []
     for (child, column), (kind, least, most, sketch) in kept.items():
         for parent, names in keys.items():
@@ -196,9 +201,11 @@ def references(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]
     told = spark.createDataFrame([(i, p[4], p[5]) for i, p in enumerate(pairs)], "i int, a binary, b binary")
     outside = F.theta_sketch_estimate(F.theta_difference("a", "b"))
     likely = told.where(outside <= SLACK * F.theta_sketch_estimate("a")).select("i").collect()
-    found = []
-    for i in sorted(row["i"] for row in likely):
-        child, column, parent, key = pairs[i][:4]
-        if audit_foreign_key(tables[child], [column], tables[parent], [key]).isEmpty():
-            found.append((child, column, parent, key))
-    return found
+    left = [pairs[i][:4] for i in sorted(row["i"] for row in likely)]
+    holds: set[tuple[str, str, str, str]] = set()
+    for kind in dict.fromkeys(kept[pair[:2]][0] for pair in left):
+        alike = [pair for pair in left if kept[pair[:2]][0] == kind]
+        columns = {side: tables[side[0]].select(named(side[1]).cast(kind).alias("value")) for pair in alike for side in (pair[:2], pair[2:])}
+        orphans = audit_inclusions(columns, [(pair[:2], pair[2:]) for pair in alike])
+        holds |= {pair for pair, n in zip(alike, orphans.first()["orphans"], strict=True) if n == 0}
+    return [pair for pair in left if pair in holds]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roundhaul.contracts import Contract
 from roundhaul.operators import discover, stats
+from roundhaul.operators.audit import audit_inclusions
 from roundhaul.operators.discover import candidate_keys, references
 from roundhaul.operators.validate import differing_rows
 from roundhaul.plans import loads
@@ -159,6 +160,30 @@ def test_references(spark):
     assert references({"children": children}, {}) == []
 
 
+def test_inclusions_of_many_columns(spark):
+    # Column n holds the multiples of n; 70 columns take more than one word of bits.
+    columns = {n: spark.range(0, 420).select(F.when(F.col("id") % n == 0, F.col("id")).alias("a.b")) for n in range(1, 71)}
+    pairs = [(a, b) for a in (1, 2, 6, 64, 70) for b in (1, 2, 3, 35, 63, 64, 70)]
+    told = audit_inclusions(columns, pairs).first()["orphans"]
+    assert told == [len(set(range(0, 420, a)) - set(range(0, 420, b))) for a, b in pairs]
+    empty = columns[1].where("false")
+    assert audit_inclusions({"a": empty, "b": empty}, [("a", "b")]).first()["orphans"] == [0]
+
+
+def test_references_are_confirmed_together(spark):
+    def jobs(n):
+        wide = spark.range(0, 300).select(*[(F.col("id") % (i + 200)).alias(f"c{i}") for i in range(n)])
+        spark.sparkContext.setJobGroup(f"refer{n}", "")
+        found = references({"parents": spark.range(0, 300), "wide": wide}, {"parents": ["id"]})
+        assert found == [("wide", f"c{i}", "parents", "id") for i in range(n)]
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"refer{n}"))
+
+    try:
+        assert jobs(9) == jobs(1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 ITEMS = Contract.declare("items", {"id": "bigint", "kind": "nvarchar(9)", "n": "int"}, partition_by=["kind"])
 STATE = st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["a", "", None]), st.integers(0, 1)), max_size=12)
 
